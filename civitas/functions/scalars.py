@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 # Whitespace that Python's str.strip() / regex \s remove beyond ASCII,
 # including the French thousands separators U+00A0 (NBSP) and U+202F (NNBSP).
 WHITESPACE_CLASS = (
-    r"[\s\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"[\x{0009}-\x{000D}\x{0020}\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}"
+    r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 # Decimal literal accepted by pandas.to_numeric after the clean-up steps.
 NUMBER_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
