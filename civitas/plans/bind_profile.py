@@ -96,13 +96,12 @@ def g16_box_stats(spark, d):
 
 
 @register("g16_outliers", """
-WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1,
-                  quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem, q
-WHERE l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (q3 - q1)""")
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id, value FROM events, q
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def g16_outliers(spark, d):
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return Pr.outliers(li, "l_extendedprice")
+    ev = T(spark, d, "events").select("event_id", "value")
+    return Pr.outliers(ev, "value")
 
 
 @register("g17_missing_patterns", f"""

@@ -1,3 +1,170 @@
-"""Checked queries."""
+"""Sources and sinks S1-S13: fixture tables written to the shared scratch
+folder in the formats the jobs read, then read back."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, LongType, MapType, StringType, StructField, StructType,
+                               ArrayType)
+
+from ..session import scratch_dir
+from ..sources import readers as S
+from ..sources import sinks as W
+from .fixtures import DL_SQL, T, documents_labels
+from .registry import register
+
+
+@register("s1_read_text_table", """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey
+FROM supplier""")
+def s1_read_text_table(spark, d):
+    path = scratch_dir(spark, "s1")
+    W.write_delimited(T(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), path, ";")
+    return S.read_text_table(spark, path, sep=";")
+
+
+ORDERS_SCHEMA = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+                            StructField("o_orderstatus", StringType()),
+                            StructField("o_totalprice", DoubleType()),
+                            StructField("o_orderpriority", StringType())])
+
+
+@register("s2_read_typed_table", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+def s2_read_typed_table(spark, d):
+    path = scratch_dir(spark, "s2")
+    W.write_plain_csv(T(spark, d, "orders").select(*ORDERS_SCHEMA.fieldNames()), path)
+    return S.read_typed_table(spark, path, ORDERS_SCHEMA)
+
+
+@register("s3_encoding_fallback", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, split_part(text, chr(10), 1) AS first_line FROM documents""")
+def s3_encoding_fallback(spark, d):
+    base = scratch_dir(spark, "s3")
+    docs = T(spark, d, "documents").select(
+        "doc_id", "lang", F.substring_index("text", "\n", 1).alias("first_line"))
+    latin = F.col("lang").isin("fr", "es")
+    docs.filter(~latin).write.option("sep", ";").option("header", True).csv(f"{base}/utf8")
+    docs.filter(latin).write.option("sep", ";").option("header", True) \
+        .option("encoding", "ISO-8859-1").csv(f"{base}/latin1")
+    return S.read_with_encoding_fallback(spark, [f"{base}/utf8", f"{base}/latin1"], sep=";")
+
+
+def _sheets(spark, d, base):
+    """Customers as one sheet per nation: 3 title rows, a header row with
+    the CODGEO marker, then data rows (same cell count on every row)."""
+    c = T(spark, d, "customer").select(
+        F.col("c_nationkey").alias("sheet"),
+        F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"),
+        F.col("c_mktsegment").alias("c"), F.col("c_acctbal").cast("string").alias("e"),
+        (F.col("c_custkey") + 10).alias("ord"))
+    nations = T(spark, d, "nation").select(F.col("n_nationkey").alias("sheet"), "n_name")
+    titles = [nations.select("sheet", F.concat(F.lit("Title "), F.lit(i), F.lit(" "), "n_name").alias("a"),
+                             F.lit("").alias("b"), F.lit("").alias("c"), F.lit("").alias("e"),
+                             F.lit(i).cast("long").alias("ord")) for i in range(3)]
+    header = nations.select("sheet", F.lit("CODGEO").alias("a"), F.lit("NOM").alias("b"),
+                            F.lit("SEG").alias("c"), F.lit("SOLDE").alias("e"),
+                            F.lit(5).cast("long").alias("ord"))
+    rows = c
+    for t in titles + [header]:
+        rows = rows.unionByName(t)
+    # one writer task per sheet, rows in sheet order
+    rows.repartition("sheet").sortWithinPartitions("sheet", "ord").drop("ord") \
+        .write.partitionBy("sheet").option("header", False).csv(base)
+    return S.read_cells(spark, base)
+
+
+SHEET_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS CODGEO, c_name AS NOM, c_mktsegment AS SEG FROM customer"""
+
+
+@register("s4_promote_header", SHEET_SQL)
+def s4_promote_header(spark, d):
+    cells = _sheets(spark, d, scratch_dir(spark, "s4"))
+    return S.promote_header(cells, "CODGEO", 20).select("CODGEO", "NOM", "SEG")
+
+
+@register("s5_skip_and_name", SHEET_SQL)
+def s5_skip_and_name(spark, d):
+    cells = _sheets(spark, d, scratch_dir(spark, "s5"))
+    return S.skip_and_name(cells, 4, ["CODGEO", "NOM", "SEG", "SOLDE"]).select("CODGEO", "NOM", "SEG")
+
+
+FIXED_LAYOUT = [("COM", 1, 8), ("NCC", 9, 25), ("DEP", 34, 4)]
+
+
+@register("s6_read_fixed_width", """
+SELECT CAST(s_suppkey AS VARCHAR) AS COM, s_name AS NCC, CAST(s_nationkey AS VARCHAR) AS DEP FROM supplier""")
+def s6_read_fixed_width(spark, d):
+    path = scratch_dir(spark, "s6")
+    s = T(spark, d, "supplier")
+    line = F.concat(F.rpad(F.col("s_suppkey").cast("string"), 8, " "), F.rpad("s_name", 25, " "),
+                    F.lpad(F.col("s_nationkey").cast("string"), 4, " "))
+    s.select(line.alias("line")).write.option("sep", "\u0001").option("quote", "\u0000") \
+        .option("encoding", "ISO-8859-1").csv(path)
+    return S.read_fixed_width(spark, path, FIXED_LAYOUT)
+
+
+@register("s7_write_delimited", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""")
+def s7_write_delimited(spark, d):
+    path = scratch_dir(spark, "s7")
+    W.write_delimited(T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), path, ";")
+    return S.read_text_table(spark, path, sep=";")
+
+
+@register("s8_write_plain_csv", """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation""")
+def s8_write_plain_csv(spark, d):
+    path = scratch_dir(spark, "s8")
+    W.write_plain_csv(T(spark, d, "nation").select("n_nationkey", "n_name"), path)
+    return S.read_text_table(spark, path, sep=",")
+
+
+SUMMARY_SCHEMA = StructType([
+    StructField("model", StringType()), StructField("accuracy", DoubleType()),
+    StructField("report", MapType(StringType(), DoubleType())),
+    StructField("confusion", ArrayType(ArrayType(LongType())))])
+
+
+@register("s9_s10_json_summary")
+def s9_s10_json_summary(spark, d):
+    """Best-row summary with a nested report written as JSON and read back
+    (built from the labels predictions fixture)."""
+    lab = T(spark, d, "labels").select(F.col("quality").alias("y"), (1 - F.col("toxic")).alias("p"))
+    acc = lab.agg(F.avg((F.col("y") == F.col("p")).cast("double")).alias("accuracy"),
+                  F.count_if((F.col("y") == 0) & (F.col("p") == 0)).alias("c00"),
+                  F.count_if((F.col("y") == 0) & (F.col("p") == 1)).alias("c01"),
+                  F.count_if((F.col("y") == 1) & (F.col("p") == 0)).alias("c10"),
+                  F.count_if((F.col("y") == 1) & (F.col("p") == 1)).alias("c11"))
+    row = acc.select(F.lit("labels_rule").alias("model"), "accuracy",
+                     F.create_map(F.lit("accuracy"), F.col("accuracy")).alias("report"),
+                     F.array(F.array("c00", "c01"), F.array("c10", "c11")).alias("confusion"))
+    path = scratch_dir(spark, "s9")
+    W.write_json_summary(row, path)
+    return S.read_json_summary(spark, path, SUMMARY_SCHEMA)
+
+
+@register("s11_read_optional", """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation""")
+def s11_read_optional(spark, d):
+    path = scratch_dir(spark, "s11")
+    W.write_plain_csv(T(spark, d, "nation").select("n_nationkey", "n_name"), path)
+    schema = S.all_string_schema(["n_nationkey", "n_name"])
+    present = S.read_optional(spark, path, schema, header=True)
+    absent = S.read_optional(spark, path + "-missing", schema, header=True)
+    return present.unionByName(absent)
+
+
+@register("s12_export_filtered", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def s12_export_filtered(spark, d):
+    path = scratch_dir(spark, "s12")
+    c = T(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    W.export_filtered(c, F.col("c_mktsegment") == "BUILDING", path)
+    return S.read_text_table(spark, path, sep=";")
+
+
+@register("s13_cached_scan", f"SELECT * FROM {DL_SQL}")
+def s13_cached_scan(spark, d):
+    return S.cached_scan(documents_labels(spark, d))

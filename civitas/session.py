@@ -65,3 +65,11 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder under the shared checkpoint directory (never a
+    machine-local temp folder): intermediate tables survive executor loss."""
+    import uuid
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/civitas-{name}/{uuid.uuid4().hex}"
