@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import zfill
 from . import jobs
+from . import sqlfrag as Q
+from .bind_scalars import DIRTY_SQL, dirty_prices
 from .fixtures import T, nation_register, returnflag_counts
 from .registry import register
 
 
-@register("j02_rate_by_nation", """
+@register("job02_unemployment_rate", """
 WITH w AS (
   SELECT l_suppkey,
          CAST(nullif(count(*) FILTER (WHERE l_returnflag = 'A'), 0) AS DOUBLE) AS a,
@@ -40,3 +42,235 @@ def j02_rate_by_nation(spark, d):
         "s_suppkey", zfill(F.col("s_nationkey").cast("string"), 5).alias("code_insee"))
     rows = wide.join(sup, wide.l_suppkey == sup.s_suppkey, "inner")
     return jobs.rate_indicator(rows, nation_register(spark, d), ["R"], ["A", "N"], "taux", 2022)
+
+
+# --- J-00 register -----------------------------------------------------------
+NB = " "
+
+
+def _raw_register(spark, d):
+    s = T(spark, d, "supplier")
+    first = s.select(F.col("s_suppkey").cast("string").alias("COM"),
+                     F.when(F.col("s_nationkey") != 0, F.concat(F.lit(" "), "s_name", F.lit(NB)))
+                     .alias("LIBELLE"),
+                     F.col("s_nationkey").cast("string").alias("DEP"), (F.col("s_suppkey") * 2).alias("ord"))
+    copy = s.select(F.col("s_suppkey").cast("string").alias("COM"), F.lit("copy").alias("LIBELLE"),
+                    F.col("s_nationkey").cast("string").alias("DEP"),
+                    (F.col("s_suppkey") * 2 + 1).alias("ord"))
+    return first.unionByName(copy)
+
+
+@register("job00_register", f"""
+WITH raw AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS COM,
+         CASE WHEN s_nationkey <> 0 THEN ' ' || s_name || chr(160) END AS LIBELLE,
+         CAST(s_nationkey AS VARCHAR) AS DEP, s_suppkey * 2 AS ord FROM supplier
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'copy', CAST(s_nationkey AS VARCHAR), s_suppkey * 2 + 1
+  FROM supplier),
+c AS (SELECT {Q.zfill("COM", 5)} AS code_insee, {Q.strip("coalesce(LIBELLE, 'inconnu')")} AS nom_commune,
+             DEP AS code_departement,
+             row_number() OVER (PARTITION BY {Q.zfill("COM", 5)} ORDER BY ord) AS rn
+      FROM raw WHERE COM IS NOT NULL)
+SELECT code_insee, nom_commune, code_departement FROM c WHERE rn = 1""")
+def job00_register(spark, d):
+    return jobs.commune_register(_raw_register(spark, d), order_col="ord")
+
+
+def customer_register(spark, d):
+    return T(spark, d, "customer").select(
+        zfill(F.col("c_custkey").cast("string"), 5).alias("code_insee"),
+        F.col("c_name").alias("nom_commune"))
+
+
+CUSTOMER_REGISTER_SQL = f"(SELECT {Q.zfill('CAST(c_custkey AS VARCHAR)', 5)} AS code_insee, " \
+                        "c_name AS localisation FROM customer)"
+
+
+@register("job01_income", f"""
+WITH raw AS (SELECT o_orderkey, ' ' || CAST(o_custkey AS VARCHAR) AS CODGEO, raw AS Q221 FROM {DIRTY_SQL}),
+p AS (SELECT o_orderkey, {Q.zfill(Q.strip("CODGEO"), 5)} AS code_insee, {Q.parse_number("Q221")} AS v FROM raw),
+j AS (SELECT p.*, r.localisation,
+             row_number() OVER (PARTITION BY p.code_insee ORDER BY o_orderkey) AS rn
+      FROM p JOIN {CUSTOMER_REGISTER_SQL} r USING (code_insee))
+SELECT code_insee, localisation, {Q.round_even("v", 2)} AS revenu_median, CAST(2021 AS INTEGER) AS annee
+FROM j WHERE rn = 1""")
+def job01_income(spark, d):
+    o = dirty_prices(spark, d)
+    raw = o.select("o_orderkey", F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("CODGEO"),
+                   F.col("raw").alias("Q221"))
+    return jobs.median_income(raw, customer_register(spark, d), 2021, order_col="o_orderkey")
+
+
+def supplier_register(spark, d):
+    return T(spark, d, "supplier").select(
+        zfill(F.col("s_suppkey").cast("string"), 5).alias("code_insee"),
+        F.col("s_name").alias("nom_commune"))
+
+
+SUPPLIER_REGISTER_SQL = f"(SELECT {Q.zfill('CAST(s_suppkey AS VARCHAR)', 5)} AS code_insee, " \
+                        "s_name AS localisation FROM supplier)"
+COMBOS = ["AF", "AO", "NF", "NO", "RF", "RO"]
+SOCIAL = {"agri": ["AF"], "cadres": ["NF", "NO"], "employes": ["RF"], "ouvriers": ["AO", "RO"]}
+
+
+def flag_status_counts(spark, d):
+    """Per supplier: counts of lines by (return flag, line status) as text
+    cells — missing combinations stay NULL (the pivot leaves them empty)."""
+    li = T(spark, d, "lineitem").select(
+        zfill(F.col("l_suppkey").cast("string"), 5).alias("code_insee"),
+        F.concat("l_returnflag", "l_linestatus").alias("combo"))
+    wide = li.groupBy("code_insee").pivot("combo", COMBOS).count()
+    return wide.select("code_insee", *[F.col(c).cast("string").alias(c) for c in COMBOS])
+
+
+FLAG_STATUS_SQL = "(SELECT " + Q.zfill("CAST(l_suppkey AS VARCHAR)", 5) + " AS code_insee, " + ", ".join(
+    f"CAST(nullif(count(*) FILTER (WHERE l_returnflag || l_linestatus = '{c}'), 0) AS DOUBLE) AS {c}"
+    for c in COMBOS) + " FROM lineitem GROUP BY 1)"
+
+
+def _social_sql():
+    totals = {g: Q.min_count_sum(cols) for g, cols in SOCIAL.items()}
+    total = " + ".join(totals.values())
+    cols = ", ".join(f"{Q.round_even(Q.share(t, total), 2)} AS pourcentage_{g}" for g, t in totals.items())
+    return f"""
+SELECT w.code_insee, r.localisation, {cols}, CAST(2022 AS INTEGER) AS annee
+FROM {FLAG_STATUS_SQL} w LEFT JOIN {SUPPLIER_REGISTER_SQL} r USING (code_insee)"""
+
+
+@register("job03_social", _social_sql())
+def job03_social(spark, d):
+    wide = flag_status_counts(spark, d)
+    parsed = wide.select("code_insee", *[F.col(c).cast("double").alias(c) for c in COMBOS])
+    shares = parsed.select("code_insee", *jobs.group_shares(parsed, SOCIAL))
+    from ..operators import joins as J
+    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee", bounded=True)
+    from ..functions.scalars import round_even
+    return joined.select("code_insee", "localisation",
+                         *[round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL],
+                         F.lit(2022).cast("int").alias("annee"))
+
+
+@register("job04_density", f"""
+SELECT {Q.zfill("CAST(p_partkey AS VARCHAR)", 5)} AS code_insee, p_name AS localisation,
+       CAST(p_size AS DOUBLE) AS population, p_retailprice AS superficie_km2,
+       {Q.round_even("CAST(round(p_size * 100000 / p_retailprice) AS DOUBLE) / 1000", 2)} AS densite,
+       CAST(2022 AS INTEGER) AS annee
+FROM part""")
+def job04_density(spark, d):
+    p = T(spark, d, "part")
+    raw = p.select(F.col("p_partkey").cast("string").alias("code_insee"),
+                   F.col("p_size").cast("string").alias("population"),
+                   F.col("p_retailprice").cast("string").alias("superficie_km2"),
+                   (F.round(F.col("p_size") * 100000 / F.col("p_retailprice")).cast("long") / 1000)
+                   .cast("string").alias("densite"))
+    reg = p.select(zfill(F.col("p_partkey").cast("string"), 5).alias("code_insee"),
+                   F.col("p_name").alias("nom_commune"))
+    return jobs.density(raw, reg, 2022)
+
+
+N_QBANDS = 10
+
+
+def quantity_band_counts(spark, d):
+    li = T(spark, d, "lineitem").select(
+        zfill(F.col("l_suppkey").cast("string"), 5).alias("code_insee"),
+        F.floor((F.col("l_quantity") - 1) / 5).cast("int").alias("b"))
+    return li.groupBy("code_insee").agg(*[F.count_if(F.col("b") == b).cast("double").alias(f"q{b}")
+                                          for b in range(N_QBANDS)])
+
+
+def _demography_sql():
+    qs = [f"q{b}" for b in range(N_QBANDS)]
+    mids = [5 * b + 2.5 for b in range(N_QBANDS)]
+    total = Q.zero_sum(qs)
+    young, senior = Q.zero_sum(qs[:2]), Q.zero_sum(qs[7:])
+    cases = " ".join(f"WHEN {Q.zero_sum(qs[:i + 1])} >= ({total}) / 2 THEN {m}" for i, m in enumerate(mids))
+    median = f"(CASE WHEN {total} <> 0 THEN CASE {cases} END END)"
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE CAST(floor((l_quantity - 1) / 5) AS INTEGER) = {b}) "
+                       f"AS DOUBLE) AS q{b}" for b in range(N_QBANDS))
+    return f"""
+WITH w AS (SELECT {Q.zfill("CAST(l_suppkey AS VARCHAR)", 5)} AS code_insee, {counts} FROM lineitem GROUP BY 1),
+i AS (SELECT code_insee, {Q.share(young, total)} AS pct_jeunes, {Q.share(senior, total)} AS pct_seniors,
+             {median} AS age_median FROM w)
+SELECT i.code_insee, r.localisation, {Q.round_even("pct_jeunes", 2)} AS pct_jeunes,
+       {Q.round_even("pct_seniors", 2)} AS pct_seniors, {Q.round_even("age_median", 2)} AS age_median,
+       CAST(2022 AS INTEGER) AS annee
+FROM i LEFT JOIN {SUPPLIER_REGISTER_SQL} r USING (code_insee)
+WHERE r.localisation IS NOT NULL AND pct_jeunes IS NOT NULL AND pct_seniors IS NOT NULL
+  AND age_median IS NOT NULL AND {Q.strip("r.localisation")} <> ''"""
+
+
+@register("job05_demography", _demography_sql())
+def job05_demography(spark, d):
+    from ..functions.scalars import round_even
+    from ..operators import filters as Fl
+    from ..operators import joins as J
+    w = quantity_band_counts(spark, d)
+    ind = w.select("code_insee", *jobs.age_indicators(w, [f"q{b}" for b in range(N_QBANDS)],
+                                                      [5 * b + 2.5 for b in range(N_QBANDS)], 2, 7))
+    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee", bounded=True)
+    kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors", "age_median"]),
+                         "localisation")
+    return kept.select("code_insee", "localisation",
+                       *[round_even(c, 2).alias(c) for c in ("pct_jeunes", "pct_seniors", "age_median")],
+                       F.lit(2022).cast("int").alias("annee"))
+
+
+PREFIXED = {"AF": "INATC1_SEXE_AF", "AO": "INATC1_SEXE_AO", "NF": "INATC1_SEXE_NF",
+            "NO": "INATC1_SEXE_NO", "RF": "INATC2_SEXE_RF", "RO": "INATC2_SEXE_RO"}
+
+
+@register("job06_immigration", f"""
+WITH w AS {FLAG_STATUS_SQL},
+x AS (SELECT code_insee, {Q.zero_sum(["RF", "RO"])} AS part, {Q.zero_sum(["AF", "AO", "NF", "NO"])} AS other
+      FROM w),
+y AS (SELECT x.code_insee, r.localisation, {Q.share("part", "part + other")} AS taux
+      FROM x LEFT JOIN {SUPPLIER_REGISTER_SQL} r USING (code_insee))
+SELECT code_insee, localisation, {Q.round_even("taux", 2)} AS taux_immigration, CAST(2022 AS INTEGER) AS annee
+FROM y WHERE localisation IS NOT NULL AND taux IS NOT NULL AND {Q.strip("localisation")} <> ''""")
+def job06_immigration(spark, d):
+    wide = flag_status_counts(spark, d)
+    named = wide.select("code_insee", *[F.col(c).alias(n) for c, n in PREFIXED.items()])
+    return jobs.prefix_rate(named, supplier_register(spark, d), ["INATC2_SEXE"], ["INATC1_SEXE"],
+                            "taux_immigration", 2022)
+
+
+@register("job07_associations", f"""
+WITH e AS (SELECT {Q.zfill("CAST(user_id AS VARCHAR)", 5)} AS code_insee, count(*) AS n FROM events GROUP BY 1)
+SELECT e.code_insee, r.localisation, CAST(e.n AS DOUBLE) AS nb_associations, CAST(2022 AS INTEGER) AS annee
+FROM e LEFT JOIN {CUSTOMER_REGISTER_SQL} r USING (code_insee)
+WHERE r.localisation IS NOT NULL AND {Q.strip("r.localisation")} <> ''""")
+def job07_associations(spark, d):
+    e = T(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n").cast("string")
+    # thousands rendered with an inner blank, as in the public file
+    txt = F.when(F.length(n) > 3, F.concat(F.expr("substring(CAST(n AS STRING), 1, length(CAST(n AS STRING)) - 3)"),
+                                             F.lit(" "), F.substring(n, -3, 3))).otherwise(n)
+    raw = e.select(F.col("user_id").cast("string").alias("INSEE"), txt.alias("ASSO2022"))
+    return jobs.associations(raw, customer_register(spark, d), 2022)
+
+
+YEARS = list(range(1995, 2002))
+
+
+@register("job08_business", f"""
+WITH c AS (SELECT {Q.zfill("CAST(o_custkey AS VARCHAR)", 5)} AS code_insee, count(*) AS n
+           FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1),
+k AS (SELECT {Q.zfill("CAST(c_custkey AS VARCHAR)", 5)} AS code_insee FROM customer
+      WHERE c_custkey IN (SELECT o_custkey FROM orders))
+SELECT k.code_insee, r.localisation, CAST(coalesce(c.n, 0) AS INTEGER) AS nb_creations_entreprises,
+       CAST(1997 AS INTEGER) AS annee
+FROM k LEFT JOIN c USING (code_insee) LEFT JOIN {CUSTOMER_REGISTER_SQL} r USING (code_insee)
+WHERE r.localisation IS NOT NULL""")
+def job08_business(spark, d):
+    o = T(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
+    wide = o.groupBy("o_custkey").pivot("y", YEARS).count()
+    cells = wide.select(F.lit("sheet").alias("file"), (F.col("o_custkey") + 4).alias("row_no"),
+                        F.col("o_custkey").cast("string").alias("_c0"), F.lit("name").alias("_c1"),
+                        *[F.col(str(y)).cast("string").alias(f"_c{i + 2}") for i, y in enumerate(YEARS)])
+    spark_ = spark
+    titles = spark_.range(4).select(F.lit("sheet").alias("file"), F.col("id").alias("row_no"),
+                                    F.lit("Créations").alias("_c0"), F.lit(None).cast("string").alias("_c1"),
+                                    *[F.lit(None).cast("string").alias(f"_c{i + 2}") for i in range(len(YEARS))])
+    return jobs.business_creations(titles.unionByName(cells), customer_register(spark, d), 1997,
+                                   first_year=YEARS[0], last_year=YEARS[-1], skip=4)

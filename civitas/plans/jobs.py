@@ -49,9 +49,6 @@ CANDIDATE_BLOCS = {
     "droite": ["PÉCRESSE.exp", "DUPONT-AIGNAN.exp"],
     "gauche": ["ROUSSEL.exp", "HIDALGO.exp", "JADOT.exp"],
 }
-CANDIDATE_ORDER = ["ARTHAUD.exp", "ROUSSEL.exp", "MACRON.exp", "LASSALLE.exp", "LE PEN.exp",
-                   "ZEMMOUR.exp", "MÉLENCHON.exp", "HIDALGO.exp", "JADOT.exp", "PÉCRESSE.exp",
-                   "POUTOU.exp", "DUPONT-AIGNAN.exp"]
 EXPRESSED = "Exprimés"
 BLOC_ORDER = ["extreme_droite", "extreme_gauche", "centre", "droite", "gauche"]
 MERGED_STATUS = "COMD"
@@ -85,13 +82,15 @@ def commune_register(raw: DataFrame, order_col: str | None = None) -> DataFrame:
 
 
 def median_income(raw: DataFrame, register: DataFrame, year: int,
-                  code_col: str = "CODGEO", value_col: str = "Q221") -> DataFrame:
-    """J-01: median income per commune (secret values ``s`` become NULL)."""
+                  code_col: str = "CODGEO", value_col: str = "Q221",
+                  order_col: str | None = None) -> DataFrame:
+    """J-01: median income per commune (secret values ``s`` become NULL);
+    the first row of a duplicated code (file order) is kept."""
     df = P.normalize_column_names(raw, "\"'")
     P.require_columns(df, [code_col, value_col])
+    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     df = df.select(zfill(strip(F.col(code_col)), CODE_WIDTH).alias("code_insee"),
-                   parse_number(value_col).alias("revenu_median"),
-                   F.monotonically_increasing_id().alias("__order"))
+                   parse_number(value_col).alias("revenu_median"), order.alias("__order"))
     joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation", bounded=True)
     first = G.first_per_key(joined, "code_insee", ["__order"])
     return first.select("code_insee", "localisation",
@@ -253,24 +252,30 @@ def bloc_scores(sums: DataFrame, blocs: dict[str, list[str]], total_col: str, or
     return [winner, *scores]
 
 
-def election_result(stations: DataFrame, register: DataFrame, year: int) -> DataFrame:
-    """J-09: winning political bloc per commune from polling-station rows."""
+def election_result(stations: DataFrame, register: DataFrame, year: int,
+                    blocs: dict | None = None, expressed: str = EXPRESSED,
+                    bloc_order=None) -> DataFrame:
+    """J-09: winning political bloc per commune from polling-station rows
+    (summed per commune, missing = 0), scores in % of expressed votes."""
+    blocs = blocs or CANDIDATE_BLOCS
+    bloc_order = list(bloc_order or BLOC_ORDER)
     df = P.normalize_column_names(stations, "")
     df = df.withColumnRenamed("CodeInsee", "code_insee")
-    measures = [EXPRESSED, *CANDIDATE_ORDER]
+    candidates = [c for cols in blocs.values() for c in cols]
+    measures = [expressed, *candidates]
     P.require_columns(df, ["code_insee", *measures])
     clean = {m: f"m{i}" for i, m in enumerate(measures)}
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                        *[fill_missing(parse_number(F.col(f"`{m}`")), 0.0).alias(clean[m])
                          for m in measures])
     sums = G.group_sums(parsed, "code_insee", list(clean.values()))
-    blocs = {b: [clean[c] for c in cols] for b, cols in CANDIDATE_BLOCS.items()}
-    scored = sums.select("code_insee", *bloc_scores(sums, blocs, clean[EXPRESSED], BLOC_ORDER))
+    cblocs = {b: [clean[c] for c in cols] for b, cols in blocs.items()}
+    scored = sums.select("code_insee", *bloc_scores(sums, cblocs, clean[expressed], bloc_order))
     joined = J.enrich(scored, _register_names(register), "code_insee", bounded=True)
     named = joined.withColumn("localisation", remove_accents("localisation"))
     kept = Fl.drop_blank(Fl.drop_missing(named, ["localisation", "classe_politique"]), "localisation")
     return kept.select("code_insee", "localisation", "classe_politique",
-                       *[f"score_{b}" for b in BLOC_ORDER], F.lit(year).cast("int").alias("annee"))
+                       *[f"score_{b}" for b in bloc_order], F.lit(year).cast("int").alias("annee"))
 
 
 def register_difference(old: DataFrame, new: DataFrame, key: str = "COM") -> DataFrame:
