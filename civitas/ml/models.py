@@ -85,7 +85,7 @@ def logistic_regression(total_weight: float, **kw):
     objective when regParam = 1 / (C * sum of weights)."""
     return LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight",
                               family="multinomial", maxIter=2000, regParam=1.0 / total_weight,
-                              elasticNetParam=0.0, standardization=False, tol=1e-10, **kw)
+                              elasticNetParam=0.0, standardization=False, tol=1e-6, **kw)
 
 
 def random_forest_classifier(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, **kw):

@@ -111,6 +111,32 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     return df.join(F.broadcast(w), label)
 
 
+def fit_numeric_stats(df: DataFrame, cols) -> dict:
+    """Median, then mean and population std *after* median imputation, for
+    every numeric column in one aggregation over the long form
+    (column, value): imputed moments follow from count, sum and sum of
+    squares, so no second pass is needed. One row per column comes back."""
+    if not cols:
+        return {}
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .unpivot([], list(cols), "c", "v")
+    rows = long.groupBy("c").agg(F.percentile("v", 0.5).alias("med"), F.count("v").alias("k"),
+                                 F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"),
+                                 F.count(F.lit(1)).alias("n")).collect()
+    out = {}
+    for r in rows:
+        med = r["med"]
+        n, k = r["n"], r["k"]
+        fill = med if med is not None else 0.0
+        s = (r["s"] or 0.0) + (n - k) * fill
+        ss = (r["ss"] or 0.0) + (n - k) * fill * fill
+        mean = s / n if n else 0.0
+        var = max(ss / n - mean * mean, 0.0) if n else 0.0
+        std = var ** 0.5
+        out[r["c"]] = (med, mean, std if std > 1e-12 * max(1.0, abs(mean)) else 1.0)
+    return out
+
+
 def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str = "features"
                      ) -> PipelineModel:
     """M4-M8 fitted on the training part only: median imputation and
@@ -118,10 +144,9 @@ def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str =
     encoding (alphabetical categories, unseen -> zero vector) of
     categorical ones, then assembly into one vector."""
     numeric, categorical = list(numeric), list(categorical)
-    med = fit_medians(train, numeric)
-    imputed = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(c)
-                             for c in numeric]) if numeric else None
-    scale = fit_scaling(imputed, numeric) if numeric else {}
+    stats = fit_numeric_stats(train, numeric)
+    med = {c: stats[c][0] for c in numeric}
+    scale = {c: (stats[c][1], stats[c][2]) for c in numeric}
     modes = fit_modes(train, categorical)
     num_exprs = [f"(coalesce(CAST(`{c}` AS DOUBLE), {_lit(med[c])}) - {_lit(scale[c][0])}) / "
                  f"{_lit(scale[c][1])} AS `__n_{c}`" for c in numeric]

@@ -274,3 +274,209 @@ def job08_business(spark, d):
                                     *[F.lit(None).cast("string").alias(f"_c{i + 2}") for i in range(len(YEARS))])
     return jobs.business_creations(titles.unionByName(cells), customer_register(spark, d), 1997,
                                    first_year=YEARS[0], last_year=YEARS[-1], skip=4)
+
+
+# --- J-09 election -------------------------------------------------------------
+PRIORITY_BLOCS = {"extreme_droite": ["P1"], "extreme_gauche": ["P2"], "centre": ["P3"],
+                  "droite": ["P4"], "gauche": ["P5"]}
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def polling_stations(spark, d):
+    """Orders as polling-station rows: commune = customer's nation, votes per
+    'candidate' = price of the order under its priority, as text."""
+    o = T(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
+    c = T(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    oc = o.join(c, "o_custkey")
+    txt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    cols = [F.when(F.col("o_orderpriority") == p, txt).alias(f"P{i + 1}") for i, p in enumerate(PRIORITIES)]
+    return oc.select(F.col("c_nationkey").cast("string").alias("CodeInsee"), txt.alias("Exprimés"), *cols)
+
+
+def _election_sql():
+    sums = ", ".join(f"sum(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice ELSE 0 END) AS P{i + 1}"
+                     for i, p in enumerate(PRIORITIES))
+    blocs = list(PRIORITY_BLOCS)
+    arr = ", ".join(f"P{i + 1}" for i in range(5))
+    winner = "CASE greatest(" + arr + ") " + " ".join(f"WHEN P{i + 1} THEN '{b}'" for i, b in enumerate(blocs)) + " END"
+    scores = ", ".join(f"{Q.round_even(Q.share(f'P{i + 1}', 'expr'), 2)} AS score_{b}" for i, b in enumerate(blocs))
+    return f"""
+WITH s AS (SELECT {Q.zfill("CAST(c.c_nationkey AS VARCHAR)", 5)} AS code_insee, sum(o_totalprice) AS expr, {sums}
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
+r AS (SELECT {Q.zfill("CAST(n_nationkey AS VARCHAR)", 5)} AS code_insee, n_name AS localisation FROM nation)
+SELECT s.code_insee, {Q.remove_accents("r.localisation")} AS localisation, {winner} AS classe_politique, {scores},
+       CAST(2022 AS INTEGER) AS annee
+FROM s LEFT JOIN r USING (code_insee) WHERE r.localisation IS NOT NULL"""
+
+
+@register("job09_election", _election_sql())
+def job09_election(spark, d):
+    return jobs.election_result(polling_stations(spark, d), nation_register(spark, d), 2022,
+                                blocs=PRIORITY_BLOCS, bloc_order=list(PRIORITY_BLOCS))
+
+
+@register("job10_register_difference", f"""
+SELECT {Q.zfill("CAST(doc_id AS VARCHAR)", 5)} AS COM, lang, CAST(NULL AS INTEGER) AS quality,
+       'removed' AS change FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL
+SELECT {Q.zfill("CAST(doc_id AS VARCHAR)", 5)}, NULL, quality, 'added' FROM labels
+WHERE doc_id NOT IN (SELECT doc_id FROM documents)""")
+def job10_register_difference(spark, d):
+    old = T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("COM"), "lang")
+    new = T(spark, d, "labels").select(F.col("doc_id").cast("string").alias("COM"), "quality")
+    return jobs.register_difference(old, new, "COM")
+
+
+def bridge_registers(spark, d):
+    """Two register years from part: small parts are the old register, large
+    parts the new one (names written with hyphens and lower case there);
+    Brand#1 parts of the new register are merged into a parent code."""
+    p = T(spark, d, "part")
+    dep = F.when(F.col("p_type") != "PROMO", F.col("p_type"))
+    old = p.filter("p_size <= 25").select(F.col("p_partkey").cast("string").alias("COM"),
+                                          F.col("p_name").alias("NCC"), dep.alias("DEP"))
+    parent = F.when(F.col("p_brand") == "Brand#1", (F.col("p_partkey") + 100000).cast("string"))
+    new = p.filter("p_size > 25").select(
+        F.col("p_partkey").cast("string").alias("COM"),
+        F.regexp_replace("p_name", " ", "-").alias("NCC"), dep.alias("DEP"), parent.alias("COMPARENT"),
+        F.when(parent.isNotNull(), "COMD").otherwise("COM").alias("TYPECOM"))
+    return old, new
+
+
+BRIDGE_SQL = f"""
+old AS (SELECT CAST(p_partkey AS VARCHAR) AS COM, {Q.normalize_place_name("p_name")} AS nom_clean,
+               nullif(p_type, 'PROMO') AS DEP FROM part WHERE p_size <= 25),
+new AS (SELECT CAST(p_partkey AS VARCHAR) AS COM, {Q.normalize_place_name("replace(p_name, ' ', '-')")} AS nom_clean,
+               nullif(p_type, 'PROMO') AS DEP,
+               CASE WHEN p_brand = 'Brand#1' THEN CAST(p_partkey + 100000 AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END
+                 AS vrai,
+               CASE WHEN p_brand = 'Brand#1' THEN 'COMD' ELSE 'COM' END AS TYPECOM
+        FROM part WHERE p_size > 25),
+bridge AS (SELECT old.COM AS Code_INSEE_2022, new.vrai AS Code_INSEE_2024, old.nom_clean AS Nom_Commune,
+                  new.TYPECOM AS Statut_2024
+           FROM old JOIN new ON old.nom_clean IS NOT DISTINCT FROM new.nom_clean
+                            AND old.DEP IS NOT DISTINCT FROM new.DEP)"""
+
+
+@register("job11_code_bridge", f"WITH {BRIDGE_SQL} SELECT * FROM bridge")
+def job11_code_bridge(spark, d):
+    old, new = bridge_registers(spark, d)
+    return jobs.code_bridge(old, new)
+
+
+@register("job12_projected_income", f"""
+WITH {BRIDGE_SQL},
+m AS (SELECT b.Code_INSEE_2024, b.Nom_Commune,
+             p.p_retailprice * (1.12 - 0.10 * (CAST(p.p_size AS DOUBLE) / 25.0)) AS est
+      FROM bridge b JOIN part p ON b.Code_INSEE_2022 = CAST(p.p_partkey AS VARCHAR))
+SELECT Code_INSEE_2024 AS code_insee, Nom_Commune AS localisation,
+       {Q.round_even("avg(est)", 0)} AS revenu_estime_2024
+FROM m GROUP BY Code_INSEE_2024, Nom_Commune""")
+def job12_projected_income(spark, d):
+    old, new = bridge_registers(spark, d)
+    bridge = jobs.code_bridge(old, new)
+    p = T(spark, d, "part")
+    income = p.select(F.col("p_partkey").cast("string").alias("code_insee"),
+                      F.col("p_retailprice").cast("string").alias("revenu_median"))
+    unemp = p.select(F.col("p_partkey").cast("string").alias("code_insee"),
+                     F.col("p_size").cast("string").alias("taux_chomage"))
+    return jobs.projected_income(bridge, income, unemp)
+
+
+# --- J-13 ... J-17 exploration ----------------------------------------------------
+def _profile_sql():
+    parts = []
+    for c in ["o_totalprice", "o_custkey"]:
+        exprs = {"count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})",
+                 "25%": f"quantile_cont({c}, 0.25)", "50%": f"quantile_cont({c}, 0.5)",
+                 "75%": f"quantile_cont({c}, 0.75)", "max": f"max({c})",
+                 "missing": f"count(*) FILTER (WHERE {c} IS NULL)",
+                 "missing_pct": Q.round_even(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100", 2)}
+        parts += [f"SELECT '{c}' AS column, '{s}' AS statistic, round(CAST({e} AS DOUBLE), 4) AS value FROM orders"
+                  for s, e in exprs.items()]
+    return " UNION ALL ".join(parts)
+
+
+@register("job13_profile", _profile_sql())
+def job13_profile(spark, d):
+    from .explore import profile_table
+    t = profile_table(T(spark, d, "orders"), ["o_totalprice", "o_custkey"])
+    return t.withColumn("value", F.round("value", 4))
+
+
+@register("job14_share_check", f"""
+WITH s AS ({_social_sql()}),
+t AS (SELECT *, {Q.min_count_sum(["pourcentage_agri", "pourcentage_cadres", "pourcentage_employes",
+                                  "pourcentage_ouvriers"])} AS total FROM s)
+SELECT count(*) FILTER (WHERE total > 100.5) AS n_above, count(*) FILTER (WHERE total < 99.5) AS n_below,
+       count(*) FILTER (WHERE pourcentage_agri IS NULL OR pourcentage_cadres IS NULL
+                           OR pourcentage_employes IS NULL OR pourcentage_ouvriers IS NULL) AS n_missing
+FROM t""")
+def job14_share_check(spark, d):
+    from .explore import share_consistency
+    return share_consistency(job03_social(spark, d), [f"pourcentage_{g}" for g in SOCIAL])
+
+
+@register("job15_explore_kpis", """
+SELECT round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max,
+       CAST(trunc(avg(value)) AS BIGINT) AS mean_int FROM events WHERE event_type = 'purchase'""")
+def job15_explore_kpis(spark, d):
+    from .explore import explore_indicator
+    r = explore_indicator(T(spark, d, "events"), "value", "event_id", {"event_type": "purchase"})
+    return r["kpis"].withColumn("mean", F.round("mean", 6))
+
+
+@register("job15_explore_top", """
+(SELECT 'top' AS side, event_id, value FROM events WHERE event_type = 'purchase'
+ ORDER BY value DESC, event_id LIMIT 10)
+UNION ALL
+(SELECT 'bottom', event_id, value FROM events WHERE event_type = 'purchase' ORDER BY value, event_id LIMIT 10)""")
+def job15_explore_top(spark, d):
+    from .explore import explore_indicator
+    ev = T(spark, d, "events").select("event_id", "event_type", "value")
+    r = explore_indicator(ev, "value", "event_id", {"event_type": "purchase"})
+    return r["top"].select(F.lit("top").alias("side"), "event_id", "value").unionByName(
+        r["bottom"].select(F.lit("bottom").alias("side"), "event_id", "value"))
+
+
+@register("job15_explore_histogram", """
+WITH e AS (SELECT value FROM events WHERE event_type = 'purchase'),
+r AS (SELECT min(value) AS lo, max(value) AS hi FROM e),
+c AS (SELECT CAST(least(floor((value - lo) * 30 / (hi - lo)) + 1, 30) AS INTEGER) AS bin, count(*) AS count
+      FROM e, r GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 31))
+SELECT b.bin, lo + (b.bin - 1) * ((hi - lo) / 30) AS lo, lo + b.bin * ((hi - lo) / 30) AS hi,
+       coalesce(c.count, 0) AS count FROM b CROSS JOIN r LEFT JOIN c USING (bin)""")
+def job15_explore_histogram(spark, d):
+    from .explore import explore_indicator
+    return explore_indicator(T(spark, d, "events"), "value", "event_id", {"event_type": "purchase"})["histogram"]
+
+
+@register("job16_explore_register", """
+SELECT count(*) AS n_rows, count(DISTINCT p_name) AS n_distinct FROM part
+WHERE p_type = 'SMALL' AND coalesce(regexp_matches(p_name, '(?i)ring|gear'), false)""")
+def job16_explore_register(spark, d):
+    from .explore import explore_register
+    return explore_register(T(spark, d, "part"), "p_name", "ring|gear", {"p_type": "SMALL"})
+
+
+@register("job17_explore_election", f"""
+WITH e AS ({_election_sql()})
+SELECT count(*) AS n_rows,
+       (SELECT classe_politique FROM e GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dominant,
+       round(avg(greatest(score_extreme_droite, score_extreme_gauche, score_centre, score_droite, score_gauche)), 4)
+         AS mean_winning_score
+FROM e""")
+def job17_explore_election(spark, d):
+    from .explore import explore_election
+    e = job09_election(spark, d)
+    r = explore_election(e, "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])
+    return r["kpi"].withColumn("mean_winning_score", F.round("mean_winning_score", 4))
+
+
+@register("job17_bloc_distribution", f"""
+WITH e AS ({_election_sql()}) SELECT classe_politique, count(*) AS count FROM e GROUP BY 1""")
+def job17_bloc_distribution(spark, d):
+    from .explore import explore_election
+    e = job09_election(spark, d)
+    return explore_election(e, "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])["distribution"]
