@@ -135,3 +135,21 @@ def axis_limits(df: DataFrame, a: str, b: str) -> DataFrame:
     """Common min and max of two columns."""
     return df.agg(F.least(F.min(a), F.min(b)).alias("lo"),
                   F.greatest(F.max(a), F.max(b)).alias("hi"))
+
+
+def wide_counts(df: DataFrame, keys, col: str, values, names=None, zero_fill: bool = False) -> DataFrame:
+    """Rows per key and per listed value of ``col``, one column per value.
+
+    Conditional sums in a single grouped aggregation (one shuffle, partial
+    aggregation before it) instead of ``pivot``, which plans two
+    aggregations. Like ``pivot``, a value absent for a key gives NULL
+    unless ``zero_fill``.
+    """
+    ks = _keys(keys)
+    names = list(names or [str(v) for v in values])
+    one = F.lit(1).cast("long")
+    if zero_fill:
+        aggs = [F.count_if(F.col(col) == F.lit(v)).alias(n) for v, n in zip(values, names)]
+    else:
+        aggs = [F.sum(F.when(F.col(col) == F.lit(v), one)).alias(n) for v, n in zip(values, names)]
+    return df.groupBy(*ks).agg(*aggs)

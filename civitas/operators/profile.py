@@ -90,9 +90,11 @@ def crosstab(df: DataFrame, rows: str, cols: str, labels=None) -> DataFrame:
     if labels is None:
         u = df.select(F.col(rows).alias("v")).unionByName(df.select(F.col(cols).alias("v")))
         labels = [r[0] for r in u.dropna().distinct().orderBy("v").collect()]
-    counts = df.groupBy(F.col(rows).alias("label")).pivot(cols, labels).count()
+    counts = df.groupBy(F.col(rows).alias("label")).agg(
+        *[F.count_if(F.col(cols) == F.lit(x)).alias(str(x)) for x in labels])
     frame = df.sparkSession.createDataFrame([(x,) for x in labels], ["label"]) \
         .withColumn("label", F.col("label").cast(df.schema[rows].dataType))
+    # the label frame and the count table both have one row per class
     out = frame.join(F.broadcast(counts), "label", "left").fillna(0)
     return out.select("label", *[F.col(f"`{x}`").cast("long").alias(str(x)) for x in labels])
 

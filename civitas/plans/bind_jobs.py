@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import zfill
+from ..operators.aggregates import wide_counts
 from . import jobs
 from . import sqlfrag as Q
 from .bind_scalars import DIRTY_SQL, dirty_prices
@@ -119,7 +120,7 @@ def flag_status_counts(spark, d):
     li = T(spark, d, "lineitem").select(
         zfill(F.col("l_suppkey").cast("string"), 5).alias("code_insee"),
         F.concat("l_returnflag", "l_linestatus").alias("combo"))
-    wide = li.groupBy("code_insee").pivot("combo", COMBOS).count()
+    wide = wide_counts(li, "code_insee", "combo", COMBOS)
     return wide.select("code_insee", *[F.col(c).cast("string").alias(c) for c in COMBOS])
 
 
@@ -264,7 +265,7 @@ FROM k LEFT JOIN c USING (code_insee) LEFT JOIN {CUSTOMER_REGISTER_SQL} r USING
 WHERE r.localisation IS NOT NULL""")
 def job08_business(spark, d):
     o = T(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
-    wide = o.groupBy("o_custkey").pivot("y", YEARS).count()
+    wide = wide_counts(o, "o_custkey", "y", YEARS)
     cells = wide.select(F.lit("sheet").alias("file"), (F.col("o_custkey") + 4).alias("row_no"),
                         F.col("o_custkey").cast("string").alias("_c0"), F.lit("name").alias("_c1"),
                         *[F.col(str(y)).cast("string").alias(f"_c{i + 2}") for i, y in enumerate(YEARS)])

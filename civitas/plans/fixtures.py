@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import load
 from ..functions.scalars import zfill
+from ..operators.aggregates import wide_counts
 
 
 def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +23,10 @@ def nation_register(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def returnflag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per supplier: count of lines by return flag (wide, pivot with fixed
-    values so no extra job computes the distinct flags)."""
+    """Per supplier: count of lines by return flag (wide; NULL when a flag
+    is absent, like a pivot)."""
     li = T(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag")
-    return li.groupBy("l_suppkey").pivot("l_returnflag", ["A", "N", "R"]).count()
+    return wide_counts(li, "l_suppkey", "l_returnflag", ["A", "N", "R"])
 
 
 def documents_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
