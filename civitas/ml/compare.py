@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.columns import require_columns, split_feature_types
+from ..operators.profile import choose_exact
 from ..operators.reshape import melt
 from ..session import cut_lineage
 from . import metrics as Me
@@ -46,6 +47,9 @@ class Config:
     max_depth: int = Mo.MAX_DEPTH
     parallelism: int = 4
     models: tuple = field(default=())
+    # exact medians for imputation unless a numeric column has more distinct
+    # values than an exact percentile map should hold (None = decide once)
+    exact_quantiles: bool | None = None
 
 
 def _features(df: DataFrame, cfg: Config):
@@ -60,7 +64,7 @@ def _vector_size(df: DataFrame) -> int:
 
 
 def _fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical)
+    pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
     weighted = prep.balanced_weights(train, "label_idx")
     staged = pre.transform(weighted)
     total_w = weighted.agg(F.sum("weight")).first()[0]
@@ -85,7 +89,7 @@ def _fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Conf
 
 
 def _fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical)
+    pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
     staged = pre.transform(train)
     stages = list(pre.stages)
     if name == "ridge":
@@ -108,6 +112,13 @@ def _fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Confi
     return PipelineModel(stages)
 
 
+def _resolve_exact(cfg: Config, train: DataFrame, numeric) -> Config:
+    if cfg.exact_quantiles is not None:
+        return cfg
+    from dataclasses import replace
+    return replace(cfg, exact_quantiles=choose_exact(train, numeric))
+
+
 def _run_parallel(tasks, parallelism):
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(lambda t: t(), tasks))
@@ -135,6 +146,7 @@ def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
     data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col, label="label_idx")
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+    cfg = _resolve_exact(cfg, train, numeric)
 
     def cv_task(name, k):
         def run():
@@ -168,6 +180,7 @@ def compare_regressors(df: DataFrame, cfg: Config) -> dict:
     data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col)
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+    cfg = _resolve_exact(cfg, train, numeric)
 
     def cv_task(name, k):
         def run():

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.ranking import exact_rank, hash_key
 
 SEED = 42
+APPROX_ACCURACY = 100_000  # percentile_approx accuracy when exact medians are too wide
 
 
 def _ranked(df: DataFrame, id_col: str, seed: int, by=()) -> DataFrame:
@@ -51,11 +52,17 @@ def folds(df: DataFrame, k: int = 5, seed: int = SEED, id_col: str = "id", label
     return r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int")).drop("__h", "__rank")
 
 
-def fit_medians(df: DataFrame, cols) -> dict:
-    """Exact, interpolated median of each column (one agg)."""
+def _median(col, exact: bool):
+    x = F.col(col).cast("double")
+    return F.percentile(x, 0.5) if exact else F.percentile_approx(x, 0.5, APPROX_ACCURACY)
+
+
+def fit_medians(df: DataFrame, cols, exact: bool = True) -> dict:
+    """Interpolated median of each column (one agg); exact unless
+    the caller found the columns too wide (see ``profile.choose_exact``)."""
     if not cols:
         return {}
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]).first()
+    row = df.agg(*[_median(c, exact).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -111,7 +118,7 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     return df.join(F.broadcast(w), label)
 
 
-def fit_numeric_stats(df: DataFrame, cols) -> dict:
+def fit_numeric_stats(df: DataFrame, cols, exact: bool = True) -> dict:
     """Median, then mean and population std *after* median imputation, for
     every numeric column in one aggregation over the long form
     (column, value): imputed moments follow from count, sum and sum of
@@ -120,7 +127,7 @@ def fit_numeric_stats(df: DataFrame, cols) -> dict:
         return {}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], list(cols), "c", "v")
-    rows = long.groupBy("c").agg(F.percentile("v", 0.5).alias("med"), F.count("v").alias("k"),
+    rows = long.groupBy("c").agg(_median("v", exact).alias("med"), F.count("v").alias("k"),
                                  F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"),
                                  F.count(F.lit(1)).alias("n")).collect()
     out = {}
@@ -137,14 +144,14 @@ def fit_numeric_stats(df: DataFrame, cols) -> dict:
     return out
 
 
-def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str = "features"
-                     ) -> PipelineModel:
+def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str = "features",
+                     exact: bool = True) -> PipelineModel:
     """M4-M8 fitted on the training part only: median imputation and
     standardisation of numeric columns, mode imputation and one-hot
     encoding (alphabetical categories, unseen -> zero vector) of
     categorical ones, then assembly into one vector."""
     numeric, categorical = list(numeric), list(categorical)
-    stats = fit_numeric_stats(train, numeric)
+    stats = fit_numeric_stats(train, numeric, exact)
     med = {c: stats[c][0] for c in numeric}
     scale = {c: (stats[c][1], stats[c][2]) for c in numeric}
     modes = fit_modes(train, categorical)

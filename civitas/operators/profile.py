@@ -34,7 +34,13 @@ def _exact_flags(df: DataFrame, cols, exact):
     return {c: row[c] <= EXACT_QUANTILE_MAX_DISTINCT for c in cols}
 
 
-def describe(df: DataFrame, cols, exact: bool | None = True) -> DataFrame:
+def choose_exact(df: DataFrame, cols) -> bool:
+    """True when every column is narrow enough for exact percentiles
+    (one HyperLogLog pass); otherwise callers use approximate quantiles."""
+    return all(_exact_flags(df, list(cols), None).values()) if cols else True
+
+
+def describe(df: DataFrame, cols, exact: bool | None = None) -> DataFrame:
     """Count, mean, std (n-1), min, 25%, 50%, 75%, max per column,
     linear-interpolated quartiles, as (column, statistic, value).
 
@@ -117,11 +123,12 @@ def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
                 F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
     """Quartiles, IQR fences, whiskers at the furthest points inside
     the fences, and the outlier count — two passes, no sort of the data."""
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES])).alias("q"))
+    exact = choose_exact(df, [col]) if exact is None else exact
+    q = df.agg(_quantiles(col, QUARTILES, exact).alias("q"))
     q1, med, q3 = (q.select(F.col("q")[i]).scalar() for i in range(3))
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whisker) * iqr, q3 + F.lit(whisker) * iqr
@@ -133,10 +140,11 @@ def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
              "lower_whisker", "upper_whisker", "n_outliers")
 
 
-def outliers(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
+def outliers(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
     """The outlier rows themselves."""
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    exact = choose_exact(df, [col]) if exact is None else exact
+    q = df.agg(_quantiles(col, [0.25, 0.75], exact).alias("q"))
     q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
     iqr = q3 - q1
     return df.filter((x < q1 - F.lit(whisker) * iqr) | (x > q3 + F.lit(whisker) * iqr))
