@@ -15,9 +15,43 @@ FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
+# A single local file holding one parquet row group is read by one task no
+# matter its size. Above this size such a scan is spread over the cluster's
+# default parallelism right after the read (predicates and projections are
+# still pushed below the round-robin exchange into the scan).
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def _local_size(uri: str) -> int | None:
+    path = uri[len("file:"):] if uri.startswith("file:") else uri
+    if "://" in path:
+        return None
+    try:
+        return os.path.getsize(path)
+    except OSError:
+        return None
+
+
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan of few large local files over all cores.
+
+    Multi-file inputs (the cluster case) are returned unchanged: their scan
+    is already split into one task per file block / row group.
+    """
+    spark = df.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= parallelism:
+        return df
+    sizes = [_local_size(f) for f in files]
+    if any(sz is None for sz in sizes) or sum(sizes) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(parallelism)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table (parquet; filters and projections reach the scan)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_narrow_scan(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def _schema(spec: str) -> StructType:
