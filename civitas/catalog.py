@@ -19,7 +19,7 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 # matter its size. Above this size such a scan is spread over the cluster's
 # default parallelism right after the read (predicates and projections are
 # still pushed below the round-robin exchange into the scan).
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
+SPREAD_MIN_BYTES = 1024 * 1024
 
 
 def _local_size(uri: str) -> int | None:

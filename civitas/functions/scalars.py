@@ -57,7 +57,7 @@ def coerce_number(col) -> Column:
 
 def parse_number(col) -> Column:
     """Strip, drop inner blanks (incl. NBSP/NNBSP), comma -> dot, coerce."""
-    cleaned = F.regexp_replace(remove_all_whitespace(_c(col).cast("string")), ",", ".")
+    cleaned = F.replace(remove_all_whitespace(_c(col).cast("string")), F.lit(","), F.lit("."))
     return coerce_number(cleaned)
 
 

@@ -3,8 +3,6 @@ metadata-only where possible so Catalyst prunes unused columns at the scan."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -118,5 +116,3 @@ def compose_key(df: DataFrame, name: str, parts: list[str], widths: list[int]) -
     return df.withColumn(name, F.concat(*[zfill(F.col(p).cast("string"), w)
                                           for p, w in zip(parts, widths)]))
 
-
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")

@@ -245,8 +245,8 @@ def job07_associations(spark, d):
     e = T(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     n = F.col("n").cast("string")
     # thousands rendered with an inner blank, as in the public file
-    txt = F.when(F.length(n) > 3, F.concat(F.expr("substring(CAST(n AS STRING), 1, length(CAST(n AS STRING)) - 3)"),
-                                             F.lit(" "), F.substring(n, -3, 3))).otherwise(n)
+    txt = F.when(F.length(n) > 3, F.concat(n.substr(F.lit(1), F.length(n) - 3), F.lit(" "),
+                                           F.substring(n, -3, 3))).otherwise(n)
     raw = e.select(F.col("user_id").cast("string").alias("INSEE"), txt.alias("ASSO2022"))
     return jobs.associations(raw, customer_register(spark, d), 2022)
 

@@ -16,10 +16,9 @@ def _french_price(cents):
     """Render integer cents as French text: NBSP, first digit, NNBSP, the
     rest, decimal comma (thousands blanks of the public files)."""
     s = cents.cast("string")
-    head = F.substring(s, 1, F.length(s) - 2)
-    return F.concat(F.lit(NBSP), F.substring(head, 1, 1), F.lit(NNBSP),
-                    F.expr("substring(substring(__s, 1, length(__s) - 2), 2)"),
-                    F.lit(","), F.substring(s, -2, 2), F.lit(" "))
+    n = F.length(s)
+    return F.concat(F.lit(NBSP), s.substr(F.lit(1), F.lit(1)), F.lit(NNBSP),
+                    s.substr(F.lit(2), n - 3), F.lit(","), s.substr(n - 1, F.lit(2)), F.lit(" "))
 
 
 def dirty_prices(spark, d):
@@ -27,12 +26,11 @@ def dirty_prices(spark, d):
     suffixes chosen by priority/status, otherwise French formatting."""
     o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
                                      "o_totalprice")
-    o = o.withColumn("__s", F.round(F.col("o_totalprice") * 100).cast("long").cast("string"))
     txt = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("s"))
            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(" "))
            .when(F.col("o_orderstatus") == "P", F.lit("12d"))
            .otherwise(_french_price(F.round(F.col("o_totalprice") * 100).cast("long"))))
-    return o.withColumn("raw", txt).drop("__s")
+    return o.withColumn("raw", txt)
 
 
 DIRTY_SQL = f"""(SELECT o_orderkey, o_custkey, o_totalprice,

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (argmax_label, coerce_number, fill_missing, normalize_place_name,
-                                 parse_number, remove_accents, round_even, row_sum_min_count,
-                                 row_sum_zero, share, strip, zfill)
+                                 parse_number, remove_accents, remove_all_whitespace, round_even,
+                                 row_sum_min_count, row_sum_zero, share, strip, zfill)
 from ..operators import aggregates as G
 from ..operators import columns as P
 from ..operators import filters as Fl
@@ -219,8 +219,7 @@ def associations(sheet: DataFrame, register: DataFrame, year: int) -> DataFrame:
     df = P.normalize_column_names(sheet, "")
     df = P.select_rename(df, {"INSEE": "code_insee", "ASSO2022": "nb_associations"})
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
-                       coerce_number(F.regexp_replace(F.col("nb_associations"), r"\s+", ""))
-                       .alias("nb_associations"))
+                       coerce_number(remove_all_whitespace("nb_associations")).alias("nb_associations"))
     joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=True)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "nb_associations"]), "localisation")
     return kept.select("code_insee", "localisation", "nb_associations",

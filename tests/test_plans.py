@@ -34,3 +34,15 @@ def test_register_is_broadcast(spark, sf_dir):
 def test_first_per_key_uses_aggregate_not_window(spark, sf_dir):
     p = plan(E.queries()["g18_first_per_key"](spark, sf_dir))
     assert "Window" not in p and "Aggregate" in p
+
+
+def test_unemployment_job_has_one_shuffle(spark):
+    """J-02 on a raw sheet: parse, rate, broadcast register join, mean per
+    commune — a single shuffle exchange (the final aggregation)."""
+    from civitas.plans import jobs
+    cols = ["CODGEO", *jobs.EMPLOYED, *jobs.UNEMPLOYED]
+    sheet = spark.createDataFrame([("1001", *["1"] * 8)], ",".join(f"`{c}` string" for c in cols))
+    reg = spark.createDataFrame([("01001", "A")], "code_insee string, nom_commune string")
+    p = plan(jobs.unemployment_rate(sheet, reg, 2022))
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" in p
