@@ -18,6 +18,7 @@ QUARTILES = [0.25, 0.5, 0.75]
 # percentile_approx with the stated accuracy.
 EXACT_QUANTILE_MAX_DISTINCT = 2_000_000
 APPROX_ACCURACY = 100_000
+MAX_LABELS = 10_000  # same cap as Spark's pivot on distinct values
 
 
 def _quantiles(col: str, probs, exact: bool):
@@ -95,7 +96,9 @@ def crosstab(df: DataFrame, rows: str, cols: str, labels=None) -> DataFrame:
     """
     if labels is None:
         u = df.select(F.col(rows).alias("v")).unionByName(df.select(F.col(cols).alias("v")))
-        labels = [r[0] for r in u.dropna().distinct().orderBy("v").collect()]
+        labels = [r[0] for r in u.dropna().distinct().orderBy("v").limit(MAX_LABELS + 1).collect()]
+        if len(labels) > MAX_LABELS:
+            raise ValueError(f"crosstab over more than {MAX_LABELS} labels")
     counts = df.groupBy(F.col(rows).alias("label")).agg(
         *[F.count_if(F.col(cols) == F.lit(x)).alias(str(x)) for x in labels])
     frame = df.sparkSession.createDataFrame([(x,) for x in labels], ["label"]) \

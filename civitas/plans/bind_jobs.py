@@ -144,7 +144,8 @@ def job03_social(spark, d):
     parsed = wide.select("code_insee", *[F.col(c).cast("double").alias(c) for c in COMBOS])
     shares = parsed.select("code_insee", *jobs.group_shares(parsed, SOCIAL))
     from ..operators import joins as J
-    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee", bounded=True)
+    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee",
+                      bounded=jobs.REGISTER_MAX_ROWS)
     from ..functions.scalars import round_even
     return joined.select("code_insee", "localisation",
                          *[round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL],
@@ -209,7 +210,8 @@ def job05_demography(spark, d):
     w = quantity_band_counts(spark, d)
     ind = w.select("code_insee", *jobs.age_indicators(w, [f"q{b}" for b in range(N_QBANDS)],
                                                       [5 * b + 2.5 for b in range(N_QBANDS)], 2, 7))
-    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee", bounded=True)
+    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee",
+                      bounded=jobs.REGISTER_MAX_ROWS)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors", "age_median"]),
                          "localisation")
     return kept.select("code_insee", "localisation",

@@ -23,6 +23,10 @@ from ..operators import filters as Fl
 from ..operators import joins as J
 
 CODE_WIDTH = 5
+# The register has one row per commune (~35k in France). It is broadcast
+# after a bounded count proves it below this many rows; above it the
+# planner's shuffle join is used instead.
+REGISTER_MAX_ROWS = 2_000_000
 
 # ---------------------------------------------------------------------------
 # Source column names and groupings of the public files.
@@ -91,7 +95,8 @@ def median_income(raw: DataFrame, register: DataFrame, year: int,
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     df = df.select(zfill(strip(F.col(code_col)), CODE_WIDTH).alias("code_insee"),
                    parse_number(value_col).alias("revenu_median"), order.alias("__order"))
-    joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation", bounded=True)
+    joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation",
+                             bounded=REGISTER_MAX_ROWS)
     first = G.first_per_key(joined, "code_insee", ["__order"])
     return first.select("code_insee", "localisation",
                         round_even("revenu_median", 2).alias("revenu_median"),
@@ -109,7 +114,7 @@ def rate_indicator(df: DataFrame, register: DataFrame, part_cols, other_cols, na
     total = row_sum_min_count(other_cols) + part
     rates = parsed.select("code_insee", share(part, total).alias(name))
     joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation",
-                             bounded=True)
+                             bounded=REGISTER_MAX_ROWS)
     mean = G.group_mean(joined, ["code_insee", "localisation"], name)
     return mean.select("code_insee", "localisation", round_even(name, 2).alias(name),
                        F.lit(year).cast("int").alias("annee"))
@@ -142,7 +147,7 @@ def social_categories(sheet: DataFrame, register: DataFrame, year: int) -> DataF
     parsed = df.select(zfill("CODGEO", CODE_WIDTH).alias("code_insee"),
                        *[coerce_number(c).alias(c) for c in cols])
     shares = parsed.select("code_insee", *group_shares(parsed, SOCIAL_GROUPS))
-    joined = J.enrich(shares, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(shares, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     out = [round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL_GROUPS]
     return joined.select("code_insee", "localisation", *out, F.lit(year).cast("int").alias("annee"))
 
@@ -152,7 +157,7 @@ def density(raw: DataFrame, register: DataFrame, year: int) -> DataFrame:
     P.require_columns(raw, ["code_insee", "population", "superficie_km2", "densite"])
     df = raw.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                     *[coerce_number(c).alias(c) for c in ("population", "superficie_km2", "densite")])
-    joined = J.enrich(df, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(df, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     return joined.select("code_insee", "localisation", "population", "superficie_km2",
                          round_even("densite", 2).alias("densite"),
                          F.lit(year).cast("int").alias("annee"))
@@ -180,7 +185,7 @@ def demography(sheet: DataFrame, register: DataFrame, year: int) -> DataFrame:
              for _, m, f, _ in layout]
     ind = df.select("code_insee", *age_indicators(df, bands, [mid for *_, mid in layout],
                                                    YOUNG_BANDS, SENIOR_FIRST_BAND - 1))
-    joined = J.enrich(ind, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(ind, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors",
                                                   "age_median"]), "localisation")
     return kept.select("code_insee", "localisation",
@@ -198,7 +203,7 @@ def prefix_rate(df: DataFrame, register: DataFrame, part_prefixes, other_prefixe
     other = row_sum_zero([F.col(c).cast("double") for c in other_cols])
     rates = df.select(F.col(code_col).alias("code_insee"), share(part, part + other).alias(name))
     joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation",
-                             bounded=True)
+                             bounded=REGISTER_MAX_ROWS)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", name]), "localisation")
     return kept.select("code_insee", "localisation", round_even(name, 2).alias(name),
                        F.lit(year).cast("int").alias("annee"))
@@ -220,7 +225,7 @@ def associations(sheet: DataFrame, register: DataFrame, year: int) -> DataFrame:
     df = P.select_rename(df, {"INSEE": "code_insee", "ASSO2022": "nb_associations"})
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                        coerce_number(remove_all_whitespace("nb_associations")).alias("nb_associations"))
-    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "nb_associations"]), "localisation")
     return kept.select("code_insee", "localisation", "nb_associations",
                        F.lit(year).cast("int").alias("annee"))
@@ -235,7 +240,7 @@ def business_creations(cells: DataFrame, register: DataFrame, year: int,
     P.require_columns(df, [str(year)])
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                        fill_missing(coerce_number(str(year)), 0.0).alias("n"))
-    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation"]), "localisation")
     return kept.select("code_insee", "localisation",
                        F.col("n").cast("int").alias("nb_creations_entreprises"),
@@ -270,7 +275,7 @@ def election_result(stations: DataFrame, register: DataFrame, year: int,
     sums = G.group_sums(parsed, "code_insee", list(clean.values()))
     cblocs = {b: [clean[c] for c in cols] for b, cols in blocs.items()}
     scored = sums.select("code_insee", *bloc_scores(sums, cblocs, clean[expressed], bloc_order))
-    joined = J.enrich(scored, _register_names(register), "code_insee", bounded=True)
+    joined = J.enrich(scored, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
     named = joined.withColumn("localisation", remove_accents("localisation"))
     kept = Fl.drop_blank(Fl.drop_missing(named, ["localisation", "classe_politique"]), "localisation")
     return kept.select("code_insee", "localisation", "classe_politique",
