@@ -331,30 +331,36 @@ def job10_register_difference(spark, d):
 
 
 def bridge_registers(spark, d):
-    """Two register years from part: small parts are the old register, large
-    parts the new one (names written with hyphens and lower case there);
-    Brand#1 parts of the new register are merged into a parent code."""
-    p = T(spark, d, "part")
-    dep = F.when(F.col("p_type") != "PROMO", F.col("p_type"))
-    old = p.filter("p_size <= 25").select(F.col("p_partkey").cast("string").alias("COM"),
-                                          F.col("p_name").alias("NCC"), dep.alias("DEP"))
-    parent = F.when(F.col("p_brand") == "Brand#1", (F.col("p_partkey") + 100000).cast("string"))
-    new = p.filter("p_size > 25").select(
-        F.col("p_partkey").cast("string").alias("COM"),
-        F.regexp_replace("p_name", " ", "-").alias("NCC"), dep.alias("DEP"), parent.alias("COMPARENT"),
-        F.when(parent.isNotNull(), "COMD").otherwise("COM").alias("TYPECOM"))
+    """Two register years from supplier. Names lose their last digit (about
+    ten suppliers share one, a few also share the nation: bounded homonym
+    fan-out); the new year writes them in lower case with a blank for '#',
+    the old one with a hyphen. Nation 0 has no department on either side.
+    Suppliers with a negative balance are merged into a per-nation parent."""
+    s = T(spark, d, "supplier")
+    prefix = F.col("s_name").substr(F.lit(1), F.length("s_name") - 1)
+    dep = F.when(F.col("s_nationkey") != 0, F.col("s_nationkey").cast("string"))
+    old = s.select(F.col("s_suppkey").cast("string").alias("COM"),
+                   F.regexp_replace(prefix, "#", "-").alias("NCC"), dep.alias("DEP"))
+    parent = F.when(F.col("s_acctbal") < 0, (F.col("s_nationkey") + 900000).cast("string"))
+    new = s.select(F.col("s_suppkey").cast("string").alias("COM"),
+                   F.lower(F.regexp_replace(prefix, "#", " ")).alias("NCC"), dep.alias("DEP"),
+                   parent.alias("COMPARENT"),
+                   F.when(parent.isNotNull(), "COMD").otherwise("COM").alias("TYPECOM"))
     return old, new
 
 
 BRIDGE_SQL = f"""
-old AS (SELECT CAST(p_partkey AS VARCHAR) AS COM, {Q.normalize_place_name("p_name")} AS nom_clean,
-               nullif(p_type, 'PROMO') AS DEP FROM part WHERE p_size <= 25),
-new AS (SELECT CAST(p_partkey AS VARCHAR) AS COM, {Q.normalize_place_name("replace(p_name, ' ', '-')")} AS nom_clean,
-               nullif(p_type, 'PROMO') AS DEP,
-               CASE WHEN p_brand = 'Brand#1' THEN CAST(p_partkey + 100000 AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END
-                 AS vrai,
-               CASE WHEN p_brand = 'Brand#1' THEN 'COMD' ELSE 'COM' END AS TYPECOM
-        FROM part WHERE p_size > 25),
+old AS (SELECT CAST(s_suppkey AS VARCHAR) AS COM,
+               {Q.normalize_place_name("replace(substr(s_name, 1, length(s_name) - 1), '#', '-')")} AS nom_clean,
+               CASE WHEN s_nationkey <> 0 THEN CAST(s_nationkey AS VARCHAR) END AS DEP FROM supplier),
+new AS (SELECT CAST(s_suppkey AS VARCHAR) AS COM,
+               {Q.normalize_place_name("lower(replace(substr(s_name, 1, length(s_name) - 1), '#', ' '))")}
+                 AS nom_clean,
+               CASE WHEN s_nationkey <> 0 THEN CAST(s_nationkey AS VARCHAR) END AS DEP,
+               CASE WHEN s_acctbal < 0 THEN CAST(s_nationkey + 900000 AS VARCHAR)
+                    ELSE CAST(s_suppkey AS VARCHAR) END AS vrai,
+               CASE WHEN s_acctbal < 0 THEN 'COMD' ELSE 'COM' END AS TYPECOM
+        FROM supplier),
 bridge AS (SELECT old.COM AS Code_INSEE_2022, new.vrai AS Code_INSEE_2024, old.nom_clean AS Nom_Commune,
                   new.TYPECOM AS Statut_2024
            FROM old JOIN new ON old.nom_clean IS NOT DISTINCT FROM new.nom_clean
@@ -370,19 +376,20 @@ def job11_code_bridge(spark, d):
 @register("job12_projected_income", f"""
 WITH {BRIDGE_SQL},
 m AS (SELECT b.Code_INSEE_2024, b.Nom_Commune,
-             p.p_retailprice * (1.12 - 0.10 * (CAST(p.p_size AS DOUBLE) / 25.0)) AS est
-      FROM bridge b JOIN part p ON b.Code_INSEE_2022 = CAST(p.p_partkey AS VARCHAR))
+             s.s_acctbal * (1.12 - 0.10 * (CAST(s.s_nationkey AS DOUBLE) / 25.0)) AS est
+      FROM bridge b JOIN supplier s ON b.Code_INSEE_2022 = CAST(s.s_suppkey AS VARCHAR))
 SELECT Code_INSEE_2024 AS code_insee, Nom_Commune AS localisation,
        {Q.round_even("avg(est)", 0)} AS revenu_estime_2024
 FROM m GROUP BY Code_INSEE_2024, Nom_Commune""")
 def job12_projected_income(spark, d):
+    """Income = balance, unemployment = nation key, keyed by the old code."""
     old, new = bridge_registers(spark, d)
     bridge = jobs.code_bridge(old, new)
-    p = T(spark, d, "part")
-    income = p.select(F.col("p_partkey").cast("string").alias("code_insee"),
-                      F.col("p_retailprice").cast("string").alias("revenu_median"))
-    unemp = p.select(F.col("p_partkey").cast("string").alias("code_insee"),
-                     F.col("p_size").cast("string").alias("taux_chomage"))
+    s = T(spark, d, "supplier")
+    income = s.select(F.col("s_suppkey").cast("string").alias("code_insee"),
+                      F.col("s_acctbal").cast("string").alias("revenu_median"))
+    unemp = s.select(F.col("s_suppkey").cast("string").alias("code_insee"),
+                     F.col("s_nationkey").cast("string").alias("taux_chomage"))
     return jobs.projected_income(bridge, income, unemp)
 
 
