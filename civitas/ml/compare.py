@@ -63,7 +63,7 @@ def _vector_size(df: DataFrame) -> int:
     return len(df.select(vector_to_array("features").alias("a")).first()["a"])
 
 
-def _fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
+def fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
     pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
     weighted = prep.balanced_weights(train, "label_idx")
     staged = pre.transform(weighted)
@@ -88,7 +88,7 @@ def _fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Conf
     return PipelineModel(stages)
 
 
-def _fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
+def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
     pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
     staged = pre.transform(train)
     stages = list(pre.stages)
@@ -132,31 +132,51 @@ def _cv_table(scores: DataFrame, metric_names, by="model") -> DataFrame:
     return scores.groupBy(by).agg(*aggs)
 
 
-def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
-    """J-18: the four classifiers, CV + test metrics, leaderboard sorted by
-    test F1 (desc), predictions of every model, best model."""
-    names = list(cfg.models or ("logistic_regression", "random_forest", "extra_trees", "rbf_svm"))
+def prepare_classification(df: DataFrame, cfg: Config) -> dict:
+    """Label index (alphabetical classes), stratified seeded split, stratified
+    folds of the rows, checkpointed to the shared folder."""
     numeric, categorical = _features(df, cfg)
     base = df.withColumn("__target", F.col(cfg.target).cast("string"))
     indexer = StringIndexer(inputCol="__target", outputCol="label_idx",
                             stringOrderType="alphabetAsc").fit(base)
-    labels = list(indexer.labels)
     data = prep.stratified_split(indexer.transform(base), "label_idx", cfg.test_size, cfg.seed,
                                  cfg.id_col)
     data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col, label="label_idx")
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    cfg = _resolve_exact(cfg, train, numeric)
+    return {"train": train, "test": test, "labels": list(indexer.labels), "numeric": numeric,
+            "categorical": categorical, "cfg": _resolve_exact(cfg, train, numeric)}
+
+
+def prepare_regression(df: DataFrame, cfg: Config) -> dict:
+    """Numeric target ``y``, seeded random split, plain folds, checkpointed."""
+    numeric, categorical = _features(df, cfg)
+    data = df.withColumn("y", F.col(cfg.target).cast("double"))
+    data = prep.random_split(data, cfg.test_size, cfg.seed, cfg.id_col)
+    data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col)
+    data = cut_lineage(data)
+    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
+    return {"train": train, "test": test, "numeric": numeric, "categorical": categorical,
+            "cfg": _resolve_exact(cfg, train, numeric)}
+
+
+def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
+    """J-18: the four classifiers, CV + test metrics, leaderboard sorted by
+    test F1 (desc), predictions of every model, best model."""
+    names = list(cfg.models or ("logistic_regression", "random_forest", "extra_trees", "rbf_svm"))
+    prep_ = prepare_classification(df, cfg)
+    train, test, labels = prep_["train"], prep_["test"], prep_["labels"]
+    numeric, categorical, cfg = prep_["numeric"], prep_["categorical"], prep_["cfg"]
 
     def cv_task(name, k):
         def run():
-            m = _fit_classifier(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
+            m = fit_classifier(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
             return m.transform(train.filter(F.col("fold") == k)).select(
                 F.lit(name).alias("model"), F.lit(k).alias("fold"), "label_idx", "prediction")
         return run
 
     def final_task(name):
-        return lambda: (name, _fit_classifier(name, train, numeric, categorical, cfg))
+        return lambda: (name, fit_classifier(name, train, numeric, categorical, cfg))
 
     oof = _run_parallel([cv_task(n, k) for n in names for k in range(cfg.k_folds)], cfg.parallelism)
     fitted = dict(_run_parallel([final_task(n) for n in names], cfg.parallelism))
@@ -174,23 +194,19 @@ def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
 def compare_regressors(df: DataFrame, cfg: Config) -> dict:
     """J-19: the four regressors, leaderboard sorted by test RMSE (asc)."""
     names = list(cfg.models or ("ridge", "random_forest", "extra_trees", "rbf_svr"))
-    numeric, categorical = _features(df, cfg)
-    data = df.withColumn("y", F.col(cfg.target).cast("double"))
-    data = prep.random_split(data, cfg.test_size, cfg.seed, cfg.id_col)
-    data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col)
-    data = cut_lineage(data)
-    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    cfg = _resolve_exact(cfg, train, numeric)
+    prep_ = prepare_regression(df, cfg)
+    train, test = prep_["train"], prep_["test"]
+    numeric, categorical, cfg = prep_["numeric"], prep_["categorical"], prep_["cfg"]
 
     def cv_task(name, k):
         def run():
-            m = _fit_regressor(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
+            m = fit_regressor(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
             return m.transform(train.filter(F.col("fold") == k)).select(
                 F.lit(name).alias("model"), F.lit(k).alias("fold"), "y", "prediction")
         return run
 
     oof = _run_parallel([cv_task(n, k) for n in names for k in range(cfg.k_folds)], cfg.parallelism)
-    fitted = dict(_run_parallel([lambda n=n: (n, _fit_regressor(n, train, numeric, categorical, cfg))
+    fitted = dict(_run_parallel([lambda n=n: (n, fit_regressor(n, train, numeric, categorical, cfg))
                                  for n in names], cfg.parallelism))
     scores = Me.regression_metrics(_union(oof), "y", "prediction", ["model", "fold"])
     cv = _cv_table(scores, REG_METRICS)

@@ -144,16 +144,21 @@ def m09_balanced_weights(spark, d):
 
 
 def _single_classifier(spark, d, name):
-    cfg = C.Config(**CLS_CFG, models=(name,), k_folds=2, parallelism=2)
-    df = embedding_table(spark, d)
-    res = C.compare_classifiers(df, cfg)
-    return res["predictions"]
+    """Fit one classifier (with its preprocessing) on the stratified
+    training part, return its prediction table on the test part."""
+    cfg = C.Config(**CLS_CFG)
+    split = C.prepare_classification(embedding_table(spark, d), cfg)
+    model = C.fit_classifier(name, split["train"], split["numeric"], split["categorical"], split["cfg"])
+    return C.prediction_table(model.transform(split["test"]), cfg, split["labels"], name)
 
 
 def _single_regressor(spark, d, name):
-    cfg = C.Config(**REG_CFG, models=(name,), k_folds=2, parallelism=2)
-    res = C.compare_regressors(order_table(spark, d), cfg)
-    return res["predictions"]
+    """Fit one regressor on the random training part, predict the test part."""
+    cfg = C.Config(**REG_CFG)
+    split = C.prepare_regression(order_table(spark, d), cfg)
+    model = C.fit_regressor(name, split["train"], split["numeric"], split["categorical"], split["cfg"])
+    return model.transform(split["test"]).select(
+        F.lit(name).alias("model"), cfg.id_col, F.col("y").alias("y_true"), F.col("prediction").alias("y_pred"))
 
 
 @register("m10_logistic_regression")
@@ -166,10 +171,14 @@ def m11_random_forest_classifier(spark, d):
     return _single_classifier(spark, d, "random_forest")
 
 
-@register("m12_extra_trees")
-def m12_extra_trees(spark, d):
-    return _single_classifier(spark, d, "extra_trees").unionByName(
-        _single_regressor(spark, d, "extra_trees"), allowMissingColumns=True)
+@register("m12_extra_trees_classifier")
+def m12_extra_trees_classifier(spark, d):
+    return _single_classifier(spark, d, "extra_trees")
+
+
+@register("m12_extra_trees_regressor")
+def m12_extra_trees_regressor(spark, d):
+    return _single_regressor(spark, d, "extra_trees")
 
 
 @register("m13_rbf_classifier")
@@ -318,10 +327,12 @@ def m22_prediction_table(spark, d):
 @register("m23_save_load_model")
 def m23_save_load_model(spark, d):
     df = embedding_table(spark, d)
-    cfg = C.Config(**CLS_CFG, models=("logistic_regression",), k_folds=2, parallelism=2)
-    res = C.compare_classifiers(df, cfg)
+    cfg = C.Config(**CLS_CFG)
+    split = C.prepare_classification(df, cfg)
+    model = C.fit_classifier("logistic_regression", split["train"], split["numeric"], split["categorical"],
+                             split["cfg"])
     path = scratch_dir(spark, "model")
-    C.save_model(res["models"]["logistic_regression"], path)
+    C.save_model(model, path)
     loaded = C.load_model(path)
     scored = loaded.transform(df.withColumn("__target", F.col("target")))
     return scored.select("vec_id", "target", "prediction")
