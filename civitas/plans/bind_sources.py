@@ -50,25 +50,29 @@ def s3_encoding_fallback(spark, d):
     return S.read_with_encoding_fallback(spark, [f"{base}/utf8", f"{base}/latin1"], sep=";")
 
 
+SHEET_ROWS = 1000  # data rows per sheet: a sheet is one bounded file
+
+
 def _sheets(spark, d, base):
-    """Customers as one sheet per nation: 3 title rows, a header row with
-    the CODGEO marker, then data rows (same cell count on every row)."""
+    """Customers as sheets of at most SHEET_ROWS rows (blocks of customer
+    keys): 3 title rows, a header row with the CODGEO marker, then the data
+    rows — the same cell count on every row, one file per sheet."""
     c = T(spark, d, "customer").select(
-        F.col("c_nationkey").alias("sheet"),
+        F.floor(F.col("c_custkey") / SHEET_ROWS).alias("sheet"),
         F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"),
         F.col("c_mktsegment").alias("c"), F.col("c_acctbal").cast("string").alias("e"),
         (F.col("c_custkey") + 10).alias("ord"))
-    nations = T(spark, d, "nation").select(F.col("n_nationkey").alias("sheet"), "n_name")
-    titles = [nations.select("sheet", F.concat(F.lit("Title "), F.lit(i), F.lit(" "), "n_name").alias("a"),
-                             F.lit("").alias("b"), F.lit("").alias("c"), F.lit("").alias("e"),
-                             F.lit(i).cast("long").alias("ord")) for i in range(3)]
-    header = nations.select("sheet", F.lit("CODGEO").alias("a"), F.lit("NOM").alias("b"),
-                            F.lit("SEG").alias("c"), F.lit("SOLDE").alias("e"),
-                            F.lit(5).cast("long").alias("ord"))
+    sheets = c.select("sheet").distinct()
+    titles = [sheets.select("sheet", F.concat(F.lit(f"Title {i} sheet "), F.col("sheet").cast("string")).alias("a"),
+                            F.lit("").alias("b"), F.lit("").alias("c"), F.lit("").alias("e"),
+                            F.lit(i).cast("long").alias("ord")) for i in range(3)]
+    header = sheets.select("sheet", F.lit("CODGEO").alias("a"), F.lit("NOM").alias("b"),
+                           F.lit("SEG").alias("c"), F.lit("SOLDE").alias("e"),
+                           F.lit(5).cast("long").alias("ord"))
     rows = c
     for t in titles + [header]:
         rows = rows.unionByName(t)
-    # one writer task per sheet, rows in sheet order
+    # rows of a sheet stay together and in order; each sheet is one file
     rows.repartition("sheet").sortWithinPartitions("sheet", "ord").drop("ord") \
         .write.partitionBy("sheet").option("header", False).csv(base)
     return S.read_cells(spark, base)
