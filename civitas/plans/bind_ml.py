@@ -127,7 +127,9 @@ def m07_one_hot(spark, d):
                       F.size("a").cast("int").alias("vec_size"))
 
 
-@register("m08_assemble")
+@register("m08_assemble", """
+SELECT c_custkey, CAST(2 + (SELECT count(DISTINCT c_mktsegment) FROM customer) AS INTEGER) AS n_features
+FROM customer""")
 def m08_assemble(spark, d):
     c = T(spark, d, "customer")
     pre = prep.fit_preprocessor(c, ["c_acctbal", "c_nationkey"], ["c_mktsegment"])
