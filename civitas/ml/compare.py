@@ -12,7 +12,7 @@ executor does not replay the split.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString, StringIndexer
@@ -115,7 +115,6 @@ def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config
 def _resolve_exact(cfg: Config, train: DataFrame, numeric) -> Config:
     if cfg.exact_quantiles is not None:
         return cfg
-    from dataclasses import replace
     return replace(cfg, exact_quantiles=choose_exact(train, numeric))
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import zfill
+from ..functions.scalars import round_even, zfill
+from ..operators import filters as Fl
+from ..operators import joins as J
 from ..operators.aggregates import wide_counts
 from . import jobs
 from . import sqlfrag as Q
 from .bind_scalars import DIRTY_SQL, dirty_prices
+from .explore import (explore_election, explore_indicator, explore_register, profile_table,
+                      share_consistency)
 from .fixtures import T, nation_register, returnflag_counts
 from .registry import register
 
@@ -143,10 +147,8 @@ def job03_social(spark, d):
     wide = flag_status_counts(spark, d)
     parsed = wide.select("code_insee", *[F.col(c).cast("double").alias(c) for c in COMBOS])
     shares = parsed.select("code_insee", *jobs.group_shares(parsed, SOCIAL))
-    from ..operators import joins as J
     joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee",
                       bounded=jobs.REGISTER_MAX_ROWS)
-    from ..functions.scalars import round_even
     return joined.select("code_insee", "localisation",
                          *[round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL],
                          F.lit(2022).cast("int").alias("annee"))
@@ -204,9 +206,6 @@ WHERE r.localisation IS NOT NULL AND pct_jeunes IS NOT NULL AND pct_seniors IS N
 
 @register("job05_demography", _demography_sql())
 def job05_demography(spark, d):
-    from ..functions.scalars import round_even
-    from ..operators import filters as Fl
-    from ..operators import joins as J
     w = quantity_band_counts(spark, d)
     ind = w.select("code_insee", *jobs.age_indicators(w, [f"q{b}" for b in range(N_QBANDS)],
                                                       [5 * b + 2.5 for b in range(N_QBANDS)], 2, 7))
@@ -409,7 +408,6 @@ def _profile_sql():
 
 @register("job13_profile", _profile_sql())
 def job13_profile(spark, d):
-    from .explore import profile_table
     t = profile_table(T(spark, d, "orders"), ["o_totalprice", "o_custkey"])
     return t.withColumn("value", F.round("value", 4))
 
@@ -423,7 +421,6 @@ SELECT count(*) FILTER (WHERE total > 100.5) AS n_above, count(*) FILTER (WHERE
                            OR pourcentage_employes IS NULL OR pourcentage_ouvriers IS NULL) AS n_missing
 FROM t""")
 def job14_share_check(spark, d):
-    from .explore import share_consistency
     return share_consistency(job03_social(spark, d), [f"pourcentage_{g}" for g in SOCIAL])
 
 
@@ -431,7 +428,6 @@ def job14_share_check(spark, d):
 SELECT round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max,
        CAST(trunc(avg(value)) AS BIGINT) AS mean_int FROM events WHERE event_type = 'purchase'""")
 def job15_explore_kpis(spark, d):
-    from .explore import explore_indicator
     r = explore_indicator(T(spark, d, "events"), "value", "event_id", {"event_type": "purchase"})
     return r["kpis"].withColumn("mean", F.round("mean", 6))
 
@@ -442,7 +438,6 @@ def job15_explore_kpis(spark, d):
 UNION ALL
 (SELECT 'bottom', event_id, value FROM events WHERE event_type = 'purchase' ORDER BY value, event_id LIMIT 10)""")
 def job15_explore_top(spark, d):
-    from .explore import explore_indicator
     ev = T(spark, d, "events").select("event_id", "event_type", "value")
     r = explore_indicator(ev, "value", "event_id", {"event_type": "purchase"})
     return r["top"].select(F.lit("top").alias("side"), "event_id", "value").unionByName(
@@ -458,7 +453,6 @@ b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 31))
 SELECT b.bin, lo + (b.bin - 1) * ((hi - lo) / 30) AS lo, lo + b.bin * ((hi - lo) / 30) AS hi,
        coalesce(c.count, 0) AS count FROM b CROSS JOIN r LEFT JOIN c USING (bin)""")
 def job15_explore_histogram(spark, d):
-    from .explore import explore_indicator
     return explore_indicator(T(spark, d, "events"), "value", "event_id", {"event_type": "purchase"})["histogram"]
 
 
@@ -466,7 +460,6 @@ def job15_explore_histogram(spark, d):
 SELECT count(*) AS n_rows, count(DISTINCT p_name) AS n_distinct FROM part
 WHERE p_type = 'SMALL' AND coalesce(regexp_matches(p_name, '(?i)ring|gear'), false)""")
 def job16_explore_register(spark, d):
-    from .explore import explore_register
     return explore_register(T(spark, d, "part"), "p_name", "ring|gear", {"p_type": "SMALL"})
 
 
@@ -478,7 +471,6 @@ SELECT count(*) AS n_rows,
          AS mean_winning_score
 FROM e""")
 def job17_explore_election(spark, d):
-    from .explore import explore_election
     e = job09_election(spark, d)
     r = explore_election(e, "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])
     return r["kpi"].withColumn("mean_winning_score", F.round("mean_winning_score", 4))
@@ -487,6 +479,5 @@ def job17_explore_election(spark, d):
 @register("job17_bloc_distribution", f"""
 WITH e AS ({_election_sql()}) SELECT classe_politique, count(*) AS count FROM e GROUP BY 1""")
 def job17_bloc_distribution(spark, d):
-    from .explore import explore_election
     e = job09_election(spark, d)
     return explore_election(e, "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])["distribution"]

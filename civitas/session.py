@@ -8,6 +8,7 @@ instead of failing a 1000-executor job on one dirty cell.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +74,5 @@ def cut_lineage(df, eager: bool = True):
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint directory (never a
     machine-local temp folder): intermediate tables survive executor loss."""
-    import uuid
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/civitas-{name}/{uuid.uuid4().hex}"

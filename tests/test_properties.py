@@ -3,7 +3,6 @@ job per property over a generated batch."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from civitas.functions import scalars as X
 
