@@ -287,7 +287,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 def polling_stations(spark, d):
     """Orders as polling-station rows: commune = customer's nation, votes per
     'candidate' = price of the order under its priority, as text."""
-    o = T(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
+    o = T(spark, d, "orders", spread=True).select("o_custkey", "o_orderpriority", "o_totalprice")
     c = T(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     oc = o.join(c, "o_custkey")
     txt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")

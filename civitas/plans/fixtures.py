@@ -11,8 +11,8 @@ from ..functions.scalars import zfill
 from ..operators.aggregates import wide_counts
 
 
-def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return load(spark, sf_dir, name)
+def T(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return load(spark, sf_dir, name, spread)
 
 
 def nation_register(spark: SparkSession, sf_dir: str) -> DataFrame:
