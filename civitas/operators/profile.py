@@ -112,8 +112,8 @@ def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
     """Equal-width bins between min and max, last bin closed,
     empty bins filled with 0. Output (bin, lo, hi, count)."""
     x = F.col(col).cast("double")
-    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = df.agg(F.array(F.min(x), F.max(x)).alias("r")).scalar()  # one subquery
+    lo, hi = rng[0], rng[1]
     width = (hi - lo) / F.lit(n_bins)
     idx = F.when(hi > lo, F.least(F.floor((x - lo) * F.lit(n_bins) / (hi - lo)) + 1,
                                   F.lit(n_bins))).otherwise(F.lit(1))
@@ -131,8 +131,8 @@ def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None
     the fences, and the outlier count — two passes, no sort of the data."""
     x = F.col(col).cast("double")
     exact = choose_exact(df, [col]) if exact is None else exact
-    q = df.agg(_quantiles(col, QUARTILES, exact).alias("q"))
-    q1, med, q3 = (q.select(F.col("q")[i]).scalar() for i in range(3))
+    q = df.agg(_quantiles(col, QUARTILES, exact).alias("q")).scalar()  # one subquery
+    q1, med, q3 = q[0], q[1], q[2]
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whisker) * iqr, q3 + F.lit(whisker) * iqr
     return df.agg(
@@ -147,8 +147,8 @@ def outliers(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None =
     """The outlier rows themselves."""
     x = F.col(col).cast("double")
     exact = choose_exact(df, [col]) if exact is None else exact
-    q = df.agg(_quantiles(col, [0.25, 0.75], exact).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
+    q = df.agg(_quantiles(col, [0.25, 0.75], exact).alias("q")).scalar()  # one subquery
+    q1, q3 = q[0], q[1]
     iqr = q3 - q1
     return df.filter((x < q1 - F.lit(whisker) * iqr) | (x > q3 + F.lit(whisker) * iqr))
 
