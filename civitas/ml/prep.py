@@ -14,10 +14,10 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.profile import exact_quantiles
 from ..operators.ranking import exact_rank, hash_key
 
 SEED = 42
-APPROX_ACCURACY = 100_000  # percentile_approx accuracy when exact medians are too wide
 
 
 def _ranked(df: DataFrame, id_col: str, seed: int, by=()) -> DataFrame:
@@ -52,17 +52,15 @@ def folds(df: DataFrame, k: int = 5, seed: int = SEED, id_col: str = "id", label
     return r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int")).drop("__h", "__rank")
 
 
-def _median(col, exact: bool):
-    x = F.col(col).cast("double")
-    return F.percentile(x, 0.5) if exact else F.percentile_approx(x, 0.5, APPROX_ACCURACY)
-
-
 def fit_medians(df: DataFrame, cols, exact: bool = True) -> dict:
-    """Interpolated median of each column (one agg); exact unless
-    the caller found the columns too wide (see ``profile.choose_exact``)."""
+    """Exact interpolated median of each column — one percentile
+    aggregation for narrow columns, bucket refinement (``exact=False``) for
+    columns too wide for a value map (see ``profile.choose_exact``)."""
     if not cols:
         return {}
-    row = df.agg(*[_median(c, exact).alias(c) for c in cols]).first()
+    if not exact:
+        return {c: exact_quantiles(df, c, [0.5])[0] for c in cols}
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -127,12 +125,17 @@ def fit_numeric_stats(df: DataFrame, cols, exact: bool = True) -> dict:
         return {}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], list(cols), "c", "v")
-    rows = long.groupBy("c").agg(_median("v", exact).alias("med"), F.count("v").alias("k"),
-                                 F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"),
-                                 F.count(F.lit(1)).alias("n")).collect()
+    moments = [F.count("v").alias("k"), F.sum("v").alias("s"),
+               F.sum(F.col("v") * F.col("v")).alias("ss"), F.count(F.lit(1)).alias("n")]
+    if exact:
+        rows = long.groupBy("c").agg(F.percentile("v", 0.5).alias("med"), *moments).collect()
+        medians = {r["c"]: r["med"] for r in rows}
+    else:  # wide columns: exact median by bucket refinement, no value map
+        rows = long.groupBy("c").agg(*moments).collect()
+        medians = {c: exact_quantiles(df, c, [0.5])[0] for c in cols}
     out = {}
     for r in rows:
-        med = r["med"]
+        med = medians[r["c"]]
         n, k = r["n"], r["k"]
         fill = med if med is not None else 0.0
         s = (r["s"] or 0.0) + (n - k) * fill

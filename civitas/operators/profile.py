@@ -9,7 +9,7 @@ driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -28,6 +28,79 @@ def _quantiles(col: str, probs, exact: bool):
                                APPROX_ACCURACY)
 
 
+REFINE_BUCKETS = 1 << 16
+REFINE_LEAF_ROWS = 200_000
+
+
+def exact_quantiles(df: DataFrame, col: str, probs) -> list:
+    """Exact, linearly interpolated quantiles of a column of any size and
+    cardinality, without a value->count map.
+
+    Only the values at ranks floor/ceil((n-1)p) are needed. A round counts
+    rows per equal-width value bucket (partial aggregation, at most 2**16
+    groups), locates the bucket of every wanted rank from the cumulative
+    counts, and ranks rows only inside those buckets (a window per bucket of
+    at most ``REFINE_LEAF_ROWS`` rows); a larger bucket — heavy skew — is
+    refined by another round over its own value range, and a bucket whose
+    values are all equal is answered at once. Only counts per bucket and
+    the wanted values reach the driver.
+    """
+    v = df.select(F.col(col).cast("double").alias("v")).dropna()
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n = st["n"]
+    if not n:
+        return [None] * len(probs)
+    pos = [((n - 1) * p, int((n - 1) * p // 1), int(-(-((n - 1) * p) // 1))) for p in probs]
+    values = _values_at_ranks(v, sorted({r for _, a, b in pos for r in (a, b)}), st["lo"], st["hi"], n)
+    return [values[a] if a == b else values[a] + (h - a) * (values[b] - values[a]) for h, a, b in pos]
+
+
+def _values_at_ranks(part: DataFrame, ranks, lo, hi, n) -> dict:
+    if lo == hi:
+        return {r: lo for r in ranks}
+    if n <= REFINE_LEAF_ROWS:
+        w = Window.orderBy("v")  # at most REFINE_LEAF_ROWS rows
+        rows = part.withColumn("__rk", F.row_number().over(w) - 1) \
+            .filter(F.col("__rk").isin(list(ranks))).collect()
+        return {r["__rk"]: r["v"] for r in rows}
+    width = (hi - lo) / REFINE_BUCKETS
+    bucket = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
+                     F.lit(REFINE_BUCKETS - 1)).cast("int")
+    counts = sorted((r["b"], r["c"]) for r in
+                    part.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+    local, seen, i = {}, 0, 0
+    for b, c in counts:
+        while i < len(ranks) and ranks[i] < seen + c:
+            local.setdefault(b, []).append((ranks[i], ranks[i] - seen))
+            i += 1
+        seen += c
+    sized = {r["b"]: r for r in part.withColumn("b", bucket).filter(F.col("b").isin(list(local)))
+             .groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                               F.max("v").alias("hi")).collect()}
+    out = {}
+    leaf = [b for b in local if sized[b]["n"] <= REFINE_LEAF_ROWS or sized[b]["lo"] == sized[b]["hi"]]
+    for b in leaf:
+        if sized[b]["lo"] == sized[b]["hi"]:
+            out.update({g: sized[b]["lo"] for g, _ in local[b]})
+    ranked = [b for b in leaf if sized[b]["lo"] != sized[b]["hi"]]
+    if ranked:
+        w = Window.partitionBy("b").orderBy("v")  # each bucket <= REFINE_LEAF_ROWS rows
+        keys = F.struct(F.col("b"), F.col("__rk"))
+        want = [F.struct(F.lit(b), F.lit(lr)) for b in ranked for _, lr in local[b]]
+        rows = part.withColumn("b", bucket).filter(F.col("b").isin(ranked)) \
+            .withColumn("__rk", F.row_number().over(w) - 1).filter(keys.isin(want)).collect()
+        got = {(r["b"], r["__rk"]): r["v"] for r in rows}
+        for b in ranked:
+            out.update({g: got[(b, lr)] for g, lr in local[b]})
+    for b in local:
+        if b not in leaf:
+            sub = part.filter(bucket == b)
+            deeper = _values_at_ranks(sub, [lr for _, lr in local[b]], sized[b]["lo"], sized[b]["hi"],
+                                      sized[b]["n"])
+            out.update({g: deeper[lr] for g, lr in local[b]})
+    return out
+
+
 def _exact_flags(df: DataFrame, cols, exact):
     if exact is not None:
         return {c: exact for c in cols}
@@ -45,14 +118,21 @@ def describe(df: DataFrame, cols, exact: bool | None = None) -> DataFrame:
     """Count, mean, std (n-1), min, 25%, 50%, 75%, max per column,
     linear-interpolated quartiles, as (column, statistic, value).
 
-    One aggregation for every column; ``exact=None`` probes the distinct
-    count first and uses approximate quantiles for very wide columns.
+    One aggregation for every column. Quartiles: ``exact=None`` (default)
+    takes the exact percentile inside that aggregation for columns with at
+    most EXACT_QUANTILE_MAX_DISTINCT distinct values and ``exact_quantiles``
+    (bucket refinement, still exact) for wider ones; ``exact=True`` forces
+    the former, ``exact=False`` uses percentile_approx.
     """
     flags = _exact_flags(df, cols, exact)
+    refined = {c: exact_quantiles(df, c, QUARTILES) for c in cols if exact is None and not flags[c]}
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = _quantiles(c, QUARTILES, flags[c])
+        if c in refined:
+            q = [F.lit(v).cast("double") for v in refined[c]]
+        else:
+            q = _quantiles(c, QUARTILES, flags[c] or exact is None)
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  q[0].alias(f"{c}__25%"), q[1].alias(f"{c}__50%"), q[2].alias(f"{c}__75%"),
@@ -126,13 +206,21 @@ def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
                 F.coalesce("count", F.lit(0)).alias("count"))
 
 
+def _quantile_columns(df: DataFrame, col: str, probs, exact: bool | None):
+    """Quantiles as columns: a scalar subquery over the exact percentile for
+    narrow columns, literals from ``exact_quantiles`` for wide ones (auto),
+    percentile_approx when ``exact`` is False."""
+    if exact is None and not choose_exact(df, [col]):
+        return [F.lit(v).cast("double") for v in exact_quantiles(df, col, probs)]
+    q = df.agg(_quantiles(col, probs, exact is not False).alias("q")).scalar()  # one subquery
+    return [q[i] for i in range(len(probs))]
+
+
 def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
     """Quartiles, IQR fences, whiskers at the furthest points inside
     the fences, and the outlier count — two passes, no sort of the data."""
     x = F.col(col).cast("double")
-    exact = choose_exact(df, [col]) if exact is None else exact
-    q = df.agg(_quantiles(col, QUARTILES, exact).alias("q")).scalar()  # one subquery
-    q1, med, q3 = q[0], q[1], q[2]
+    q1, med, q3 = _quantile_columns(df, col, QUARTILES, exact)
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whisker) * iqr, q3 + F.lit(whisker) * iqr
     return df.agg(
@@ -146,9 +234,7 @@ def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None
 def outliers(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
     """The outlier rows themselves."""
     x = F.col(col).cast("double")
-    exact = choose_exact(df, [col]) if exact is None else exact
-    q = df.agg(_quantiles(col, [0.25, 0.75], exact).alias("q")).scalar()  # one subquery
-    q1, q3 = q[0], q[1]
+    q1, q3 = _quantile_columns(df, col, [0.25, 0.75], exact)
     iqr = q3 - q1
     return df.filter((x < q1 - F.lit(whisker) * iqr) | (x > q3 + F.lit(whisker) * iqr))
 

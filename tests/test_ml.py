@@ -118,3 +118,18 @@ def test_rff_transformer_roundtrip(spark, tmp_path):
     b = Mo.RandomFourierFeatures.load(path).transform(feats).select(vector_to_array("rff").alias("z")).collect()
     assert [r["z"] for r in a] == [r["z"] for r in b]
     assert len(a[0]["z"]) == 16
+
+
+def test_exact_quantiles_by_refinement_match_numpy(spark):
+    from civitas.operators import profile as Pr
+    old = Pr.REFINE_LEAF_ROWS
+    Pr.REFINE_LEAF_ROWS = 50  # force several refinement rounds on a small input
+    try:
+        rng = np.random.default_rng(1)
+        vals = np.concatenate([rng.exponential(1e6, 3000), np.full(2000, 7.0), rng.normal(0, 1e-6, 1000)])
+        df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0, 0.3337]
+        got = Pr.exact_quantiles(df, "x", probs)
+        assert got == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12, abs=1e-15)
+    finally:
+        Pr.REFINE_LEAF_ROWS = old
