@@ -14,7 +14,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.profile import exact_quantiles
+from ..operators.profile import exact_quantiles, mode_of
 from ..operators.ranking import exact_rank, hash_key
 
 SEED = 42
@@ -65,11 +65,27 @@ def fit_medians(df: DataFrame, cols, exact: bool = True) -> dict:
 
 
 def fit_modes(df: DataFrame, cols) -> dict:
-    """Most frequent value of each column, smallest on ties."""
+    """Most frequent value of each column, smallest on ties.
+
+    Counts per value are partially aggregated and the winner is the
+    ``min_by`` of (-count, value), so no value->count map sits in one task.
+    Text columns are done together in long form (column, value); other
+    types one column at a time so ties compare in their own type.
+    """
     if not cols:
         return {}
-    row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    types = dict(df.dtypes)
+    text = [c for c in cols if types[c] == "string"]
+    out = {}
+    if text:
+        long = df.select(*text).unpivot([], text, "c", "v").filter(F.col("v").isNotNull())
+        counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        out.update({r["c"]: r["m"] for r in counts.groupBy("c").agg(
+            F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("m")).collect()})
+    for c in cols:
+        if c not in text:
+            out[c] = mode_of(df, c, "m").first()["m"]
+    return {c: out.get(c) for c in cols}
 
 
 def fit_scaling(df: DataFrame, cols) -> dict:

@@ -145,8 +145,14 @@ def describe(df: DataFrame, cols, exact: bool | None = None) -> DataFrame:
 
 
 def mode_of(df: DataFrame, col: str, alias: str = "mode") -> DataFrame:
-    """Most frequent value, smallest on ties."""
-    return df.agg(F.mode(F.col(col), True).alias(alias))
+    """Most frequent non-missing value, smallest on ties.
+
+    Counted per value with a partial aggregation, then the winner is the
+    ``min_by`` of (-count, value) — no value->count map in one task, so a
+    high-cardinality column scales like any group-by.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.agg(F.min_by(F.col(col), F.struct(-F.col("__n"), F.col(col))).alias(alias))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
