@@ -59,7 +59,9 @@ def explore_election(df: DataFrame, class_col: str, score_cols, filters: dict |
     f = df
     for col, v in (filters or {}).items():
         f = Fl.filter_equals(f, col, v)
-    kpi = f.agg(F.count(F.lit(1)).alias("n_rows"), F.mode(F.col(class_col), True).alias("dominant"),
-                F.avg(F.greatest(*[F.col(c) for c in score_cols])).alias("mean_winning_score"))
+    dominant = Pr.mode_of(f, class_col).scalar()  # partial counts, one scalar subquery
+    kpi = f.agg(F.count(F.lit(1)).alias("n_rows"),
+                F.avg(F.greatest(*[F.col(c) for c in score_cols])).alias("mean_winning_score")) \
+        .select("n_rows", dominant.alias("dominant"), "mean_winning_score")
     return {"kpi": kpi, "distribution": Pr.value_counts(f, class_col),
             "mean_scores": Pr.column_means_long(f, score_cols)}
