@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .arrow_store import token_files
 from .encoder import tokenizer_path
+from .near_duplicates import near_duplicates
 from .packing import pack_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), False, 2)
+
+
+@register
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, sf_dir, "documents"))
