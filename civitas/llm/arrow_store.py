@@ -51,8 +51,8 @@ class TokenWriter:
     def add(self, ids: np.ndarray) -> None:
         self.left.append(ids)
         self.held += len(ids)
-        if self.held >= self.length * BATCH_ROWS:
-            self._write(self.held // self.length * self.length)
+        while self.held >= self.length * BATCH_ROWS:  # all batches but the last have one size
+            self._write(self.length * BATCH_ROWS)
 
     def _write(self, n: int, pad: int = 0) -> None:
         flat = np.concatenate(self.left) if self.left else np.zeros(0, np.uint32)
