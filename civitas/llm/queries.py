@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .arrow_store import token_files
 from .encoder import tokenizer_path
 from .near_duplicates import near_duplicates
 from .packing import pack_tokens
+from .repeated_spans import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +39,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans",
+                        F.sha2("dedup.kept", 256).alias("kept_sha256"))
