@@ -4,8 +4,8 @@ Documents are put in ascending ``doc_id`` order by a range partitioning.
 Every partition writes two Arrow files into one shared folder:
 
 * ``tokens-<p>.arrow``: one row per sequence of ``length`` ids with its mask
-  (``fixed_size_list<uint32>``, ``fixed_size_list<uint8>``), the partition's
-  ids one after the other, only the last sequence padded (mask 0). Rows all
+  (fixed-size lists of ``uint16``, ``uint32`` for vocabularies over 65,536
+  ids, and of bits), the partition's ids one after the other, only the last sequence padded (mask 0). Rows all
   have one size, so id ``i`` lies at row ``i // length`` and a memory map
   gives it without a copy.
 * ``index-<p>.arrow``: ``doc_id, start, n_tokens`` inside the partition.
@@ -43,23 +43,23 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
 class TokenWriter:
     """Appends id arrays to one token file; memory holds one batch."""
 
-    def __init__(self, sink, length: int):
-        self.length, self.left, self.held = length, [], 0
-        self.schema = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+    def __init__(self, sink, length: int, dtype: type):
+        self.length, self.left, self.held, self.dtype = length, [], 0, dtype
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.writer = pa.ipc.new_file(sink, self.schema)
 
     def add(self, ids: np.ndarray) -> None:
-        self.left.append(ids)
+        self.left.append(ids.astype(self.dtype))
         self.held += len(ids)
         while self.held >= self.length * BATCH_ROWS:  # all batches but the last have one size
             self._write(self.length * BATCH_ROWS)
 
     def _write(self, n: int, pad: int = 0) -> None:
-        flat = np.concatenate(self.left) if self.left else np.zeros(0, np.uint32)
+        flat = np.concatenate(self.left) if self.left else np.zeros(0, self.dtype)
         self.left, self.held = [flat[n:]], len(flat) - n
-        flat = np.concatenate([flat[:n], np.zeros(pad, np.uint32)])
-        mask = np.ones(len(flat), np.uint8)
-        mask[n:] = 0
+        flat = np.concatenate([flat[:n], np.zeros(pad, self.dtype)])
+        mask = np.ones(len(flat), bool)
+        mask[n:] = False
         self.writer.write_batch(pa.record_batch(
             [pa.FixedSizeListArray.from_arrays(pa.array(flat), self.length),
              pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length)], schema=self.schema))
@@ -84,7 +84,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, keeps_space: bool
         mine = uuid.uuid4().hex
         names, starts, counts, total = [], [], [], 0
         with fs.open_output_stream(f"{base}/_{mine}.tokens") as sink:
-            writer = TokenWriter(sink, length)
+            writer = TokenWriter(sink, length, np.uint16 if codec.vocabulary <= 1 << 16 and end_id < 1 << 16 else np.uint32)
             for rb in batches:
                 names += rb.column(0).to_pylist()
                 for _, ids, bounds in codec.encode(rb.column(1), end_id):
@@ -138,7 +138,7 @@ def read_token_files(spark: SparkSession, parts: DataFrame, folder: str, with_id
                     for a, n in zip(starts.tolist(), counts.tolist()):
                         crc, pieces = 0, []
                         for x in cursor.slices(a, n):
-                            crc = zlib.crc32(x, crc)
+                            crc = zlib.crc32(x.astype("<u4").tobytes(), crc)
                             if with_ids:
                                 pieces.append(x)
                         crcs.append(crc)

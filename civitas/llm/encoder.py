@@ -47,6 +47,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.keeps_space, self.max_pieces = keeps_space, max_pieces
         self._clear()
 
