@@ -12,6 +12,7 @@ from .encoder import tokenizer_path
 from .near_duplicates import near_duplicates
 from .packing import pack_tokens
 from .repeated_spans import remove_repeats
+from .toxicity import fit_on_labels, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +47,10 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans",
                         F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
