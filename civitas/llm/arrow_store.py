@@ -3,15 +3,15 @@
 Documents are put in ascending ``doc_id`` order by a range partitioning.
 Every partition writes two Arrow files into one shared folder:
 
-* ``tokens-<p>.arrow``: one row per sequence of ``length`` ids with its mask
+* ``<name>.tokens``: one row per sequence of ``length`` ids with its mask
   (fixed-size lists of ``uint16``, ``uint32`` for vocabularies over 65,536
   ids, and of bits), the partition's ids one after the other, only the last sequence padded (mask 0). Rows all
   have one size, so id ``i`` lies at row ``i // length`` and a memory map
   gives it without a copy.
-* ``index-<p>.arrow``: ``doc_id, start, n_tokens`` inside the partition.
+* ``<name>.index``: ``doc_id, start, n_tokens`` inside the partition.
 
-A task writes under a name of its own attempt and renames at the end, so a
-repeated task leaves one whole file. Only one row per partition (its number
+A task attempt writes files of its own name and reports that name, so only
+whole files of attempts that counted are read. Only one row per partition (its number
 of ids) is added up to turn starts into global ones.
 """
 
@@ -83,7 +83,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, keeps_space: bool
         fs.create_dir(base, recursive=True)
         mine = uuid.uuid4().hex
         names, starts, counts, total = [], [], [], 0
-        with fs.open_output_stream(f"{base}/_{mine}.tokens") as sink:
+        with fs.open_output_stream(f"{base}/{mine}.tokens") as sink:
             writer = TokenWriter(sink, length, np.uint16 if codec.vocabulary <= 1 << 16 and end_id < 1 << 16 else np.uint32)
             for rb in batches:
                 names += rb.column(0).to_pylist()
@@ -94,27 +94,25 @@ def write_token_files(docs: DataFrame, folder: str, path: str, keeps_space: bool
                     total += len(ids)
             writer.close()
         if not names:
-            fs.delete_file(f"{base}/_{mine}.tokens")
+            fs.delete_file(f"{base}/{mine}.tokens")
             return
         index = pa.table({"doc_id": pa.array(names, pa.int64()), "start": np.concatenate(starts),
                           "n_tokens": np.concatenate(counts)})
-        with fs.open_output_stream(f"{base}/_{mine}.index") as sink, pa.ipc.new_file(sink, index.schema) as w:
+        with fs.open_output_stream(f"{base}/{mine}.index") as sink, pa.ipc.new_file(sink, index.schema) as w:
             w.write_table(index, max_chunksize=1 << 16)
-        for kind in ("tokens", "index"):
-            fs.move(f"{base}/_{mine}.{kind}", f"{base}/{kind}-{part:06d}.arrow")
         yield pa.record_batch({"part": pa.array([part], pa.int32()), "n_ids": pa.array([total], pa.int64()),
-                               "n_docs": pa.array([len(names)], pa.int64())})
+                               "n_docs": pa.array([len(names)], pa.int64()), "name": pa.array([mine])})
 
     ordered = (docs.select(id_column, text_column)
                .repartitionByRange(id_column).sortWithinPartitions(id_column, text_column))
-    return ordered.mapInArrow(partition, "part int, n_ids bigint, n_docs bigint")
+    return ordered.mapInArrow(partition, "part int, n_ids bigint, n_docs bigint, name string")
 
 
 def read_token_files(spark: SparkSession, parts: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
     """Documents of the files named by ``parts`` (part, n_ids): doc_id, global
     start, n_tokens, ids_crc32 (and the ids). Files are memory-mapped where
     the folder is local, and read by batch elsewhere."""
-    base_rows = parts.select("part", (F.sum("n_ids").over(
+    base_rows = parts.select("name", (F.sum("n_ids").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("base"))
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
 
@@ -126,9 +124,9 @@ def read_token_files(spark: SparkSession, parts: DataFrame, folder: str, with_id
             return pa.memory_map(name) if local else fs.open_input_file(name)
 
         for rb in batches:
-            for part, before in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
-                tokens = pa.ipc.open_file(source(f"{base}/tokens-{part:06d}.arrow"))
-                index = pa.ipc.open_file(source(f"{base}/index-{part:06d}.arrow"))
+            for name, before in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
+                tokens = pa.ipc.open_file(source(f"{base}/{name}.tokens"))
+                index = pa.ipc.open_file(source(f"{base}/{name}.index"))
                 length = tokens.schema.field("ids").type.list_size
                 cursor = _Cursor(tokens, length)
                 for j in range(index.num_record_batches):
@@ -150,7 +148,7 @@ def read_token_files(spark: SparkSession, parts: DataFrame, folder: str, with_id
                     yield pa.record_batch(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(cols)])
 
     # one small task per file
-    spread = base_rows.repartition("part")
+    spread = base_rows.repartition("name")
     return spread.mapInArrow(read, schema)
 
 

@@ -12,6 +12,8 @@ from .encoder import tokenizer_path
 from .near_duplicates import near_duplicates
 from .packing import pack_tokens
 from .repeated_spans import remove_repeats
+from .url_filter import judge_urls
+from .warc import archive_pages
 from .toxicity import fit_on_labels, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +56,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@register
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
