@@ -36,8 +36,8 @@ _LOW = 57  # bits below the bucket number
 #: Chance that different minima give one register: equal zero counts, times
 #: equal mantissas.
 COLLISION = (1 / 3) / (1 << MANTISSA)
-#: Rows of a block when members of a crowded bucket are compared.
-BLOCK = 2048
+#: Rows and shingles of a block when members of a crowded bucket are compared.
+BLOCK_ROWS, BLOCK_ITEMS = 2048, 1 << 20
 
 _FILL = np.stack([np.random.default_rng(100 + j).permutation(BUCKETS) for j in range(BUCKETS)])
 _WORD_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -147,7 +147,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regs = np.frombuffer(b"".join(rb.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
         keys = band_keys(regs)
         yield pa.record_batch([pa.array(np.repeat(rb.column(0).to_numpy(zero_copy_only=False), BANDS)),
-                               pa.array(keys.reshape(-1))], names=["rep", "key"])
+                               pa.array(keys.reshape(-1)), pa.array(np.repeat(rb.column(2).to_numpy(), BANDS))],
+                              names=["rep", "key", "size"])
 
 
 def _promising(low: float):
@@ -161,21 +162,38 @@ def _promising(low: float):
 
 
 def _across(low: float, similarity: int):
-    """Pairs of one block: probes with members of other components."""
+    """Links of one block between members of different components, on full
+    sets. A pair is looked at in the first band it shares; once a link joins
+    two components, no further pair of them is."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
         regs = np.frombuffer(b"".join(block["regs"]), np.uint16).reshape(-1, BUCKETS)
-        probe = block["probe"].to_numpy()
-        rep, comp, size = (block[c].to_numpy() for c in ("rep", "comp", "size"))
+        probe, rep, size = (block[c].to_numpy() for c in ("probe", "rep", "size"))
+        comp = block["comp"].to_numpy().copy()
+        count = np.array([len(x) for x in block["items"]])
+        begin = np.cumsum(count) - count
+        _, items = np.unique(np.concatenate(block["items"].tolist()), return_inverse=True)
+        present = np.zeros(len(items) + 1, np.int64)
+        band = int(np.argmax(band_keys(regs[:1])[0] == block["key"].iloc[0]))
         members = np.flatnonzero(~probe)
-        out_a, out_b = [], []
+        links: list[tuple[int, int]] = []
         for p in np.flatnonzero(probe):
             m = members[comp[members] != comp[p]]
             m = m[100 * np.minimum(size[m], size[p]) >= similarity * np.maximum(size[m], size[p])]
-            m = m[estimate((regs[m] == regs[p]).sum(axis=1)) >= low]
-            out_a.append(np.minimum(rep[m], rep[p]))
-            out_b.append(np.maximum(rep[m], rep[p]))
-        empty = [np.zeros(0, np.int64)]
-        return pd.DataFrame({"a": np.concatenate(out_a or empty), "b": np.concatenate(out_b or empty)})
+            equal = regs[m] == regs[p]
+            bands = equal[:, :BANDS * ROWS].reshape(len(m), BANDS, ROWS).all(axis=2)
+            m = m[(estimate(equal.sum(axis=1)) >= low) & (bands.argmax(axis=1) == band)]
+            if not len(m):
+                continue
+            own = items[begin[p]:begin[p] + count[p]]
+            present[own] = 1
+            take = np.arange(count[m].sum()) + np.repeat(begin[m] - (np.cumsum(count[m]) - count[m]), count[m])
+            shared = np.bincount(np.repeat(np.arange(len(m)), count[m]), present[items[take]], len(m))
+            present[own] = 0
+            for k in m[100 * shared >= similarity * (count[m] + count[p] - shared)]:
+                if comp[k] != comp[p]:
+                    links.append((min(rep[k], rep[p]), max(rep[k], rep[p])))
+                    comp[comp == comp[k]] = comp[p]
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
     return run
 
 
@@ -199,7 +217,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 3, simila
         F.min("doc_id").alias("rep"), F.first("regs").alias("regs")), f"{folder}/classes")
     reps = classes.where("rep is not null")
 
-    members = reps.select("rep", "regs").mapInArrow(_bands, "rep bigint, key bigint")
+    members = reps.select("rep", "regs", "n_shingles").mapInArrow(_bands, "rep bigint, key bigint, size bigint")
     crowded = stored(members.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), f"{folder}/crowded")
     crowd = stored(members.join(crowded, "key"), f"{folder}/crowd")
     central = crowd.groupBy("rep").agg(F.sum("crowd").alias("score"))
@@ -230,24 +248,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 3, simila
     edges = stored(linked(near), f"{folder}/edges")
     found = connected_components(spark, edges, f"{folder}/first")
     placed = stored(crowd.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp")), f"{folder}/placed")
+        "key", "rep", F.coalesce("component", "rep").alias("comp"), "size",
+        (1 / F.lit(BLOCK_ROWS) + F.col("size") / BLOCK_ITEMS).alias("load")), f"{folder}/placed")
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    # the component with the most members of a bucket is not compared with itself
-    per = placed.join(split.select("key"), "key").groupBy("key", "comp").agg(F.count("*").alias("n"))
-    main = stored(per.groupBy("key").agg(F.sum("n").alias("total"), F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"),
-                                         F.max("n").alias("most")), f"{folder}/main")
-    rows = (placed.join(main, "key").join(by_rep, "rep")
-            .withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
-            .withColumn("probes", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int"))
-            .withColumn("h", F.xxhash64("rep")))
-    as_member = (rows.withColumn("block", F.pmod("h", F.col("blocks")).cast("int"))
-                 .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("probes") - 1))).withColumn("probe", F.lit(False)))
-    as_probe = (rows.where("comp <> main").withColumn("part", F.pmod("h", F.col("probes")).cast("int"))
+    # the component with the largest load of a bucket is not compared with itself
+    per = placed.join(split.select("key"), "key").groupBy("key", "comp").agg(F.sum("load").alias("n"))
+    main = stored(per.groupBy("key").agg(F.ceil(F.sum("n")).cast("int").alias("blocks"),
+                                         F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"),
+                                         F.ceil(F.sum("n") - F.max("n")).cast("int").alias("parts")), f"{folder}/main")
+    rows = placed.join(main, "key").withColumn("h", F.xxhash64("rep"))
+    as_member = (rows.withColumn("block", F.pmod("h", "blocks").cast("int"))
+                 .withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest("parts", F.lit(1)) - 1)))
+                 .withColumn("probe", F.lit(False)))
+    as_probe = (rows.where("comp <> main").withColumn("part", F.pmod("h", F.greatest("parts", F.lit(1))).cast("int"))
                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("probe", F.lit(True)))
-    columns = ["key", "block", "part", "probe", "rep", "comp", "size", "regs"]
-    across = (as_member.select(columns).unionByName(as_probe.select(columns))
-              .groupBy("key", "block", "part").applyInPandas(_across(low, similarity), "a bigint, b bigint").distinct())
-    more = stored(linked(stored(across.join(near, ["a", "b"], "left_anti"), f"{folder}/across")), f"{folder}/more")
+    columns = ["key", "block", "part", "probe", "rep", "comp", "size"]
+    more = stored(as_member.select(columns).unionByName(as_probe.select(columns))
+                  .join(by_rep.select("rep", "regs"), "rep").join(sets, "rep")
+                  .groupBy("key", "block", "part").applyInPandas(_across(low, similarity), "a bigint, b bigint").distinct(),
+                  f"{folder}/more")
     component = connected_components(spark, edges.unionByName(more), f"{folder}/second")
 
     return (sketch.join(classes.select("n_shingles", "d1", "d2", "rep"), ["n_shingles", "d1", "d2"], "left")
