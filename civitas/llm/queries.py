@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow_store import token_files
+from .decontaminate import flag_leaks
 from .encoder import tokenizer_path
+from .licenses import scan_licenses
 from .near_duplicates import near_duplicates
 from .packing import pack_tokens
 from .repeated_spans import remove_repeats
@@ -67,3 +69,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "contaminated", "n_items")
+
+
+@register
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(spark, table(spark, sf_dir, "documents")).select("doc_id", "license", "containment", "first_token")
