@@ -12,6 +12,7 @@ from .decontaminate import flag_leaks
 from .encoder import tokenizer_path
 from .licenses import scan_licenses
 from .near_duplicates import near_duplicates
+from .near_vectors import near_vectors
 from .packing import pack_tokens
 from .repeated_spans import remove_repeats
 from .url_filter import judge_urls
@@ -80,3 +81,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(spark, table(spark, sf_dir, "documents")).select("doc_id", "license", "containment", "first_token")
+
+
+@register
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark, table(spark, sf_dir, "embeddings"))
