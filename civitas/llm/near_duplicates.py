@@ -6,7 +6,7 @@
    of short texts are filled from other buckets in a fixed order per bucket.
 2. Texts with equal shingle sets are one class, its smallest id stands for it.
 3. Five registers make a band; two sets with Jaccard 0.85 miss all 25 bands
-   with probability 4e-7.
+   with probability 4e-7 (from 0.8 on four: 32 bands, 5e-8).
 4. Every band bucket first pairs its members with its most central one (the
    member in the most crowded buckets), which is linear in its size; pairs
    pass the collision-corrected Jaccard estimate and then the exact check on
@@ -30,7 +30,7 @@ from ..session import scratch_dir
 from .components import connected_components, stored
 from .textbytes import lower_ascii, mix, span_hashes, text_chunks, word_spans
 
-BUCKETS, BANDS, ROWS = 128, 25, 5
+BUCKETS = 128
 MANTISSA = 10
 _LOW = 57  # bits below the bucket number
 #: Chance that different minima give one register: equal zero counts, times
@@ -98,10 +98,20 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    part = regs[:, :BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
-    key = np.zeros((len(regs), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
+def band_rows(similarity: int) -> int:
+    """Registers of a band: chance to miss all bands under 1e-6 from 80 on."""
+    return 5 if similarity >= 85 else 4 if similarity >= 80 else 3
+
+
+def _bands_of(regs: np.ndarray, rows: int) -> np.ndarray:
+    bands = BUCKETS // rows
+    return regs[:, :bands * rows].reshape(len(regs), bands, rows)
+
+
+def band_keys(regs: np.ndarray, rows: int) -> np.ndarray:
+    part = _bands_of(regs, rows).astype(np.uint64)
+    key = np.zeros(part.shape[:2], np.uint64) + np.arange(1, part.shape[1] + 1, dtype=np.uint64)
+    for k in range(rows):
         key = mix(key ^ part[:, :, k])
     return key.view(np.int64)
 
@@ -142,13 +152,13 @@ def _sets(words: int):
     return run
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rb in batches:
-        regs = np.frombuffer(b"".join(rb.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        keys = band_keys(regs)
-        yield pa.record_batch([pa.array(np.repeat(rb.column(0).to_numpy(zero_copy_only=False), BANDS)),
-                               pa.array(keys.reshape(-1)), pa.array(np.repeat(rb.column(2).to_numpy(), BANDS))],
-                              names=["rep", "key", "size"])
+def _bands(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            keys = band_keys(np.frombuffer(b"".join(rb.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS), rows)
+            rep, size = (np.repeat(rb.column(k).to_numpy(zero_copy_only=False), keys.shape[1]) for k in (0, 2))
+            yield pa.record_batch([pa.array(rep), pa.array(keys.reshape(-1)), pa.array(size)], names=["rep", "key", "size"])
+    return run
 
 
 def _promising(low: float):
@@ -161,7 +171,7 @@ def _promising(low: float):
     return run
 
 
-def _across(low: float, similarity: int):
+def _across(low: float, similarity: int, rows: int):
     """Links of one block between members of different components, on full
     sets. A pair is looked at in the first band it shares; once a link joins
     two components, no further pair of them is."""
@@ -173,14 +183,14 @@ def _across(low: float, similarity: int):
         begin = np.cumsum(count) - count
         _, items = np.unique(np.concatenate(block["items"].tolist()), return_inverse=True)
         present = np.zeros(len(items) + 1, np.int64)
-        band = int(np.argmax(band_keys(regs[:1])[0] == block["key"].iloc[0]))
+        band = int(np.argmax(band_keys(regs[:1], rows)[0] == block["key"].iloc[0]))
         members = np.flatnonzero(~probe)
         links: list[tuple[int, int]] = []
         for p in np.flatnonzero(probe):
             m = members[comp[members] != comp[p]]
             m = m[100 * np.minimum(size[m], size[p]) >= similarity * np.maximum(size[m], size[p])]
             equal = regs[m] == regs[p]
-            bands = equal[:, :BANDS * ROWS].reshape(len(m), BANDS, ROWS).all(axis=2)
+            bands = _bands_of(equal, rows).all(axis=2)
             m = m[(estimate(equal.sum(axis=1)) >= low) & (bands.argmax(axis=1) == band)]
             if not len(m):
                 continue
@@ -209,6 +219,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 3, simila
     equals that of a document with an id, and is not kept."""
     folder = scratch_dir(spark, "near-duplicates")
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    band = band_rows(similarity)
     low = similarity / 100 - 4 * (similarity / 100 * (1 - similarity / 100) / BUCKETS) ** 0.5
 
     sketch = stored(texts.mapInArrow(_sketch(words), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, regs binary"),
@@ -217,7 +228,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 3, simila
         F.min("doc_id").alias("rep"), F.first("regs").alias("regs")), f"{folder}/classes")
     reps = classes.where("rep is not null")
 
-    members = reps.select("rep", "regs", "n_shingles").mapInArrow(_bands, "rep bigint, key bigint, size bigint")
+    members = reps.select("rep", "regs", "n_shingles").mapInArrow(_bands(band), "rep bigint, key bigint, size bigint")
     crowded = stored(members.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), f"{folder}/crowded")
     crowd = stored(members.join(crowded, "key"), f"{folder}/crowd")
     central = crowd.groupBy("rep").agg(F.sum("crowd").alias("score"))
@@ -265,7 +276,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 3, simila
     columns = ["key", "block", "part", "probe", "rep", "comp", "size"]
     more = stored(as_member.select(columns).unionByName(as_probe.select(columns))
                   .join(by_rep.select("rep", "regs"), "rep").join(sets, "rep")
-                  .groupBy("key", "block", "part").applyInPandas(_across(low, similarity), "a bigint, b bigint").distinct(),
+                  .groupBy("key", "block", "part").applyInPandas(_across(low, similarity, band), "a bigint, b bigint").distinct(),
                   f"{folder}/more")
     component = connected_components(spark, edges.unionByName(more), f"{folder}/second")
 
