@@ -311,12 +311,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram:
     found = stored(sorted_.unionByName(strings.join(common, "string").select("cell", "win", "lo", "hi")).unionByName(
         parts.where("n > 1").select("cell", "win", F.lit(0).alias("lo"), F.length("bytes").cast("int").alias("hi"))),
         f"{folder}/found")
+    # every string holds its cell's anchor, so what a window has covered is one interval
+    found = found.groupBy("cell", "win").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     # parts report to the window they were cut from
     ups = cuts.where("up_cell is not null").select("cell", "win", "up_cell", "up_win", "up_at").distinct()
-    covers = stored(covers.unionByName(found.join(plain.select("cell", "win").distinct(), ["cell", "win"], "left_semi"))
-                    .unionByName(found.join(ups, ["cell", "win"]).select(
-                        F.col("up_cell").alias("cell"), F.col("up_win").alias("win"), (F.col("lo") + F.col("up_at")).alias("lo"),
-                        (F.col("hi") + F.col("up_at")).alias("hi"))), f"{folder}/covers")
+    covers = covers.unionByName(found.join(plain.select("cell", "win").distinct(), ["cell", "win"], "left_semi")).unionByName(
+        found.join(ups, ["cell", "win"]).select(
+            F.col("up_cell").alias("cell"), F.col("up_win").alias("win"), (F.col("lo") + F.col("up_at")).alias("lo"),
+            (F.col("hi") + F.col("up_at")).alias("hi")))
+    covers = stored(covers.groupBy("cell", "win").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"{folder}/covers")
     spans = (marks.join(covers, ["cell", "win"])
              .groupBy("doc", "th").agg(F.collect_set(F.struct(
                  (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("reach") + F.col("hi")).alias("hi"))).alias("spans")))
