@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                   "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -15,53 +15,13 @@ FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
-# A single local file holding one parquet row group is read by one task no
-# matter its size. Above this size such a scan is spread over the cluster's
-# default parallelism right after the read (predicates and projections are
-# still pushed below the round-robin exchange into the scan).
-SPREAD_MIN_BYTES = 1024 * 1024
-
-
-def _local_size(uri: str) -> int | None:
-    path = uri[len("file:"):] if uri.startswith("file:") else uri
-    if "://" in path:
-        return None
-    try:
-        return os.path.getsize(path)
-    except OSError:
-        return None
-
-
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan of few large local files over all cores.
-
-    Multi-file inputs (the cluster case) are returned unchanged: their scan
-    is already split into one task per file block / row group.
-    """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= parallelism:
-        return df
-    sizes = [_local_size(f) for f in files]
-    if any(sz is None for sz in sizes) or sum(sizes) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(parallelism)
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One fixture table (parquet; filters and projections reach the scan).
-
-    ``spread`` is for plans whose per-row work dominates (regular
-    expressions over text): a cheap scan feeding a partial aggregation is
-    faster left in its single task than shuffled round-robin.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_narrow_scan(df) if spread else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One fixture table (parquet; filters and projections reach the scan)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _schema(spec: str) -> StructType:
-    types = {"s": StringType(), "d": DoubleType(), "i": IntegerType()}
+    types = {"s": StringType(), "d": DoubleType(), "i": IntegerType(), "l": LongType()}
     fields = []
     for item in spec.split(","):
         name, t = item.strip().rsplit(" ", 1)
@@ -79,7 +39,7 @@ DENSITY = _schema("code_insee s, localisation s, population d, superficie_km2 d,
 DEMOGRAPHY = _schema("code_insee s, localisation s, pct_jeunes d, pct_seniors d, age_median d, annee i")
 IMMIGRATION = _schema("code_insee s, localisation s, taux_immigration d, annee i")
 ASSOCIATIONS = _schema("code_insee s, localisation s, nb_associations d, annee i")
-BUSINESS = _schema("code_insee s, localisation s, nb_creations_entreprises i, annee i")
+BUSINESS = _schema("code_insee s, localisation s, nb_creations_entreprises l, annee i")
 ELECTION = _schema("code_insee s, localisation s, classe_politique s, score_extreme_droite d, "
                    "score_extreme_gauche d, score_centre d, score_droite d, score_gauche d, annee i")
 BRIDGE = _schema("Code_INSEE_2022 s, Code_INSEE_2024 s, Nom_Commune s, Statut_2024 s")

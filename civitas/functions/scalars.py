@@ -118,8 +118,9 @@ def if_else(cond: Column, a, b) -> Column:
 
 
 def as_int(col) -> Column:
-    """Counts to int (truncation, like ``astype(int)``)."""
-    return _c(col).cast("int")
+    """Counts to 64-bit int (truncation, like ``astype("int64")``); what
+    no such number can hold (text, NaN, infinity, overflow) is NULL."""
+    return _c(col).try_cast("bigint")
 
 
 def as_text(col) -> Column:

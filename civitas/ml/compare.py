@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.columns import require_columns, split_feature_types
-from ..operators.profile import choose_exact
 from ..operators.reshape import melt
 from ..session import cut_lineage
 from . import metrics as Me
@@ -47,9 +46,6 @@ class Config:
     max_depth: int = Mo.MAX_DEPTH
     parallelism: int = 4
     models: tuple = field(default=())
-    # exact medians for imputation unless a numeric column has more distinct
-    # values than an exact percentile map should hold (None = decide once)
-    exact_quantiles: bool | None = None
 
 
 def _features(df: DataFrame, cfg: Config):
@@ -60,14 +56,15 @@ def _features(df: DataFrame, cfg: Config):
 
 
 def _vector_size(df: DataFrame) -> int:
-    return len(df.select(vector_to_array("features").alias("a")).first()["a"])
+    """Length of the assembled vectors, from the column's metadata."""
+    return df.schema["features"].metadata["ml_attr"]["num_attrs"]
 
 
 def fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
+    pre = prep.fit_preprocessor(train, numeric, categorical)
     weighted = prep.balanced_weights(train, "label_idx")
     staged = pre.transform(weighted)
-    total_w = weighted.agg(F.sum("weight")).first()[0]
+    total_w = float(train.count())  # balanced weights add up to the rows
     stages = list(pre.stages)
     if name == "logistic_regression":
         model = Mo.logistic_regression(total_w)
@@ -89,7 +86,7 @@ def fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Confi
 
 
 def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical, exact=cfg.exact_quantiles is not False)
+    pre = prep.fit_preprocessor(train, numeric, categorical)
     staged = pre.transform(train)
     stages = list(pre.stages)
     if name == "ridge":
@@ -112,12 +109,6 @@ def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config
     return PipelineModel(stages)
 
 
-def _resolve_exact(cfg: Config, train: DataFrame, numeric) -> Config:
-    if cfg.exact_quantiles is not None:
-        return cfg
-    return replace(cfg, exact_quantiles=choose_exact(train, numeric))
-
-
 def _run_parallel(tasks, parallelism):
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(lambda t: t(), tasks))
@@ -144,7 +135,7 @@ def prepare_classification(df: DataFrame, cfg: Config) -> dict:
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     return {"train": train, "test": test, "labels": list(indexer.labels), "numeric": numeric,
-            "categorical": categorical, "cfg": _resolve_exact(cfg, train, numeric)}
+            "categorical": categorical, "cfg": cfg}
 
 
 def prepare_regression(df: DataFrame, cfg: Config) -> dict:
@@ -156,7 +147,7 @@ def prepare_regression(df: DataFrame, cfg: Config) -> dict:
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     return {"train": train, "test": test, "numeric": numeric, "categorical": categorical,
-            "cfg": _resolve_exact(cfg, train, numeric)}
+            "cfg": cfg}
 
 
 def compare_classifiers(df: DataFrame, cfg: Config) -> dict:

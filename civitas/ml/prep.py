@@ -14,7 +14,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.profile import exact_quantiles, mode_of
+from ..operators.profile import mode_of, quantiles
 from ..operators.ranking import exact_rank, hash_key
 
 SEED = 42
@@ -30,9 +30,10 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, seed: in
     """M1: per class, the first ``round(test_size * n_class)`` rows of the
     seeded shuffle go to the test part (half-even rounding)."""
     r = _ranked(df, id_col, seed, [label])
-    sizes = df.groupBy(label).agg(F.rint(F.count(F.lit(1)) * F.lit(test_size)).alias("__ntest"))
-    out = r.join(F.broadcast(sizes), label)  # one row per class: bounded
-    return out.withColumn(flag, F.col("__rank") <= F.col("__ntest")).drop("__h", "__rank", "__ntest")
+    sizes = df.groupBy(F.col(label).alias("__class")).agg(
+        F.rint(F.count(F.lit(1)) * F.lit(test_size)).alias("__ntest"))
+    out = r.join(sizes, F.col(label).eqNullSafe(F.col("__class")))  # a missing class is a class of its own
+    return out.withColumn(flag, F.col("__rank") <= F.col("__ntest")).drop("__h", "__rank", "__ntest", "__class")
 
 
 def random_split(df: DataFrame, test_size: float = 0.2, seed: int = SEED, id_col: str = "id",
@@ -52,16 +53,12 @@ def folds(df: DataFrame, k: int = 5, seed: int = SEED, id_col: str = "id", label
     return r.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int")).drop("__h", "__rank")
 
 
-def fit_medians(df: DataFrame, cols, exact: bool = True) -> dict:
-    """Exact interpolated median of each column — one percentile
-    aggregation for narrow columns, bucket refinement (``exact=False``) for
-    columns too wide for a value map (see ``profile.choose_exact``)."""
+def fit_medians(df: DataFrame, cols) -> dict:
+    """Exact interpolated median of each column (NaN is missing)."""
     if not cols:
         return {}
-    if not exact:
-        return {c: exact_quantiles(df, c, [0.5])[0] for c in cols}
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    found = {r["column"]: r["value"] for r in quantiles(df, list(cols), [0.5]).collect()}
+    return {c: found.get(c) for c in cols}
 
 
 def fit_modes(df: DataFrame, cols) -> dict:
@@ -88,12 +85,19 @@ def fit_modes(df: DataFrame, cols) -> dict:
     return {c: out.get(c) for c in cols}
 
 
-def fit_scaling(df: DataFrame, cols) -> dict:
-    """Mean and population std; constant column -> std 1."""
+def fit_scaling(df: DataFrame, cols, medians: dict | None = None) -> dict:
+    """Mean and population std, of the imputed values where medians
+    are given; constant column -> std 1. ``avg`` and ``stddev_pop`` keep
+    running centred moments, so large values with a small spread are safe."""
     if not cols:
         return {}
-    row = df.agg(*[F.avg(c).alias(f"{c}__m") for c in cols],
-                 *[F.stddev_pop(c).alias(f"{c}__s") for c in cols]).first()
+    x = {c: F.col(c).cast("double") for c in cols}
+    for c in cols:
+        x[c] = F.when(~F.isnan(x[c]), x[c])
+        if medians is not None:
+            x[c] = F.coalesce(x[c], F.lit(0.0 if medians[c] is None else medians[c]))
+    row = df.agg(*[F.avg(x[c]).alias(f"{c}__m") for c in cols],
+                 *[F.stddev_pop(x[c]).alias(f"{c}__s") for c in cols]).first()
     out = {}
     for c in cols:
         s = row[f"{c}__s"]
@@ -123,58 +127,33 @@ def standardize(df: DataFrame, stats: dict) -> DataFrame:
 
 
 def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """M9: weight = n / (k * n_class) — per-class counts (one row per
-    class, broadcast) joined back."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    """M9: weight = n / (k * n_class); rows without a class are one class."""
+    counts = df.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__nc"))
     totals = counts.agg(F.sum("__nc").alias("n"), F.count(F.lit(1)).alias("k"))
     n, k = totals.select("n").scalar(), totals.select("k").scalar()
-    w = counts.select(label, (n / (k * F.col("__nc"))).cast("double").alias(weight_col))
-    return df.join(F.broadcast(w), label)
+    w = counts.select("__class", (n / (k * F.col("__nc"))).cast("double").alias(weight_col))
+    return df.join(w, F.col(label).eqNullSafe(F.col("__class"))).drop("__class")
 
 
-def fit_numeric_stats(df: DataFrame, cols, exact: bool = True) -> dict:
-    """Median, then mean and population std *after* median imputation, for
-    every numeric column in one aggregation over the long form
-    (column, value): imputed moments follow from count, sum and sum of
-    squares, so no second pass is needed. One row per column comes back."""
-    if not cols:
-        return {}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([], list(cols), "c", "v")
-    moments = [F.count("v").alias("k"), F.sum("v").alias("s"),
-               F.sum(F.col("v") * F.col("v")).alias("ss"), F.count(F.lit(1)).alias("n")]
-    if exact:
-        rows = long.groupBy("c").agg(F.percentile("v", 0.5).alias("med"), *moments).collect()
-        medians = {r["c"]: r["med"] for r in rows}
-    else:  # wide columns: exact median by bucket refinement, no value map
-        rows = long.groupBy("c").agg(*moments).collect()
-        medians = {c: exact_quantiles(df, c, [0.5])[0] for c in cols}
-    out = {}
-    for r in rows:
-        med = medians[r["c"]]
-        n, k = r["n"], r["k"]
-        fill = med if med is not None else 0.0
-        s = (r["s"] or 0.0) + (n - k) * fill
-        ss = (r["ss"] or 0.0) + (n - k) * fill * fill
-        mean = s / n if n else 0.0
-        var = max(ss / n - mean * mean, 0.0) if n else 0.0
-        std = var ** 0.5
-        out[r["c"]] = (med, mean, std if std > 1e-12 * max(1.0, abs(mean)) else 1.0)
-    return out
+def fit_numeric_stats(df: DataFrame, cols) -> dict:
+    """(median, mean, std) per numeric column, the moments *after* median
+    imputation: one quantile run and one aggregation for all columns."""
+    medians = fit_medians(df, cols)
+    scaling = fit_scaling(df, cols, medians)
+    return {c: (medians[c], *scaling[c]) for c in cols}
 
 
-def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str = "features",
-                     exact: bool = True) -> PipelineModel:
+def fit_preprocessor(train: DataFrame, numeric, categorical, features_col: str = "features") -> PipelineModel:
     """M4-M8 fitted on the training part only: median imputation and
     standardisation of numeric columns, mode imputation and one-hot
     encoding (alphabetical categories, unseen -> zero vector) of
     categorical ones, then assembly into one vector."""
     numeric, categorical = list(numeric), list(categorical)
-    stats = fit_numeric_stats(train, numeric, exact)
+    stats = fit_numeric_stats(train, numeric)
     med = {c: stats[c][0] for c in numeric}
     scale = {c: (stats[c][1], stats[c][2]) for c in numeric}
     modes = fit_modes(train, categorical)
-    num_exprs = [f"(coalesce(CAST(`{c}` AS DOUBLE), {_lit(med[c])}) - {_lit(scale[c][0])}) / "
+    num_exprs = [f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_lit(med[c] if med[c] is not None else 0.0)}) - {_lit(scale[c][0])}) / "
                  f"{_lit(scale[c][1])} AS `__n_{c}`" for c in numeric]
     cat_exprs = [f"coalesce(CAST(`{c}` AS STRING), {_lit(modes[c])}) AS `__c_{c}`" for c in categorical]
     sql = SQLTransformer(statement="SELECT *" + "".join(", " + e for e in num_exprs + cat_exprs)

@@ -58,13 +58,6 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def missing_columns_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """P3 as data: (column, present) for each required column."""
-    spark = df.sparkSession
-    rows = [(c, c in df.columns) for c in cols]
-    return spark.createDataFrame(rows, "column string, present boolean")
-
-
 def columns_with_prefix(df: DataFrame, prefixes) -> list[str]:
     """Measure columns chosen by name prefix; fail if none."""
     if isinstance(prefixes, str):
@@ -75,19 +68,17 @@ def columns_with_prefix(df: DataFrame, prefixes) -> list[str]:
     return cols
 
 
-def select_prefix(df: DataFrame, prefixes, keep: list[str] | None = None) -> DataFrame:
-    return df.select(*(keep or []), *columns_with_prefix(df, prefixes))
-
-
 def split_feature_types(df: DataFrame, exclude=(), numeric_override=None,
                         categorical_override=None) -> tuple[list[str], list[str]]:
-    """P5: numeric vs categorical columns by Spark type, minus excluded ones."""
+    """P5: numeric columns, and every other column of one value (text,
+    boolean, date, timestamp) as categorical, minus excluded ones. Arrays,
+    maps, structs and binary values are no features."""
     excluded = set(exclude)
     numeric = [f.name for f in df.schema.fields
                if isinstance(f.dataType, NumericType) and f.name not in excluded]
     categorical = [f.name for f in df.schema.fields
                    if not isinstance(f.dataType, NumericType) and f.name not in excluded
-                   and f.dataType.typeName() in ("string", "boolean")]
+                   and f.dataType.typeName() not in ("array", "map", "struct", "binary", "variant")]
     if numeric_override is not None:
         numeric = [c for c in numeric_override if c in df.columns]
     if categorical_override is not None:
@@ -95,12 +86,6 @@ def split_feature_types(df: DataFrame, exclude=(), numeric_override=None,
     return numeric, categorical
 
 
-def feature_kinds_table(df: DataFrame, exclude=()) -> DataFrame:
-    numeric, categorical = split_feature_types(df, exclude)
-    rows = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
-    return df.sparkSession.createDataFrame(rows, "column string, kind string")
-
-
 def with_literal(df: DataFrame, name: str, value, dtype: str = "int") -> DataFrame:
     """Add the year (or any constant) as a typed literal."""
     return df.withColumn(name, F.lit(value).cast(dtype))

@@ -13,12 +13,13 @@ from ..functions.scalars import search_regex, strip
 ALL = "Toutes"  # fixed value: the "no filter" sentinel of the selection widgets
 
 
-def filter_equals(df: DataFrame, col: str, value, all_sentinel=ALL, as_text: bool = True) -> DataFrame:
-    """equality, disabled by the sentinel; compared as text like the UI."""
+def filter_equals(df: DataFrame, col: str, value, all_sentinel=ALL) -> DataFrame:
+    """equality, disabled by the sentinel. The chosen value, a text in a
+    page's widget, takes the column's type, so the predicate reaches the
+    scan; a value that the type can't hold matches no row."""
     if value is None or value == all_sentinel:
         return df
-    c = F.col(col).cast("string") if as_text else F.col(col)
-    return df.filter(c == F.lit(str(value) if as_text else value))
+    return df.filter(F.col(col) == F.lit(str(value)).try_cast(df.schema[col].dataType))
 
 
 def filter_flag(df: DataFrame, col: str, value: str = "1") -> DataFrame:

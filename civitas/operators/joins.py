@@ -1,11 +1,8 @@
 """Joins and set operations.
 
-Broadcast policy: a side is broadcast only when its size is bounded —
-either declared by the caller for a dimension of known size (the commune
-register, a label list, a one-row statistics frame) or proven at run time
-by ``checked_broadcast``. Everything else is left to Catalyst's
-statistics-based threshold and AQE's runtime switch, which fall back to a
-sort-merge join when the side is large; AQE skew-join splits hot keys.
+No join forces a broadcast of data that grows: Catalyst's statistics and
+AQE's runtime sizes choose it under ``autoBroadcastJoinThreshold`` and fall
+back to a sort-merge join, whose hot keys AQE's skew join splits.
 """
 
 from __future__ import annotations
@@ -15,55 +12,31 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a side is never force-broadcast (~tens of MB at the
-# widths used here); beyond it the planner chooses a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving ``count <= max_rows``.
-
-    The probe reads at most ``max_rows + 1`` rows of the (pruned) side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _side(ref: DataFrame, bounded):
-    if bounded is True:
-        return F.broadcast(ref)
-    if isinstance(bounded, int) and not isinstance(bounded, bool):
-        return checked_broadcast(ref, bounded)
-    return ref
-
-
 def _on(key):
     return [key] if isinstance(key, str) else list(key)
 
 
-def enrich(df: DataFrame, ref: DataFrame, key, bounded=None) -> DataFrame:
+def enrich(df: DataFrame, ref: DataFrame, key) -> DataFrame:
     """Left outer equi join to a reference table."""
-    return df.join(_side(ref, bounded), _on(key), "left")
+    return df.join(ref, _on(key), "left")
 
 
-def enrich_strict(df: DataFrame, ref: DataFrame, key, required: str, bounded=None) -> DataFrame:
+def enrich_strict(df: DataFrame, ref: DataFrame, key, required: str) -> DataFrame:
     """Left join then drop unmatched rows (Catalyst plans it as inner)."""
-    return enrich(df, ref, key, bounded).filter(F.col(required).isNotNull())
+    return enrich(df, ref, key).filter(F.col(required).isNotNull())
 
 
 def join_on_pair(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
-                 keep: str = "left", how: str = "inner", bounded=None) -> DataFrame:
+                 keep: str = "left", how: str = "inner") -> DataFrame:
     """Equi join with different key names; one key column kept."""
-    r = _side(right, bounded)
-    out = left.join(r, left[lkey] == r[rkey], how)
-    return out.drop(r[rkey]) if keep == "left" else out.drop(left[lkey])
+    out = left.join(right, left[lkey] == right[rkey], how)
+    return out.drop(right[rkey]) if keep == "left" else out.drop(left[lkey])
 
 
-def join_on_key(left: DataFrame, right: DataFrame, key, right_cols, how: str = "inner",
-                bounded=None) -> DataFrame:
+def join_on_key(left: DataFrame, right: DataFrame, key, right_cols, how: str = "inner") -> DataFrame:
     """Equi join on a shared key, right side pruned to what is needed."""
     keys = _on(key)
-    return left.join(_side(right.select(*keys, *right_cols), bounded), keys, how)
+    return left.join(right.select(*keys, *right_cols), keys, how)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, suffixes=("_l", "_r"),
@@ -102,9 +75,19 @@ def assemble_features(tables: list[DataFrame], keys) -> DataFrame:
 
     The first table defines the rows. All tables are shuffled on the same
     keys, so Spark reuses one hash partitioning for every join in the chain.
+    A key that occurs twice in a later table stops the job when it runs: it
+    would multiply rows.
     """
     keys = _on(keys)
-    return reduce(lambda a, b: a.join(b, keys, "left"), tables)
+    return reduce(lambda a, b: a.join(_unique(b, keys), keys, "left"), tables)
+
+
+def _unique(df: DataFrame, keys) -> DataFrame:
+    """``df`` itself; a repeated key raises while rows are read."""
+    others = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others], F.count(F.lit(1)).alias("__n"))
+    failure = F.raise_error(F.concat(F.lit("repeated key: "), F.to_json(F.struct(*keys))))
+    return one.filter(F.when(F.col("__n") > 1, failure.cast("boolean")).otherwise(True)).drop("__n")
 
 
 def join_audit(left: DataFrame, right: DataFrame, key, match_col: str) -> DataFrame:

@@ -1,10 +1,9 @@
 """Profiling operators (G9-G17): describe, mode, value counts, crosstab,
 histogram, box statistics, missing-value patterns.
 
-Results are tidy DataFrames. Global statistics needed by a later step
-(histogram range, box fences) are passed as scalar subqueries
-(``DataFrame.scalar()``), so the plan stays lazy and no data reaches the
-driver.
+Results are tidy DataFrames. Global statistics that a later step needs
+(histogram range, box fences) stay in the plan, as a scalar subquery or a
+joined one-row frame; no data reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,136 +11,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUARTILES = [0.25, 0.5, 0.75]
-# Above this many distinct values per column an exact percentile keeps too
-# large a value->count map; ``describe(..., exact=None)`` then switches to
-# percentile_approx with the stated accuracy.
-EXACT_QUANTILE_MAX_DISTINCT = 2_000_000
-APPROX_ACCURACY = 100_000
-MAX_LABELS = 10_000  # same cap as Spark's pivot on distinct values
-
-
-def _quantiles(col: str, probs, exact: bool):
-    if exact:
-        return F.percentile(F.col(col).cast("double"), F.array(*[F.lit(p) for p in probs]))
-    return F.percentile_approx(F.col(col).cast("double"), F.array(*[F.lit(p) for p in probs]),
-                               APPROX_ACCURACY)
-
-
-REFINE_BUCKETS = 1 << 16
-REFINE_LEAF_ROWS = 200_000
+from ..session import written
 
+QUARTILES = [0.25, 0.5, 0.75]
 
-def exact_quantiles(df: DataFrame, col: str, probs) -> list:
-    """Exact, linearly interpolated quantiles of a column of any size and
-    cardinality, without a value->count map.
 
-    Only the values at ranks floor/ceil((n-1)p) are needed. A round counts
-    rows per equal-width value bucket (partial aggregation, at most 2**16
-    groups), locates the bucket of every wanted rank from the cumulative
-    counts, and ranks rows only inside those buckets (a window per bucket of
-    at most ``REFINE_LEAF_ROWS`` rows); a larger bucket — heavy skew — is
-    refined by another round over its own value range, and a bucket whose
-    values are all equal is answered at once. Only counts per bucket and
-    the wanted values reach the driver.
-    """
-    v = df.select(F.col(col).cast("double").alias("v")).dropna()
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = st["n"]
-    if not n:
-        return [None] * len(probs)
-    pos = [((n - 1) * p, int((n - 1) * p // 1), int(-(-((n - 1) * p) // 1))) for p in probs]
-    values = _values_at_ranks(v, sorted({r for _, a, b in pos for r in (a, b)}), st["lo"], st["hi"], n)
-    return [values[a] if a == b else values[a] + (h - a) * (values[b] - values[a]) for h, a, b in pos]
-
-
-def _values_at_ranks(part: DataFrame, ranks, lo, hi, n) -> dict:
-    if lo == hi:
-        return {r: lo for r in ranks}
-    if n <= REFINE_LEAF_ROWS:
-        w = Window.orderBy("v")  # at most REFINE_LEAF_ROWS rows
-        rows = part.withColumn("__rk", F.row_number().over(w) - 1) \
-            .filter(F.col("__rk").isin(list(ranks))).collect()
-        return {r["__rk"]: r["v"] for r in rows}
-    width = (hi - lo) / REFINE_BUCKETS
-    bucket = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
-                     F.lit(REFINE_BUCKETS - 1)).cast("int")
-    counts = sorted((r["b"], r["c"]) for r in
-                    part.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
-    local, seen, i = {}, 0, 0
-    for b, c in counts:
-        while i < len(ranks) and ranks[i] < seen + c:
-            local.setdefault(b, []).append((ranks[i], ranks[i] - seen))
-            i += 1
-        seen += c
-    sized = {r["b"]: r for r in part.withColumn("b", bucket).filter(F.col("b").isin(list(local)))
-             .groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                               F.max("v").alias("hi")).collect()}
-    out = {}
-    leaf = [b for b in local if sized[b]["n"] <= REFINE_LEAF_ROWS or sized[b]["lo"] == sized[b]["hi"]]
-    for b in leaf:
-        if sized[b]["lo"] == sized[b]["hi"]:
-            out.update({g: sized[b]["lo"] for g, _ in local[b]})
-    ranked = [b for b in leaf if sized[b]["lo"] != sized[b]["hi"]]
-    if ranked:
-        w = Window.partitionBy("b").orderBy("v")  # each bucket <= REFINE_LEAF_ROWS rows
-        keys = F.struct(F.col("b"), F.col("__rk"))
-        want = [F.struct(F.lit(b), F.lit(lr)) for b in ranked for _, lr in local[b]]
-        rows = part.withColumn("b", bucket).filter(F.col("b").isin(ranked)) \
-            .withColumn("__rk", F.row_number().over(w) - 1).filter(keys.isin(want)).collect()
-        got = {(r["b"], r["__rk"]): r["v"] for r in rows}
-        for b in ranked:
-            out.update({g: got[(b, lr)] for g, lr in local[b]})
-    for b in local:
-        if b not in leaf:
-            sub = part.filter(bucket == b)
-            deeper = _values_at_ranks(sub, [lr for _, lr in local[b]], sized[b]["lo"], sized[b]["hi"],
-                                      sized[b]["n"])
-            out.update({g: deeper[lr] for g, lr in local[b]})
-    return out
-
-
-def _exact_flags(df: DataFrame, cols, exact):
-    if exact is not None:
-        return {c: exact for c in cols}
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    return {c: row[c] <= EXACT_QUANTILE_MAX_DISTINCT for c in cols}
-
-
-def choose_exact(df: DataFrame, cols) -> bool:
-    """True when every column is narrow enough for exact percentiles
-    (one HyperLogLog pass); otherwise callers use approximate quantiles."""
-    return all(_exact_flags(df, list(cols), None).values()) if cols else True
-
-
-def describe(df: DataFrame, cols, exact: bool | None = None) -> DataFrame:
+def _number(col: str):
+    """A column as double with NaN missing."""
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def quantiles(df: DataFrame, cols, probs) -> DataFrame:
+    """Exact, linearly interpolated quantiles as (column, prob, value); NaN is
+    missing, infinities are the smallest and largest values.
+
+    One path at any size: rows are counted per (column, value), the counts
+    are written in range partitions of that order, and a running count over
+    partitions finds the one partition that holds each wanted rank; only
+    those are ranked inside. The written table is the one action. A column
+    without values has no rows."""
+    long = df.select(*[_number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "v").where("v is not null")
+    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.repartitionByRange("column", "v").withColumn("part", F.spark_partition_id()), "quantiles")
+    per = counts.groupBy("column", "part").agg(F.sum("n").alias("n"))  # a row per column and partition
+    running = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))) \
+        .withColumn("total", F.sum("n").over(Window.partitionBy("column")))
+    rank = (F.col("total") - 1) * F.col("prob")
+    wanted = per.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")) \
+        .withColumn("rank", rank).withColumn("at", F.explode(F.array(F.floor("rank"), F.ceil("rank")))) \
+        .where("at >= before and at < before + n") \
+        .select("column", "part", "prob", "rank", "at", "before").distinct()
+    inside = Window.partitionBy("column", "part").orderBy("v")
+    ranked = counts.join(wanted.select("column", "part").distinct(), ["column", "part"], "left_semi") \
+        .withColumn("upto", F.sum("n").over(inside))
+    hit = ranked.join(wanted, ["column", "part"]).where("at - before < upto and at - before >= upto - n")
+    ends = hit.groupBy("column", "prob", "rank").agg(F.min_by("v", "at").alias("lo"), F.max_by("v", "at").alias("hi"))
+    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))
+    return ends.select("column", "prob", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(between).alias("value"))
+
+
+def describe(df: DataFrame, cols) -> DataFrame:
     """Count, mean, std (n-1), min, 25%, 50%, 75%, max per column,
-    linear-interpolated quartiles, as (column, statistic, value).
-
-    One aggregation for every column. Quartiles: ``exact=None`` (default)
-    takes the exact percentile inside that aggregation for columns with at
-    most EXACT_QUANTILE_MAX_DISTINCT distinct values and ``exact_quantiles``
-    (bucket refinement, still exact) for wider ones; ``exact=True`` forces
-    the former, ``exact=False`` uses percentile_approx.
-    """
-    flags = _exact_flags(df, cols, exact)
-    refined = {c: exact_quantiles(df, c, QUARTILES) for c in cols if exact is None and not flags[c]}
+    linear-interpolated quartiles, as (column, statistic, value); NaN is
+    missing. One aggregation for every column, and one quantile run."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        if c in refined:
-            q = [F.lit(v).cast("double") for v in refined[c]]
-        else:
-            q = _quantiles(c, QUARTILES, flags[c] or exact is None)
+        x = _number(c)
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q[0].alias(f"{c}__25%"), q[1].alias(f"{c}__50%"), q[2].alias(f"{c}__75%"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    long = wide.unpivot([], [f"`{c}__{s}`" for c in cols for s in stats], "__name", "value")
-    parts = F.split(F.col("__name"), "__")
-    return long.select(parts[0].alias("column"), parts[1].alias("statistic"), "value")
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    stats = ["count", "mean", "std", "min", "max"]
+    long = df.agg(*aggs).unpivot([], [f"`{c}__{s}`" for c in cols for s in stats], "__name", "value")
+    parts = F.split(F.col("__name"), "__(?=[a-z]+$)")
+    moments = long.select(parts[0].alias("column"), parts[1].alias("statistic"), "value")
+    names = F.create_map(*[F.lit(x) for p in QUARTILES for x in (p, f"{p:.0%}")])
+    every = df.sparkSession.createDataFrame([(c, p) for c in cols for p in QUARTILES], "column string, prob double")
+    found = every.join(quantiles(df, cols, QUARTILES), ["column", "prob"], "left")  # a column without values: missing
+    return moments.unionByName(found.select("column", names[F.col("prob")].alias("statistic"), "value"))
 
 
 def mode_of(df: DataFrame, col: str, alias: str = "mode") -> DataFrame:
@@ -174,30 +101,23 @@ def duplicate_count(df: DataFrame, keys) -> DataFrame:
 
 
 def crosstab(df: DataFrame, rows: str, cols: str, labels=None) -> DataFrame:
-    """Square count matrix over the union of labels, zero-filled.
-
-    ``labels`` is the (small, bounded) class list; when absent it is the
-    sorted distinct union of both columns — the same list ``pivot`` would
-    have to compute anyway.
-    """
+    """Counts per pair of labels in long form (row, column, count); with
+    a list of ``labels`` the square matrix over them, zero-filled."""
+    counts = df.groupBy(F.col(rows).alias("row"), F.col(cols).alias("column")).agg(F.count(F.lit(1)).alias("count"))
     if labels is None:
-        u = df.select(F.col(rows).alias("v")).unionByName(df.select(F.col(cols).alias("v")))
-        labels = [r[0] for r in u.dropna().distinct().orderBy("v").limit(MAX_LABELS + 1).collect()]
-        if len(labels) > MAX_LABELS:
-            raise ValueError(f"crosstab over more than {MAX_LABELS} labels")
-    counts = df.groupBy(F.col(rows).alias("label")).agg(
-        *[F.count_if(F.col(cols) == F.lit(x)).alias(str(x)) for x in labels])
+        return counts
+    wide = counts.groupBy(F.col("row").alias("label")).agg(
+        *[F.sum(F.when(F.col("column") == F.lit(x), F.col("count"))).alias(str(x)) for x in labels])
     frame = df.sparkSession.createDataFrame([(x,) for x in labels], ["label"]) \
         .withColumn("label", F.col("label").cast(df.schema[rows].dataType))
-    # the label frame and the count table both have one row per class
-    out = frame.join(F.broadcast(counts), "label", "left").fillna(0)
+    out = frame.join(wide, "label", "left").fillna(0)
     return out.select("label", *[F.col(f"`{x}`").cast("long").alias(str(x)) for x in labels])
 
 
 def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
     """Equal-width bins between min and max, last bin closed,
     empty bins filled with 0. Output (bin, lo, hi, count)."""
-    x = F.col(col).cast("double")
+    x = _number(col)
     rng = df.agg(F.array(F.min(x), F.max(x)).alias("r")).scalar()  # one subquery
     lo, hi = rng[0], rng[1]
     width = (hi - lo) / F.lit(n_bins)
@@ -212,37 +132,30 @@ def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
                 F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def _quantile_columns(df: DataFrame, col: str, probs, exact: bool | None):
-    """Quantiles as columns: a scalar subquery over the exact percentile for
-    narrow columns, literals from ``exact_quantiles`` for wide ones (auto),
-    percentile_approx when ``exact`` is False."""
-    if exact is None and not choose_exact(df, [col]):
-        return [F.lit(v).cast("double") for v in exact_quantiles(df, col, probs)]
-    q = df.agg(_quantiles(col, probs, exact is not False).alias("q")).scalar()  # one subquery
-    return [q[i] for i in range(len(probs))]
+def _fences(df: DataFrame, col: str, whisker: float) -> DataFrame:
+    """One row: quartiles, interquartile range, lower and upper fence."""
+    q = [F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in zip(QUARTILES, ("q1", "median", "q3"))]
+    row = quantiles(df, [col], QUARTILES).agg(*q).withColumn("iqr", F.col("q3") - F.col("q1"))
+    return row.withColumn("__lo", F.col("q1") - whisker * F.col("iqr")).withColumn("__hi", F.col("q3") + whisker * F.col("iqr"))
 
 
-def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
+def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, IQR fences, whiskers at the furthest points inside
-    the fences, and the outlier count — two passes, no sort of the data."""
-    x = F.col(col).cast("double")
-    q1, med, q3 = _quantile_columns(df, col, QUARTILES, exact)
-    iqr = q3 - q1
-    lo_f, hi_f = q1 - F.lit(whisker) * iqr, q3 + F.lit(whisker) * iqr
-    return df.agg(
-        F.min(F.when(x >= lo_f, x)).alias("lower_whisker"),
-        F.max(F.when(x <= hi_f, x)).alias("upper_whisker"),
-        F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"),
-    ).select(q1.alias("q1"), med.alias("median"), q3.alias("q3"), iqr.alias("iqr"),
-             "lower_whisker", "upper_whisker", "n_outliers")
-
-
-def outliers(df: DataFrame, col: str, whisker: float = 1.5, exact: bool | None = None) -> DataFrame:
+    the fences, and the outlier count; NaN is missing."""
+    x = F.col("__x")
+    fences = _fences(df, col, whisker)
+    rows = df.select(_number(col).alias("__x")).join(F.broadcast(fences), how="cross")  # one row
+    found = rows.agg(F.min(F.when(x >= F.col("__lo"), x)).alias("lower_whisker"),
+                     F.max(F.when(x <= F.col("__hi"), x)).alias("upper_whisker"),
+                     F.count_if((x < F.col("__lo")) | (x > F.col("__hi"))).alias("n_outliers"))
+    return fences.drop("__lo", "__hi").join(F.broadcast(found), how="cross")  # one row each
+
+
+def outliers(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     """The outlier rows themselves."""
-    x = F.col(col).cast("double")
-    q1, q3 = _quantile_columns(df, col, [0.25, 0.75], exact)
-    iqr = q3 - q1
-    return df.filter((x < q1 - F.lit(whisker) * iqr) | (x > q3 + F.lit(whisker) * iqr))
+    x = _number(col)
+    fences = _fences(df, col, whisker).select("__lo", "__hi")
+    return df.join(F.broadcast(fences), (x < F.col("__lo")) | (x > F.col("__hi"))).drop("__lo", "__hi")  # one row
 
 
 def missing_patterns(df: DataFrame, cols=None) -> DataFrame:

@@ -68,6 +68,11 @@ def exact_rank(df: DataFrame, partition_cols, key: str, tiebreak: str, bits: int
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))) \
         .drop("__n")
     w_in = Window.partitionBy(*pcols, "__bucket").orderBy(key, tiebreak)
-    ranked = b.join(offsets, [*pcols, "__bucket"], "inner") \
+    offsets = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(pcols)],
+                             F.col("__bucket").alias("__b"), "__off")
+    same = F.col("__bucket") == F.col("__b")
+    for i, c in enumerate(pcols):  # a missing class is a class of its own
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    ranked = b.join(offsets, same, "inner").drop("__b", *[f"__k{i}" for i in range(len(pcols))]) \
         .withColumn(alias, F.col("__off") + F.row_number().over(w_in))
     return ranked.drop("__bucket", "__off")

@@ -171,7 +171,7 @@ SELECT s.s_suppkey, s.s_nationkey, n.n_name FROM supplier s JOIN nation n ON s.s
 def j4_join_on_key(spark, d):
     s = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     n = T(spark, d, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
-    return J.join_on_key(s, n, "s_nationkey", ["n_name"], bounded=True)
+    return J.join_on_key(s, n, "s_nationkey", ["n_name"])
 
 
 # Two register years from supplier: the name drops its last digit, so about

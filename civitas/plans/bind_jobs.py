@@ -147,8 +147,7 @@ def job03_social(spark, d):
     wide = flag_status_counts(spark, d)
     parsed = wide.select("code_insee", *[F.col(c).cast("double").alias(c) for c in COMBOS])
     shares = parsed.select("code_insee", *jobs.group_shares(parsed, SOCIAL))
-    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee",
-                      bounded=jobs.REGISTER_MAX_ROWS)
+    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee")
     return joined.select("code_insee", "localisation",
                          *[round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL],
                          F.lit(2022).cast("int").alias("annee"))
@@ -209,8 +208,7 @@ def job05_demography(spark, d):
     w = quantity_band_counts(spark, d)
     ind = w.select("code_insee", *jobs.age_indicators(w, [f"q{b}" for b in range(N_QBANDS)],
                                                       [5 * b + 2.5 for b in range(N_QBANDS)], 2, 7))
-    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee",
-                      bounded=jobs.REGISTER_MAX_ROWS)
+    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee")
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors", "age_median"]),
                          "localisation")
     return kept.select("code_insee", "localisation",
@@ -260,7 +258,7 @@ WITH c AS (SELECT {Q.zfill("CAST(o_custkey AS VARCHAR)", 5)} AS code_insee, coun
            FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1),
 k AS (SELECT {Q.zfill("CAST(c_custkey AS VARCHAR)", 5)} AS code_insee FROM customer
       WHERE c_custkey IN (SELECT o_custkey FROM orders))
-SELECT k.code_insee, r.localisation, CAST(coalesce(c.n, 0) AS INTEGER) AS nb_creations_entreprises,
+SELECT k.code_insee, r.localisation, CAST(coalesce(c.n, 0) AS BIGINT) AS nb_creations_entreprises,
        CAST(1997 AS INTEGER) AS annee
 FROM k LEFT JOIN c USING (code_insee) LEFT JOIN {CUSTOMER_REGISTER_SQL} r USING (code_insee)
 WHERE r.localisation IS NOT NULL""")
@@ -268,12 +266,10 @@ def job08_business(spark, d):
     o = T(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
     wide = wide_counts(o, "o_custkey", "y", YEARS)
     cells = wide.select(F.lit("sheet").alias("file"), (F.col("o_custkey") + 4).alias("row_no"),
-                        F.col("o_custkey").cast("string").alias("_c0"), F.lit("name").alias("_c1"),
-                        *[F.col(str(y)).cast("string").alias(f"_c{i + 2}") for i, y in enumerate(YEARS)])
-    spark_ = spark
-    titles = spark_.range(4).select(F.lit("sheet").alias("file"), F.col("id").alias("row_no"),
-                                    F.lit("Créations").alias("_c0"), F.lit(None).cast("string").alias("_c1"),
-                                    *[F.lit(None).cast("string").alias(f"_c{i + 2}") for i in range(len(YEARS))])
+                        F.array(F.col("o_custkey").cast("string"), F.lit("name"),
+                                *[F.col(str(y)).cast("string") for y in YEARS]).alias("cells"))
+    titles = spark.range(4).select(F.lit("sheet").alias("file"), F.col("id").alias("row_no"),
+                                   F.array(F.lit("Créations")).alias("cells"))
     return jobs.business_creations(titles.unionByName(cells), customer_register(spark, d), 1997,
                                    first_year=YEARS[0], last_year=YEARS[-1], skip=4)
 
@@ -287,7 +283,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 def polling_stations(spark, d):
     """Orders as polling-station rows: commune = customer's nation, votes per
     'candidate' = price of the order under its priority, as text."""
-    o = T(spark, d, "orders", spread=True).select("o_custkey", "o_orderpriority", "o_totalprice")
+    o = T(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_totalprice")
     c = T(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     oc = o.join(c, "o_custkey")
     txt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")

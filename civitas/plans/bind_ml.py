@@ -88,7 +88,7 @@ FROM dl""")
 def m04_impute_median(spark, d):
     dl = documents_labels(spark, d).select("doc_id", F.col("quality").cast("double").alias("quality"),
                                            F.col("n_chars").cast("double").alias("n_chars"))
-    return prep.impute_median(dl, prep.fit_medians(dl, ["quality", "n_chars"]))
+    return prep.impute_median(dl, {c: s[0] for c, s in prep.fit_numeric_stats(dl, ["quality", "n_chars"]).items()})
 
 
 @register("m05_impute_mode", f"""
@@ -110,7 +110,7 @@ FROM part""")
 def m06_standardize(spark, d):
     p = T(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"),
                                    "p_retailprice")
-    z = prep.standardize(p, prep.fit_scaling(p, ["p_size", "p_retailprice"]))
+    z = prep.standardize(p, {c: s[1:] for c, s in prep.fit_numeric_stats(p, ["p_size", "p_retailprice"]).items()})
     return z.select("p_partkey", *[F.round(c, 6).alias(c) for c in ("p_size", "p_retailprice")])
 
 
@@ -378,4 +378,4 @@ SELECT labs.label, count(p.p) FILTER (WHERE p.p = 0) AS "0", count(p.p) FILTER (
 FROM labs LEFT JOIN p ON p.y = labs.label GROUP BY labs.label""")
 def job20_confusion_matrix(spark, d):
     p = T(spark, d, "labels").select(F.col("quality").alias("y"), (1 - F.col("toxic")).alias("p"))
-    return Pr.crosstab(p, "y", "p")
+    return Pr.crosstab(p, "y", "p", [0, 1])

@@ -67,7 +67,7 @@ SELECT labs.label, """ + ", ".join(
 FROM labs LEFT JOIN lineitem l ON l.l_returnflag = labs.label GROUP BY labs.label""")
 def g14_crosstab(spark, d):
     li = T(spark, d, "lineitem")
-    return Pr.crosstab(li, "l_returnflag", "l_linestatus")
+    return Pr.crosstab(li, "l_returnflag", "l_linestatus", LABELS5)
 
 
 @register("g15_histogram", """

@@ -24,7 +24,7 @@ def _french_price(cents):
 def dirty_prices(spark, d):
     """Orders price as dirty text: secrets ``s``, blanks and ``12d``
     suffixes chosen by priority/status, otherwise French formatting."""
-    o = T(spark, d, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderpriority",
+    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
                                                   "o_orderstatus", "o_totalprice")
     txt = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("s"))
            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(" "))
@@ -92,14 +92,14 @@ def x05_round_even(spark, d):
 @register("x06_remove_accents", f"""
 SELECT doc_id, md5({Q.remove_accents("text")}) AS text_md5 FROM documents""")
 def x06_remove_accents(spark, d):
-    docs = T(spark, d, "documents", spread=True)
+    docs = T(spark, d, "documents")
     return docs.select("doc_id", F.md5(X.remove_accents("text")).alias("text_md5"))
 
 
 @register("x07_normalize_place_name", f"""
 SELECT doc_id, {Q.normalize_place_name("split_part(text, chr(10), 1)")} AS name FROM documents""")
 def x07_normalize_place_name(spark, d):
-    docs = T(spark, d, "documents", spread=True)
+    docs = T(spark, d, "documents")
     first = F.substring_index(F.col("text"), "\n", 1)
     return docs.select("doc_id", X.normalize_place_name(first).alias("name"))
 
@@ -114,7 +114,7 @@ def x08_if_else(spark, d):
 
 
 @register("x09_as_int", """
-SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS price_int,
+SELECT o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS price_int,
        CAST(o_custkey AS VARCHAR) AS cust_text FROM orders""")
 def x09_as_int(spark, d):
     o = T(spark, d, "orders")
@@ -127,7 +127,7 @@ SELECT doc_id, coalesce(contains(lang, 'de'), false) OR coalesce(contains(source
        OR coalesce(contains(text, 'Der'), false) AS has_marker
 FROM documents""")
 def x10_contains_any(spark, d):
-    docs = T(spark, d, "documents", spread=True)
+    docs = T(spark, d, "documents")
     # one marker per call, as in the header search; two calls OR-ed
     m = X.contains_any(["lang"], "de") | X.contains_any(["source"], "1") | \
         X.contains_any(["text"], "Der")

@@ -38,48 +38,42 @@ def s2_read_typed_table(spark, d):
 
 
 @register("s3_encoding_fallback", """
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, split_part(text, chr(10), 1) AS first_line FROM documents""")
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents""")
 def s3_encoding_fallback(spark, d):
+    """Whole texts, quotes and line breaks included, in two encodings."""
     base = scratch_dir(spark, "s3")
-    docs = T(spark, d, "documents").select(
-        "doc_id", "lang", F.substring_index("text", "\n", 1).alias("first_line"))
+    docs = T(spark, d, "documents").select("doc_id", "lang", "text")
     latin = F.col("lang").isin("fr", "es")
-    docs.filter(~latin).write.option("sep", ";").option("header", True).csv(f"{base}/utf8")
-    docs.filter(latin).write.option("sep", ";").option("header", True) \
-        .option("encoding", "ISO-8859-1").csv(f"{base}/latin1")
-    return S.read_with_encoding_fallback(spark, [f"{base}/utf8", f"{base}/latin1"], sep=";")
+    W.write_delimited(docs.filter(~latin), f"{base}/utf8 part")
+    W.write_delimited(docs.filter(latin), f"{base}/latin1 part", encoding="ISO-8859-1")
+    return S.read_with_encoding_fallback(spark, [f"{base}/utf8 part", f"{base}/latin1 part"], sep=";",
+                                         multi_line=True, missing=())
 
 
-SHEET_ROWS = 1000  # data rows per sheet: a sheet is one bounded file
+SHEET_ROWS = 1000  # data rows per sheet: a sheet is one file
 
 
 def _sheets(spark, d, base):
-    """Customers as sheets of at most SHEET_ROWS rows (blocks of customer
-    keys): 3 title rows, a header row with the CODGEO marker, then the data
-    rows — the same cell count on every row, one file per sheet."""
-    c = T(spark, d, "customer").select(
-        F.floor(F.col("c_custkey") / SHEET_ROWS).alias("sheet"),
-        F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"),
-        F.col("c_mktsegment").alias("c"), F.col("c_acctbal").cast("string").alias("e"),
-        (F.col("c_custkey") + 10).alias("ord"))
+    """Customers as sheets (blocks of customer keys) of plain lines: a title
+    of one cell, a quoted one, a blank line, a header row with the CODGEO
+    marker, then the data. Odd sheets have their columns in another order,
+    names hold the separator and quotes."""
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit(', ""')  , F.col("c_mktsegment"), F.lit('"""'))
+    code, seg = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    c = T(spark, d, "customer").select(F.floor(F.col("c_custkey") / SHEET_ROWS).alias("sheet"), (F.col("c_custkey") + 10).alias("ord"),
+                                       F.when(F.floor(F.col("c_custkey") / SHEET_ROWS) % 2 == 0, F.concat_ws(",", code, name, seg, F.lit("x")))
+                                       .otherwise(F.concat_ws(",", seg, code, name)).alias("line"))
     sheets = c.select("sheet").distinct()
-    titles = [sheets.select("sheet", F.concat(F.lit(f"Title {i} sheet "), F.col("sheet").cast("string")).alias("a"),
-                            F.lit("").alias("b"), F.lit("").alias("c"), F.lit("").alias("e"),
-                            F.lit(i).cast("long").alias("ord")) for i in range(3)]
-    header = sheets.select("sheet", F.lit("CODGEO").alias("a"), F.lit("NOM").alias("b"),
-                           F.lit("SEG").alias("c"), F.lit("SOLDE").alias("e"),
-                           F.lit(5).cast("long").alias("ord"))
-    rows = c
-    for t in titles + [header]:
-        rows = rows.unionByName(t)
+    header = F.when(F.col("sheet") % 2 == 0, "CODGEO,NOM,SEG,SOLDE").otherwise("SEG,CODGEO,NOM")
+    for i, line in enumerate([F.lit("Title"), F.lit('"Source, ""register"""'), F.lit("# notes"), header]):
+        c = c.unionByName(sheets.select("sheet", F.lit(i).cast("long").alias("ord"), line.alias("line")))
     # rows of a sheet stay together and in order; each sheet is one file
-    rows.repartition("sheet").sortWithinPartitions("sheet", "ord").drop("ord") \
-        .write.partitionBy("sheet").option("header", False).csv(base)
+    c.repartition("sheet").sortWithinPartitions("sheet", "ord").drop("ord").write.partitionBy("sheet").text(base)
     return S.read_cells(spark, base)
 
 
 SHEET_SQL = """
-SELECT CAST(c_custkey AS VARCHAR) AS CODGEO, c_name AS NOM, c_mktsegment AS SEG FROM customer"""
+SELECT CAST(c_custkey AS VARCHAR) AS CODGEO, c_name || ', "' || c_mktsegment || '"' AS NOM, c_mktsegment AS SEG FROM customer"""
 
 
 @register("s4_promote_header", SHEET_SQL)
@@ -88,10 +82,14 @@ def s4_promote_header(spark, d):
     return S.promote_header(cells, "CODGEO", 20).select("CODGEO", "NOM", "SEG")
 
 
-@register("s5_skip_and_name", SHEET_SQL)
+@register("s5_skip_and_name", """
+SELECT CASE WHEN c_custkey // 1000 % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE c_mktsegment END AS a,
+       CASE WHEN c_custkey // 1000 % 2 = 0 THEN c_name || ', "' || c_mktsegment || '"' ELSE CAST(c_custkey AS VARCHAR) END AS b,
+       CASE WHEN c_custkey // 1000 % 2 = 0 THEN 'x' END AS d
+FROM customer""")
 def s5_skip_and_name(spark, d):
     cells = _sheets(spark, d, scratch_dir(spark, "s5"))
-    return S.skip_and_name(cells, 4, ["CODGEO", "NOM", "SEG", "SOLDE"]).select("CODGEO", "NOM", "SEG")
+    return S.skip_and_name(cells, 4, ["a", "b", "c", "d"]).select("a", "b", "d")
 
 
 FIXED_LAYOUT = [("COM", 1, 8), ("NCC", 9, 25), ("DEP", 34, 4)]
@@ -110,11 +108,12 @@ def s6_read_fixed_width(spark, d):
 
 
 @register("s7_write_delimited", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""")
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, ' "' || text || '"; ' AS cell FROM documents""")
 def s7_write_delimited(spark, d):
+    """Whole texts with quotes, separators, line breaks and outer blanks."""
     path = scratch_dir(spark, "s7")
-    W.write_delimited(T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), path, ";")
-    return S.read_text_table(spark, path, sep=";")
+    W.write_delimited(T(spark, d, "documents").select("doc_id", F.concat(F.lit(' "'), "text", F.lit('"; ')).alias("cell")), path, ";")
+    return S.read_text_table(spark, path, sep=";", multi_line=True, missing=())
 
 
 @register("s8_write_plain_csv", """
@@ -131,7 +130,12 @@ SUMMARY_SCHEMA = StructType([
     StructField("confusion", ArrayType(ArrayType(LongType())))])
 
 
-@register("s9_s10_json_summary")
+@register("s9_s10_json_summary", """
+WITH p AS (SELECT quality AS y, 1 - toxic AS p FROM labels)
+SELECT 'labels_rule' AS model, avg(CAST(y = p AS DOUBLE)) AS accuracy, avg(CAST(y = p AS DOUBLE)) AS report_accuracy,
+       count(*) FILTER (WHERE y = 0 AND p = 0) AS c00, count(*) FILTER (WHERE y = 0 AND p = 1) AS c01,
+       count(*) FILTER (WHERE y = 1 AND p = 0) AS c10, count(*) FILTER (WHERE y = 1 AND p = 1) AS c11
+FROM p""")
 def s9_s10_json_summary(spark, d):
     """Best-row summary with a nested report written as JSON and read back
     (built from the labels predictions fixture)."""
@@ -146,7 +150,10 @@ def s9_s10_json_summary(spark, d):
                      F.array(F.array("c00", "c01"), F.array("c10", "c11")).alias("confusion"))
     path = scratch_dir(spark, "s9")
     W.write_json_summary(row, path)
-    return S.read_json_summary(spark, path, SUMMARY_SCHEMA)
+    back = S.read_json_summary(spark, path, SUMMARY_SCHEMA)
+    cell = {f"c{i}{j}": F.col("confusion")[i][j] for i in (0, 1) for j in (0, 1)}
+    return back.select("model", "accuracy", F.col("report")["accuracy"].alias("report_accuracy"),
+                       *[c.alias(n) for n, c in cell.items()])
 
 
 @register("s11_read_optional", """

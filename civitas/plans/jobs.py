@@ -3,9 +3,8 @@ tables keyed by commune code and year.
 
 Each job is ``job(raw DataFrame(s), register, year) -> DataFrame`` built
 only from the operator library; nothing is computed until the caller
-writes or collects. The commune register is a bounded dimension (one row
-per commune, ~35k) and is broadcast; the indicator side is never
-broadcast. Per-commune aggregations use partial aggregation, so a code
+writes or collects. Whether the commune register is broadcast is left to
+its size at run time. Per-commune aggregations use partial aggregation, so a code
 carrying a third of the rows does not end up in one task.
 """
 
@@ -14,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (argmax_label, coerce_number, fill_missing, normalize_place_name,
+from ..functions.scalars import (argmax_label, as_int, coerce_number, fill_missing, normalize_place_name,
                                  parse_number, remove_accents, remove_all_whitespace, round_even,
                                  row_sum_min_count, row_sum_zero, share, strip, zfill)
 from ..operators import aggregates as G
@@ -24,10 +23,6 @@ from ..operators import joins as J
 from ..sources.readers import skip_and_name
 
 CODE_WIDTH = 5
-# The register has one row per commune (~35k in France). It is broadcast
-# after a bounded count proves it below this many rows; above it the
-# planner's shuffle join is used instead.
-REGISTER_MAX_ROWS = 2_000_000
 
 # ---------------------------------------------------------------------------
 # Source column names and groupings of the public files.
@@ -67,6 +62,13 @@ def age_layout():
             for i in range(1, AGE_BANDS + 1)]
 
 
+def file_order():
+    """Order of rows as read: files by name, then place in the file (Spark
+    packs splits into tasks by size, so the task's order is not the file's)."""
+    return F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def _register_names(register: DataFrame) -> DataFrame:
     return register.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                            F.col("nom_commune").alias("localisation"))
@@ -74,7 +76,7 @@ def _register_names(register: DataFrame) -> DataFrame:
 
 def commune_register(raw: DataFrame, order_col: str | None = None) -> DataFrame:
     """J-00: register from the raw commune file (columns may be absent)."""
-    df = raw if order_col else raw.withColumn("__order", F.monotonically_increasing_id())
+    df = raw if order_col else raw.withColumn("__order", file_order())
     order_col = order_col or "__order"
     present = {k: v for k, v in REGISTER_COLUMNS.items() if k in df.columns}
     sel = df.select(*[F.col(k).alias(v) for k, v in present.items()], order_col)
@@ -93,11 +95,10 @@ def median_income(raw: DataFrame, register: DataFrame, year: int,
     the first row of a duplicated code (file order) is kept."""
     df = P.normalize_column_names(raw, "\"'")
     P.require_columns(df, [code_col, value_col])
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    order = F.col(order_col) if order_col else file_order()
     df = df.select(zfill(strip(F.col(code_col)), CODE_WIDTH).alias("code_insee"),
                    parse_number(value_col).alias("revenu_median"), order.alias("__order"))
-    joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation",
-                             bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation")
     first = G.first_per_key(joined, "code_insee", ["__order"])
     return first.select("code_insee", "localisation",
                         round_even("revenu_median", 2).alias("revenu_median"),
@@ -114,8 +115,7 @@ def rate_indicator(df: DataFrame, register: DataFrame, part_cols, other_cols, na
     part = row_sum_min_count(part_cols)
     total = row_sum_min_count(other_cols) + part
     rates = parsed.select("code_insee", share(part, total).alias(name))
-    joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation",
-                             bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation")
     mean = G.group_mean(joined, ["code_insee", "localisation"], name)
     return mean.select("code_insee", "localisation", round_even(name, 2).alias(name),
                        F.lit(year).cast("int").alias("annee"))
@@ -148,7 +148,7 @@ def social_categories(sheet: DataFrame, register: DataFrame, year: int) -> DataF
     parsed = df.select(zfill("CODGEO", CODE_WIDTH).alias("code_insee"),
                        *[coerce_number(c).alias(c) for c in cols])
     shares = parsed.select("code_insee", *group_shares(parsed, SOCIAL_GROUPS))
-    joined = J.enrich(shares, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(shares, _register_names(register), "code_insee")
     out = [round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL_GROUPS]
     return joined.select("code_insee", "localisation", *out, F.lit(year).cast("int").alias("annee"))
 
@@ -158,7 +158,7 @@ def density(raw: DataFrame, register: DataFrame, year: int) -> DataFrame:
     P.require_columns(raw, ["code_insee", "population", "superficie_km2", "densite"])
     df = raw.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                     *[coerce_number(c).alias(c) for c in ("population", "superficie_km2", "densite")])
-    joined = J.enrich(df, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(df, _register_names(register), "code_insee")
     return joined.select("code_insee", "localisation", "population", "superficie_km2",
                          round_even("densite", 2).alias("densite"),
                          F.lit(year).cast("int").alias("annee"))
@@ -186,7 +186,7 @@ def demography(sheet: DataFrame, register: DataFrame, year: int) -> DataFrame:
              for _, m, f, _ in layout]
     ind = df.select("code_insee", *age_indicators(df, bands, [mid for *_, mid in layout],
                                                    YOUNG_BANDS, SENIOR_FIRST_BAND - 1))
-    joined = J.enrich(ind, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(ind, _register_names(register), "code_insee")
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors",
                                                   "age_median"]), "localisation")
     return kept.select("code_insee", "localisation",
@@ -203,8 +203,7 @@ def prefix_rate(df: DataFrame, register: DataFrame, part_prefixes, other_prefixe
     part = row_sum_zero([F.col(c).cast("double") for c in part_cols])
     other = row_sum_zero([F.col(c).cast("double") for c in other_cols])
     rates = df.select(F.col(code_col).alias("code_insee"), share(part, part + other).alias(name))
-    joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation",
-                             bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich_strict(rates, _register_names(register), "code_insee", "localisation")
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", name]), "localisation")
     return kept.select("code_insee", "localisation", round_even(name, 2).alias(name),
                        F.lit(year).cast("int").alias("annee"))
@@ -226,7 +225,7 @@ def associations(sheet: DataFrame, register: DataFrame, year: int) -> DataFrame:
     df = P.select_rename(df, {"INSEE": "code_insee", "ASSO2022": "nb_associations"})
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                        coerce_number(remove_all_whitespace("nb_associations")).alias("nb_associations"))
-    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(parsed, _register_names(register), "code_insee")
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "nb_associations"]), "localisation")
     return kept.select("code_insee", "localisation", "nb_associations",
                        F.lit(year).cast("int").alias("annee"))
@@ -240,10 +239,10 @@ def business_creations(cells: DataFrame, register: DataFrame, year: int,
     P.require_columns(df, [str(year)])
     parsed = df.select(zfill("code_insee", CODE_WIDTH).alias("code_insee"),
                        fill_missing(coerce_number(str(year)), 0.0).alias("n"))
-    joined = J.enrich(parsed, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(parsed, _register_names(register), "code_insee")
     kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation"]), "localisation")
     return kept.select("code_insee", "localisation",
-                       F.col("n").cast("int").alias("nb_creations_entreprises"),
+                       as_int("n").alias("nb_creations_entreprises"),
                        F.lit(year).cast("int").alias("annee"))
 
 
@@ -275,7 +274,7 @@ def election_result(stations: DataFrame, register: DataFrame, year: int,
     sums = G.group_sums(parsed, "code_insee", list(clean.values()))
     cblocs = {b: [clean[c] for c in cols] for b, cols in blocs.items()}
     scored = sums.select("code_insee", *bloc_scores(sums, cblocs, clean[expressed], bloc_order))
-    joined = J.enrich(scored, _register_names(register), "code_insee", bounded=REGISTER_MAX_ROWS)
+    joined = J.enrich(scored, _register_names(register), "code_insee")
     named = joined.withColumn("localisation", remove_accents("localisation"))
     kept = Fl.drop_blank(Fl.drop_missing(named, ["localisation", "classe_politique"]), "localisation")
     return kept.select("code_insee", "localisation", "classe_politique",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ..functions.scalars import NUMBER_PATTERN, WHITESPACE_CLASS
-
-WS = WHITESPACE_CLASS
+# Fixed values, written out apart from the code they check: white space of
+# str.strip(), and decimal literals.
+WS = ("[" + "".join(rf"\x{{{c:04X}}}" for c in [*range(0x09, 0x0E), 0x20, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680,
+                                                  *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) + "]")
+NUMBER_PATTERN = r"^[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?$"
 
 
 def zfill(x: str, n: int) -> str:

@@ -52,12 +52,15 @@ def get_session(master: str | None = None, app: str = "civitas",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; set one only if unset.
 
-    The fallback is for local tests only; on a cluster the setting names a
-    shared (HDFS/S3) folder that survives executor loss.
+    Only a ``local`` master may go without the setting (as tests do) and gets
+    a temporary folder; on a cluster the folder must be one that all machines
+    share, so without the setting the session is refused.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not fallback and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     directory = configured or fallback or os.path.join(
         os.environ.get("TMPDIR", "/tmp"), "civitas-checkpoints")
     if sc.getCheckpointDir() is None:
@@ -76,3 +79,11 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     machine-local temp folder): intermediate tables survive executor loss."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/civitas-{name}/{uuid.uuid4().hex}"
+
+
+def written(df, name: str = "scratch"):
+    """``df`` written to a fresh shared folder and read again: what follows
+    reads the same rows however often, and a lost executor costs no rerun."""
+    folder = scratch_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

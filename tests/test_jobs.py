@@ -112,8 +112,8 @@ def test_bridge_and_projection(spark):
 def test_business_creations(spark, register):
     rows = [(0, "Créations", None, None), (1, None, None, None), (2, None, None, None), (3, None, None, None),
             (4, "1001", "x", "3"), (5, "2A004", "y", "n.d."), (6, "75056", "z", "7")]
-    cells = spark.createDataFrame(rows, "row_no long, _c0 string, _c1 string, _c2 string") \
-        .withColumn("file", F.lit("f"))
+    cells = spark.createDataFrame(rows, "row_no long, a string, b string, c string") \
+        .select(F.lit("f").alias("file"), "row_no", F.array("a", "b", "c").alias("cells"))
     out = {r["code_insee"]: r["nb_creations_entreprises"]
            for r in jobs.business_creations(cells, register, 2012, 2012, 2012).collect()}
     assert out == {"01001": 3, "2A004": 0, "75056": 7}

@@ -120,16 +120,26 @@ def test_rff_transformer_roundtrip(spark, tmp_path):
     assert len(a[0]["z"]) == 16
 
 
-def test_exact_quantiles_by_refinement_match_numpy(spark):
+def test_quantiles_match_numpy(spark):
     from civitas.operators import profile as Pr
-    old = Pr.REFINE_LEAF_ROWS
-    Pr.REFINE_LEAF_ROWS = 50  # force several refinement rounds on a small input
-    try:
-        rng = np.random.default_rng(1)
-        vals = np.concatenate([rng.exponential(1e6, 3000), np.full(2000, 7.0), rng.normal(0, 1e-6, 1000)])
-        df = spark.createDataFrame([(float(x),) for x in vals], "x double")
-        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0, 0.3337]
-        got = Pr.exact_quantiles(df, "x", probs)
-        assert got == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12, abs=1e-15)
-    finally:
-        Pr.REFINE_LEAF_ROWS = old
+    rng = np.random.default_rng(1)
+    vals = np.concatenate([rng.exponential(1e6, 3000), np.full(2000, 7.0), rng.normal(0, 1e-6, 1000)])
+    rows = [(float(x), 1.0) for x in vals] + [(float("nan"), None), (None, float("inf"))]
+    df = spark.createDataFrame(rows, "x double, y double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0, 0.3337]
+    got = {(r["column"], r["prob"]): r["value"] for r in Pr.quantiles(df, ["x", "y"], probs).collect()}
+    assert [got[("x", p)] for p in probs] == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12, abs=1e-15)
+    assert got[("y", 0.5)] == 1.0 and got[("y", 1.0)] == float("inf")
+    box = Pr.box_stats(df, "x").first()
+    assert box["median"] == pytest.approx(np.median(vals)) and box["n_outliers"] > 0
+    stats = {(r["column"], r["statistic"]): r["value"] for r in Pr.describe(df, ["x"]).collect()}
+    assert stats[("x", "count")] == 6000 and stats[("x", "50%")] == box["median"] and stats[("x", "max")] == vals.max()
+
+
+def test_moments_of_large_values_and_missing_classes(spark):
+    df = spark.createDataFrame([(i, 1e9 + i / 1000, None if i % 10 == 0 else "a") for i in range(1000)], "id long, x double, c string")
+    median, mean, std = prep.fit_numeric_stats(df, ["x"])["x"]
+    assert std == pytest.approx(np.std(np.arange(1000) / 1000), rel=1e-4) and median == pytest.approx(1e9 + 0.4995)
+    split = prep.stratified_split(df, "c", 0.2, 42, "id")
+    assert split.count() == 1000 and split.filter("is_test and c is null").count() == 20
+    assert prep.folds(df, 5, 42, "id", label="c").count() == 1000
