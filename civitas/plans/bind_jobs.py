@@ -12,7 +12,7 @@ from . import jobs
 from . import sqlfrag as Q
 from .bind_scalars import DIRTY_SQL, dirty_prices
 from .explore import (explore_election, explore_indicator, explore_register, profile_table,
-                      share_consistency)
+                      profile_tables, share_consistency, share_report)
 from .fixtures import T, nation_register, returnflag_counts
 from .registry import register
 
@@ -43,10 +43,13 @@ def j02_rate_by_nation(spark, d):
     """Minimum slice (J-02 shape): share of returned lines per supplier,
     suppliers as the several rows of a nation, mean per nation."""
     wide = returnflag_counts(spark, d)
-    sup = T(spark, d, "supplier").select(
-        "s_suppkey", zfill(F.col("s_nationkey").cast("string"), 5).alias("code_insee"))
+    sup = T(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("CODGEO"))
     rows = wide.join(sup, wide.l_suppkey == sup.s_suppkey, "inner")
-    return jobs.rate_indicator(rows, nation_register(spark, d), ["R"], ["A", "N"], "taux", 2022)
+    source = {jobs.EMPLOYED[0]: "A", jobs.EMPLOYED[1]: "N", jobs.UNEMPLOYED[0]: "R"}
+    sheet = rows.select("CODGEO", *[(F.col(source[c]) if c in source else F.lit(None)).cast("string").alias(c)
+                                    for c in jobs.EMPLOYED + jobs.UNEMPLOYED])
+    rates = jobs.unemployment_rate(sheet, nation_register(spark, d), 2022)
+    return rates.withColumnRenamed("taux_chomage", "taux")
 
 
 # --- J-00 register -----------------------------------------------------------
@@ -145,12 +148,11 @@ FROM {FLAG_STATUS_SQL} w LEFT JOIN {SUPPLIER_REGISTER_SQL} r USING (code_insee)"
 @register("job03_social", _social_sql())
 def job03_social(spark, d):
     wide = flag_status_counts(spark, d)
-    parsed = wide.select("code_insee", *[F.col(c).cast("double").alias(c) for c in COMBOS])
-    shares = parsed.select("code_insee", *jobs.group_shares(parsed, SOCIAL))
-    joined = J.enrich(shares, jobs._register_names(supplier_register(spark, d)), "code_insee")
-    return joined.select("code_insee", "localisation",
-                         *[round_even(f"pourcentage_{g}", 2).alias(f"pourcentage_{g}") for g in SOCIAL],
-                         F.lit(2022).cast("int").alias("annee"))
+    cells = {jobs.SOCIAL_GROUPS[g][i]: c for g, combos in SOCIAL.items() for i, c in enumerate(combos)}
+    sheet = wide.select(F.col("code_insee").alias("CODGEO"),
+                        *[(F.col(cells[c]) if c in cells else F.lit(None).cast("string")).alias(c)
+                          for cols in jobs.SOCIAL_GROUPS.values() for c in cols])
+    return jobs.social_categories(sheet, supplier_register(spark, d), 2022)
 
 
 @register("job04_density", f"""
@@ -171,28 +173,35 @@ def job04_density(spark, d):
     return jobs.density(raw, reg, 2022)
 
 
-N_QBANDS = 10
+# quantities 1..50 as the twenty age bands: two and a half per band
+_BAND_SQL = "CAST(floor((l_quantity - 1) * 2 / 5) AS INTEGER)"
+_MALE, _FEMALE = "l_linestatus = 'F'", "l_linestatus <> 'F'"
 
 
-def quantity_band_counts(spark, d):
+def census_sheet(spark, d):
+    """Suppliers as communes of a census sheet: code in two parts, a flag
+    (off for every tenth), and lines per quantity band and line status."""
     li = T(spark, d, "lineitem").select(
-        zfill(F.col("l_suppkey").cast("string"), 5).alias("code_insee"),
-        F.floor((F.col("l_quantity") - 1) / 5).cast("int").alias("b"))
-    return li.groupBy("code_insee").agg(*[F.count_if(F.col("b") == b).cast("double").alias(f"q{b}")
-                                          for b in range(N_QBANDS)])
+        "l_suppkey", F.floor((F.col("l_quantity") - 1) * 2 / 5).cast("int").alias("b"), (F.col("l_linestatus") == "F").alias("m"))
+    counts = [F.count_if((F.col("b") == i) & (F.col("m") == male)).cast("string").alias(c)
+              for i, (_, m, f, _) in enumerate(jobs.age_layout()) for c, male in ((m, True), (f, False))]
+    wide = li.groupBy("l_suppkey").agg(*counts)
+    key = F.col("l_suppkey")
+    return wide.select(F.floor(key / 1000).cast("string").alias("DR"), (key % 1000).cast("string").alias("CR"),
+                       F.when(key % 10 == 0, "0").otherwise(" 1 ").alias("STABLE"),
+                       *[c for _, m, f, _ in jobs.age_layout() for c in (m, f)])
 
 
 def _demography_sql():
-    qs = [f"q{b}" for b in range(N_QBANDS)]
-    mids = [5 * b + 2.5 for b in range(N_QBANDS)]
-    total = Q.zero_sum(qs)
-    young, senior = Q.zero_sum(qs[:2]), Q.zero_sum(qs[7:])
-    cases = " ".join(f"WHEN {Q.zero_sum(qs[:i + 1])} >= ({total}) / 2 THEN {m}" for i, m in enumerate(mids))
+    qs = [f"q{b}" for b in range(20)]
+    total, young, senior = Q.zero_sum(qs), Q.zero_sum(qs[:5]), Q.zero_sum(qs[13:])
+    cases = " ".join(f"WHEN {Q.zero_sum(qs[:i + 1])} >= ({total}) / 2 THEN {5 * i + 2.5}" for i in range(20))
     median = f"(CASE WHEN {total} <> 0 THEN CASE {cases} END END)"
-    counts = ", ".join(f"CAST(count(*) FILTER (WHERE CAST(floor((l_quantity - 1) / 5) AS INTEGER) = {b}) "
-                       f"AS DOUBLE) AS q{b}" for b in range(N_QBANDS))
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE {_BAND_SQL} = {b} AND ({_MALE})) + count(*) FILTER (WHERE {_BAND_SQL} = {b} "
+                       f"AND ({_FEMALE})) AS DOUBLE) AS q{b}" for b in range(20))
+    code = Q.zfill("CAST(l_suppkey // 1000 AS VARCHAR)", 2) + " || " + Q.zfill("CAST(l_suppkey % 1000 AS VARCHAR)", 3)
     return f"""
-WITH w AS (SELECT {Q.zfill("CAST(l_suppkey AS VARCHAR)", 5)} AS code_insee, {counts} FROM lineitem GROUP BY 1),
+WITH w AS (SELECT {code} AS code_insee, {counts} FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY l_suppkey),
 i AS (SELECT code_insee, {Q.share(young, total)} AS pct_jeunes, {Q.share(senior, total)} AS pct_seniors,
              {median} AS age_median FROM w)
 SELECT i.code_insee, r.localisation, {Q.round_even("pct_jeunes", 2)} AS pct_jeunes,
@@ -205,15 +214,7 @@ WHERE r.localisation IS NOT NULL AND pct_jeunes IS NOT NULL AND pct_seniors IS N
 
 @register("job05_demography", _demography_sql())
 def job05_demography(spark, d):
-    w = quantity_band_counts(spark, d)
-    ind = w.select("code_insee", *jobs.age_indicators(w, [f"q{b}" for b in range(N_QBANDS)],
-                                                      [5 * b + 2.5 for b in range(N_QBANDS)], 2, 7))
-    joined = J.enrich(ind, jobs._register_names(supplier_register(spark, d)), "code_insee")
-    kept = Fl.drop_blank(Fl.drop_missing(joined, ["localisation", "pct_jeunes", "pct_seniors", "age_median"]),
-                         "localisation")
-    return kept.select("code_insee", "localisation",
-                       *[round_even(c, 2).alias(c) for c in ("pct_jeunes", "pct_seniors", "age_median")],
-                       F.lit(2022).cast("int").alias("annee"))
+    return jobs.demography(census_sheet(spark, d), supplier_register(spark, d), 2022)
 
 
 PREFIXED = {"AF": "INATC1_SEXE_AF", "AO": "INATC1_SEXE_AO", "NF": "INATC1_SEXE_NF",
@@ -230,9 +231,8 @@ SELECT code_insee, localisation, {Q.round_even("taux", 2)} AS taux_immigration,
 FROM y WHERE localisation IS NOT NULL AND taux IS NOT NULL AND {Q.strip("localisation")} <> ''""")
 def job06_immigration(spark, d):
     wide = flag_status_counts(spark, d)
-    named = wide.select("code_insee", *[F.col(c).alias(n) for c, n in PREFIXED.items()])
-    return jobs.prefix_rate(named, supplier_register(spark, d), ["INATC2_SEXE"], ["INATC1_SEXE"],
-                            "taux_immigration", 2022)
+    sheet = wide.select(F.col("code_insee").alias("CODGEO"), *[F.col(c).alias(n) for c, n in PREFIXED.items()])
+    return jobs.immigration_rate(sheet, supplier_register(spark, d), 2022)
 
 
 @register("job07_associations", f"""
@@ -456,7 +456,7 @@ def job15_explore_histogram(spark, d):
 SELECT count(*) AS n_rows, count(DISTINCT p_name) AS n_distinct FROM part
 WHERE p_type = 'SMALL' AND coalesce(regexp_matches(p_name, '(?i)ring|gear'), false)""")
 def job16_explore_register(spark, d):
-    return explore_register(T(spark, d, "part"), "p_name", "ring|gear", {"p_type": "SMALL"})
+    return explore_register(T(spark, d, "part"), "p_name", "ring|gear", {"p_type": "SMALL"})["counts"]
 
 
 @register("job17_explore_election", f"""
@@ -477,3 +477,60 @@ WITH e AS ({_election_sql()}) SELECT classe_politique, count(*) AS count FROM e
 def job17_bloc_distribution(spark, d):
     e = job09_election(spark, d)
     return explore_election(e, "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])["distribution"]
+
+
+@register("job17_mean_scores", f"""
+WITH e AS ({_election_sql()})
+""" + " UNION ALL ".join(f"SELECT 'score_{b}' AS column, round(avg(score_{b}), 4) AS mean FROM e" for b in PRIORITY_BLOCS))
+def job17_mean_scores(spark, d):
+    r = explore_election(job09_election(spark, d), "classe_politique", [f"score_{b}" for b in PRIORITY_BLOCS])
+    return r["mean_scores"].withColumn("mean", F.round("mean", 4))
+
+
+@register("job16_register_rows", """
+SELECT p_partkey, p_name FROM part
+WHERE p_type = 'SMALL' AND coalesce(regexp_matches(p_name, '(?i)ring|gear'), false)""")
+def job16_register_rows(spark, d):
+    return explore_register(T(spark, d, "part"), "p_name", "ring|gear", {"p_type": "SMALL"})["rows"].select("p_partkey", "p_name")
+
+
+_SHARES = [f"pourcentage_{g}" for g in SOCIAL]
+
+
+@register("job14_sum_describe", f"""
+WITH s AS ({_social_sql()}), t AS (SELECT {Q.min_count_sum(_SHARES)} AS total FROM s)
+SELECT 'total' AS column, u.statistic, round(u.value, 4) AS value FROM (
+  SELECT unnest(['count', 'mean', 'std', 'min', '25%', '50%', '75%', 'max']) AS statistic,
+         unnest([CAST(count(total) AS DOUBLE), avg(total), stddev_samp(total), min(total), quantile_cont(total, 0.25),
+                 quantile_cont(total, 0.5), quantile_cont(total, 0.75), max(total)]) AS value FROM t) u""")
+def job14_sum_describe(spark, d):
+    return share_report(job03_social(spark, d), _SHARES, "code_insee")["sum"].withColumn("value", F.round("value", 4))
+
+
+@register("job14_incomplete_rows", f"""
+SELECT code_insee, localisation FROM ({_social_sql()})
+WHERE {" OR ".join(f"{c} IS NULL" for c in _SHARES)} ORDER BY code_insee LIMIT 20""")
+def job14_incomplete_rows(spark, d):
+    return share_report(job03_social(spark, d), _SHARES, "code_insee")["incomplete"].select("code_insee", "localisation")
+
+
+@register("job13_patterns", """
+SELECT doc_id IS NULL AS doc_id, quality IS NULL AS quality, toxic IS NULL AS toxic, count(*) AS count FROM labels GROUP BY ALL""")
+def job13_patterns(spark, d):
+    return profile_tables(T(spark, d, "labels"), ["quality", "toxic"])["patterns"]
+
+
+def _boxes_sql(cols):
+    return " UNION ALL ".join(f"""
+SELECT '{c}' AS column, q1, med AS median, q3, q3 - q1 AS iqr,
+       min({c}) FILTER (WHERE {c} >= q1 - 1.5 * (q3 - q1)) AS lower_whisker,
+       max({c}) FILTER (WHERE {c} <= q3 + 1.5 * (q3 - q1)) AS upper_whisker,
+       count(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM orders), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1,
+     quantile_cont(CAST({c} AS DOUBLE), 0.5) AS med, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM orders)
+GROUP BY q1, med, q3""" for c in cols)
+
+
+@register("job13_boxes", _boxes_sql(["o_totalprice", "o_custkey"]))
+def job13_boxes(spark, d):
+    return profile_tables(T(spark, d, "orders"), ["o_totalprice", "o_custkey"])["boxes"]

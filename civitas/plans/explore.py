@@ -3,6 +3,8 @@ dashboard pages, as parameterised DataFrame functions (no UI)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,25 @@ def profile_table(df: DataFrame, cols) -> DataFrame:
     return desc.unionByName(miss).unionByName(pct)
 
 
+def profile_tables(df: DataFrame, cols, bins: int = 50) -> dict:
+    """J-13: all tables of a profile: row count, statistics, histogram and box
+    statistics per column, and which columns are missing together."""
+    def each(table):
+        parts = [table(c).select(F.lit(c).alias("column"), "*") for c in cols]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    return {"rows": G.row_count(df), "statistics": profile_table(df, cols),
+            "histograms": each(lambda c: Pr.histogram(df, c, bins)), "boxes": each(lambda c: Pr.box_stats(df, c)),
+            "patterns": Pr.missing_patterns(df)}
+
+
+def share_report(df: DataFrame, share_cols, key: str, n: int = 20) -> dict:
+    """J-14: the counts of ``share_consistency``, a description of the shares'
+    sum, and the first ``n`` rows that miss a share."""
+    total = df.withColumn("total", row_sum_min_count(share_cols))
+    return {"counts": share_consistency(df, share_cols), "sum": Pr.describe(total, ["total"]),
+            "incomplete": Fl.rows_with_missing(df, share_cols, [key], n)}
+
+
 def share_consistency(df: DataFrame, share_cols, hi: float = 100.5, lo: float = 99.5) -> DataFrame:
     """J-14: rows whose shares sum above ``hi`` / below ``lo``, rows with a
     missing share."""
@@ -44,13 +65,14 @@ def explore_indicator(df: DataFrame, value: str, key: str, filters: dict | None
             "bottom": K.top_k(f, value, k, False, [key]), "histogram": Pr.histogram(f, value, bins)}
 
 
-def explore_register(df: DataFrame, text_col: str, pattern: str, filters: dict | None = None) -> DataFrame:
-    """J-16: filtered rows of the register and their counts."""
+def explore_register(df: DataFrame, text_col: str, pattern: str, filters: dict | None = None) -> dict:
+    """J-16: filtered rows of the register (to show or export) and their
+    counts."""
     f = df
     for col, v in (filters or {}).items():
         f = Fl.filter_equals(f, col, v)
     f = Fl.search_text(f, text_col, pattern)
-    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(text_col).alias("n_distinct"))
+    return {"rows": f, "counts": f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(text_col).alias("n_distinct"))}
 
 
 def explore_election(df: DataFrame, class_col: str, score_cols, filters: dict | None = None) -> dict:
@@ -59,9 +81,10 @@ def explore_election(df: DataFrame, class_col: str, score_cols, filters: dict |
     f = df
     for col, v in (filters or {}).items():
         f = Fl.filter_equals(f, col, v)
-    dominant = Pr.mode_of(f, class_col).scalar()  # partial counts, one scalar subquery
-    kpi = f.agg(F.count(F.lit(1)).alias("n_rows"),
-                F.avg(F.greatest(*[F.col(c) for c in score_cols])).alias("mean_winning_score")) \
-        .select("n_rows", dominant.alias("dominant"), "mean_winning_score")
+    best = F.greatest(*[F.col(c) for c in score_cols])
+    per = f.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"), F.sum(best).alias("s"), F.count(best).alias("k"))
+    known = F.when(F.col(class_col).isNotNull(), F.struct(-F.col("n"), F.col(class_col)))
+    kpi = per.agg(F.sum("n").alias("n_rows"), F.min_by(class_col, known).alias("dominant"),
+                  (F.sum("s") / F.sum("k")).alias("mean_winning_score"))
     return {"kpi": kpi, "distribution": Pr.value_counts(f, class_col),
             "mean_scores": Pr.column_means_long(f, score_cols)}

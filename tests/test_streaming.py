@@ -15,7 +15,7 @@ def test_incremental_indicator(spark, tmp_path):
 
     def transform(df):
         parsed = df.select(zfill("CODGEO", 5).alias("code_insee"), parse_number("Q221").alias("revenu_median"))
-        return J.enrich(parsed, register, "code_insee", bounded=True) \
+        return J.enrich(parsed, register, "code_insee") \
             .withColumn("annee", F.lit(2021))
 
     schema = all_string_schema(["CODGEO", "Q221"])
