@@ -1,12 +1,10 @@
-"""Dataset names and schemas: the raw inputs of the indicator jobs, the
-clean tables they produce, and the fixture tables used by the checks."""
+"""The fixture tables that the checks read."""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                   "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -18,49 +16,3 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table (parquet; filters and projections reach the scan)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def _schema(spec: str) -> StructType:
-    types = {"s": StringType(), "d": DoubleType(), "i": IntegerType(), "l": LongType()}
-    fields = []
-    for item in spec.split(","):
-        name, t = item.strip().rsplit(" ", 1)
-        fields.append(StructField(name, types[t], True))
-    return StructType(fields)
-
-
-# Clean indicator tables (every table keeps code_insee, see README).
-REGISTER = _schema("code_insee s, nom_commune s, code_departement s, code_region s")
-INCOME = _schema("code_insee s, localisation s, revenu_median d, annee i")
-UNEMPLOYMENT = _schema("code_insee s, localisation s, taux_chomage d, annee i")
-SOCIAL = _schema("code_insee s, localisation s, pourcentage_agri d, pourcentage_cadres d, "
-                 "pourcentage_employes d, pourcentage_ouvriers d, annee i")
-DENSITY = _schema("code_insee s, localisation s, population d, superficie_km2 d, densite d, annee i")
-DEMOGRAPHY = _schema("code_insee s, localisation s, pct_jeunes d, pct_seniors d, age_median d, annee i")
-IMMIGRATION = _schema("code_insee s, localisation s, taux_immigration d, annee i")
-ASSOCIATIONS = _schema("code_insee s, localisation s, nb_associations d, annee i")
-BUSINESS = _schema("code_insee s, localisation s, nb_creations_entreprises l, annee i")
-ELECTION = _schema("code_insee s, localisation s, classe_politique s, score_extreme_droite d, "
-                   "score_extreme_gauche d, score_centre d, score_droite d, score_gauche d, annee i")
-BRIDGE = _schema("Code_INSEE_2022 s, Code_INSEE_2024 s, Nom_Commune s, Statut_2024 s")
-PROJECTED_INCOME = _schema("code_insee s, localisation s, revenu_estime_2024 d")
-
-# Output names, one place (the reference's readers and writers disagreed).
-OUTPUT_NAMES = {
-    "register": "communes_{year}_cleaned",
-    "income": "01_revenus_median_{year}_cleaned",
-    "unemployment": "02_taux_chomage_{year}_cleaned",
-    "social": "03_categorie_sociale_{year}_cleaned",
-    "density": "04_densite_population_{year}_cleaned",
-    "demography": "05_demographie_{year}_cleaned",
-    "immigration": "06_taux_immigration_{year}_cleaned",
-    "associations": "07_associations_{year}_cleaned",
-    "business": "08_creation_entreprises_{year}_cleaned",
-    "election": "Y_resultats_elections_1er_tour_{year}",
-    "bridge": "referentiel_historique_22_24",
-    "projected_income": "01_revenus_median_2024_estime",
-}
-
-
-def output_name(kind: str, year: int | None = None) -> str:
-    return OUTPUT_NAMES[kind].format(year=year)

@@ -8,7 +8,7 @@ the data in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_even
@@ -153,3 +153,10 @@ def wide_counts(df: DataFrame, keys, col: str, values, names=None, zero_fill: bo
     else:
         aggs = [F.sum(F.when(F.col(col) == F.lit(v), one)).alias(n) for v, n in zip(values, names)]
     return df.groupBy(*ks).agg(*aggs)
+
+
+def running_sum(df: DataFrame, keys, order: str, value: str, alias: str = "cum") -> DataFrame:
+    """Running total of ``value`` along ``order`` within each key. Meant
+    for rows that are already one per key and band: a key is one window."""
+    w = Window.partitionBy(*_keys(keys)).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(alias, F.sum(value).over(w))

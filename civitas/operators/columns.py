@@ -26,11 +26,6 @@ def select_rename(df: DataFrame, mapping: dict[str, str], strict: bool = True) -
     return df.select(*[F.col(f"`{src}`").alias(mapping[src]) for src in present])
 
 
-def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
-    """P1 positional form: name the first ``len(names)`` columns."""
-    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)])
-
-
 def clean_name(name: str, drop_chars: str = "\n\r \"'") -> str:
     out = str(name).strip()
     for ch in drop_chars:

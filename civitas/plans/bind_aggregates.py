@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
@@ -224,6 +223,4 @@ def w1_running_band_sum(spark, d):
     li = T(spark, d, "lineitem")
     b = li.groupBy("l_suppkey", F.floor(F.col("l_quantity") / 5).cast("int").alias("band")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    # pre-aggregated: each window partition holds at most len(QTY_BANDS) rows
-    w = Window.partitionBy("l_suppkey").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
-    return b.withColumn("cum", F.sum("n").over(w))
+    return G.running_sum(b, "l_suppkey", "band", "n")
