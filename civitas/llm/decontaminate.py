@@ -20,8 +20,9 @@ from .components import stored
 MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9))
 WINDOW, AGREE = 13, 80
 #: Seeds of the benchmark that are looked up at once: a block of this many
-#: rows is broadcast (under 100 MB), a larger benchmark comes in blocks.
-BLOCK_SEEDS = 1_000_000
+#: rows, each with at most 2 * WINDOW - 1 tokens of its item around the place,
+#: is broadcast (under 80 MB); a larger benchmark comes in blocks.
+BLOCK_SEEDS = 300_000
 
 
 def tokens(text: Column) -> Column:
@@ -39,15 +40,16 @@ def _seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
     return placed.withColumn("seed", F.explode(F.array(*keys))).where("seed is not null")
 
 
-def _overlap(window: int) -> tuple[Column, Column, Column]:
-    """(agreement per place of the item, most agreeing places of a window that
-    holds the hit or -1 if none fits text and item, the window's width)."""
-    wide = F.least(F.lit(window), F.size("item"))
-    same = F.transform(F.col("item"), lambda t, j: F.when(F.get("toks", F.col("shift") + j) == t, 1).otherwise(0))
-    starts = F.sequence(F.greatest(F.lit(0), F.col("at") - wide + 1), F.least(F.col("at"), F.size("item") - wide))
-    inside = F.filter(starts, lambda s: (F.col("shift") + s >= 0) & (F.col("shift") + s + wide <= F.size("toks")))
-    best = F.array_max(F.transform(inside, lambda s: F.aggregate(F.slice("same", s + 1, wide), F.lit(0), lambda x, y: x + y)))
-    return same, F.coalesce(best, F.lit(-1)), wide
+def _overlap(window: int) -> tuple[Column, Column]:
+    """(agreement per token of ``part``, most agreeing places of a window of
+    ``wide`` tokens that holds the hit, -1 if none fits item and text).
+    ``part`` starts at place ``base`` of the item."""
+    same = F.transform(F.col("part"), lambda t, j: F.when(F.get("toks", F.col("shift") + F.col("base") + j) == t, 1).otherwise(0))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("at") - F.col("wide") + 1), F.least(F.col("at"), F.col("long") - F.col("wide")))
+    inside = F.filter(starts, lambda s: (F.col("shift") + s >= 0) & (F.col("shift") + s + F.col("wide") <= F.size("toks")))
+    best = F.array_max(F.transform(inside, lambda s: F.aggregate(
+        F.slice("same", s - F.col("base") + 1, F.col("wide")), F.lit(0), lambda x, y: x + y)))
+    return same, F.coalesce(best, F.lit(-1))
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agree: int = AGREE,
@@ -60,8 +62,11 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
     row each; empty tables give no rows; further columns are not read."""
     folder = scratch_dir(spark, "leaks")
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(F.col("text")).alias("toks"))
-    seeds = stored(_seeds(items).select("seed", "item_id", F.col("place").alias("at"), F.col("toks").alias("item")).distinct(),
-                   f"{folder}/seeds")
+    base = F.greatest(F.lit(0), F.col("place") - window + 1)
+    seeds = stored(_seeds(items).select(
+        "seed", "item_id", F.col("place").alias("at"), base.alias("base"), F.size("toks").alias("long"),
+        F.least(F.lit(window), F.size("toks")).alias("wide"), F.slice("toks", base + 1, 2 * window - 1).alias("part")).distinct(),
+        f"{folder}/seeds")
     blocks = -(-seeds.count() // BLOCK_SEEDS)
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"),
                         tokens(F.col(text_column)).alias("toks"))
@@ -69,8 +74,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
     for k in range(max(blocks, 1)):
         block = seeds.where(F.pmod(F.xxhash64("seed"), F.lit(max(blocks, 1))) == k)
         hits = _seeds(texts).join(F.broadcast(block), "seed").withColumn("shift", F.col("place") - F.col("at"))
-        same, best, wide = _overlap(window)
-        hits = hits.withColumn("same", same).withColumn("agreeing", best).withColumn("of", wide)
+        same, best = _overlap(window)
+        hits = hits.withColumn("same", same).withColumn("agreeing", best).withColumn("of", F.col("wide"))
         leaks = hits.where(100 * F.col("agreeing") >= agree * F.col("of")).select("doc_id", "text_hash", "item_id", "agreeing", "of")
         found = leaks if found is None else found.unionByName(leaks)
     return found.groupBy("doc_id", "text_hash", "item_id").agg(F.max("agreeing").alias("agreeing"), F.max("of").alias("of"))
