@@ -133,7 +133,7 @@ def test_pipeline_stages(spark, sf_dir):
             want = brute.near_duplicates(zip(before.doc_id, before.text), 5, 80)
             assert set(after.doc_id) == {c for _, c in want.values()} and after.doc_id.is_unique
         if name == "repeated_spans":
-            want = {k: r[3] for k, r in zip(before.doc_id, brute.repeats(before.text, 400))}
+            want = {k: r[3] for k, r in zip(before.doc_id, brute.repeats(before.text, corpus_pipeline.PASSAGE))}
             same = [hashlib.sha256(t.encode()).hexdigest() == want[k] for k, t in zip(after.doc_id, after.text)]
             assert sum(same) >= 0.9 * len(same) and (after.n_chars == after.text.str.len()).all()  # signs cut in two are dropped
         if name == "decontamination":
