@@ -321,13 +321,26 @@ def m21_regression_metrics(spark, d):
                     F.round("rmse", 4).alias("rmse"))
 
 
-@register("m22_prediction_table")
+@register("m22_prediction_table", f"""
+WITH r AS (SELECT vec_id, 'c' || (label % 3) AS y_true,
+                  row_number() OVER (PARTITION BY label % 3 ORDER BY {md5_key('vec_id')}, vec_id) AS rk,
+                  count(*) OVER (PARTITION BY label % 3) AS n FROM embeddings)
+SELECT vec_id, y_true, CAST(1 AS DOUBLE) AS proba_total, true AS takes_the_likeliest FROM r WHERE rk <= round_even(0.2 * n, 0)""")
 def m22_prediction_table(spark, d):
-    return _single_classifier(spark, d, "logistic_regression")
-
-
-@register("m23_save_load_model")
+    """The test part's rows with their labels; class probabilities add up to
+    1 and the predicted class is the likeliest one."""
+    table = _single_classifier(spark, d, "logistic_regression")
+    proba = [c for c in table.columns if c.startswith("proba_")]
+    best = F.greatest(*proba)
+    picked = F.coalesce(*[F.when(F.concat(F.lit("proba_"), F.col("y_pred")) == c, F.col(c)) for c in proba])
+    return table.select("vec_id", "y_true", F.round(sum(F.col(c) for c in proba), 6).alias("proba_total"),
+                        (picked == best).alias("takes_the_likeliest"))
+
+
+@register("m23_save_load_model", """
+SELECT vec_id, 'c' || (label % 3) AS target, true AS same FROM embeddings""")
 def m23_save_load_model(spark, d):
+    """A saved and loaded model predicts what the fitted one does."""
     df = embedding_table(spark, d)
     cfg = C.Config(**CLS_CFG)
     split = C.prepare_classification(df, cfg)
@@ -335,9 +348,10 @@ def m23_save_load_model(spark, d):
                              split["cfg"])
     path = scratch_dir(spark, "model")
     C.save_model(model, path)
-    loaded = C.load_model(path)
-    scored = loaded.transform(df.withColumn("__target", F.col("target")))
-    return scored.select("vec_id", "target", "prediction")
+    rows = df.withColumn("__target", F.col("target"))
+    fitted = model.transform(rows).select("vec_id", "target", F.col("prediction").alias("before"))
+    loaded = C.load_model(path).transform(rows).select(F.col("vec_id").alias("v"), F.col("prediction").alias("after"))
+    return fitted.join(loaded, fitted.vec_id == loaded.v).select("vec_id", "target", (F.col("before") == F.col("after")).alias("same"))
 
 
 @register("m24_residual_table", f"""
