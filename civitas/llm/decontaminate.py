@@ -23,6 +23,8 @@ WINDOW, AGREE = 13, 80
 #: rows, each with at most 2 * WINDOW - 1 tokens of its item around the place,
 #: is broadcast (under 80 MB); a larger benchmark comes in blocks.
 BLOCK_SEEDS = 300_000
+#: Tokens of a stretch that is searched at once.
+STRETCH = 4096
 
 
 def tokens(text: Column) -> Column:
@@ -34,12 +36,21 @@ def tokens(text: Column) -> Column:
 def _seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
     """One row per place and mask that fits: all columns, place, seed."""
     last = min(m[-1] for m in masks)
-    placed = rows.where(F.size("toks") > last).withColumn("place", F.explode(F.sequence(F.lit(0), F.size("toks") - 1 - last)))
+    places = F.when(F.size("toks") > last, F.sequence(F.lit(0), F.size("toks") - 1 - last))
     keys = [F.when(F.col("place") + m[-1] < F.size("toks"),
                    F.xxhash64(F.lit(k), *[F.get("toks", F.col("place") + o) for o in m])) for k, m in enumerate(masks)]
+    placed = rows.withColumn("place", F.explode(places))
     return placed.withColumn("seed", F.explode(F.array(*keys))).where("seed is not null")
 
 
+def _stretches(texts: DataFrame, window: int) -> DataFrame:
+    """Texts in overlapping stretches of tokens: what a hit carries along is
+    bounded, however long the text. Every window lies whole in one stretch."""
+    reach = STRETCH + 2 * window + max(m[-1] for m in MASKS) + 1
+    starts = F.when(F.size("toks") > 0, F.sequence(F.lit(0), F.size("toks") - 1, F.lit(STRETCH)))
+    return texts.select("doc_id", "text_hash", F.explode(F.transform(starts, lambda s: F.slice("toks", s + 1, reach))).alias("toks"))
+
+
 def _overlap(window: int) -> tuple[Column, Column]:
     """(agreement per token of ``part``, most agreeing places of a window of
     ``wide`` tokens that holds the hit, -1 if none fits item and text).
@@ -72,13 +83,14 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
                         tokens(F.col(text_column)).alias("toks"))
     found = None
     for k in range(max(blocks, 1)):
-        block = seeds.where(F.pmod(F.xxhash64("seed"), F.lit(max(blocks, 1))) == k)
-        hits = _seeds(texts).join(F.broadcast(block), "seed").withColumn("shift", F.col("place") - F.col("at"))
+        block = seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == k) if blocks > 1 else seeds
+        hits = _seeds(_stretches(texts, window)).join(F.broadcast(block), "seed").withColumn("shift", F.col("place") - F.col("at"))
         same, best = _overlap(window)
-        hits = hits.withColumn("same", same).withColumn("agreeing", best).withColumn("of", F.col("wide"))
-        leaks = hits.where(100 * F.col("agreeing") >= agree * F.col("of")).select("doc_id", "text_hash", "item_id", "agreeing", "of")
-        found = leaks if found is None else found.unionByName(leaks)
-    return found.groupBy("doc_id", "text_hash", "item_id").agg(F.max("agreeing").alias("agreeing"), F.max("of").alias("of"))
+        hits = hits.withColumn("same", same).withColumn("agreeing", best).select("doc_id", "text_hash", "item_id", "agreeing", "wide")
+        found = hits if found is None else found.unionByName(hits)
+    # the threshold comes after the grouping, so that it stays out of the join
+    best_of = found.groupBy("doc_id", "text_hash", "item_id").agg(F.max("agreeing").alias("agreeing"), F.max("wide").alias("of"))
+    return best_of.where(100 * F.col("agreeing") >= agree * F.col("of"))
 
 
 def flag_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agree: int = AGREE,

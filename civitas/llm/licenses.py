@@ -112,10 +112,11 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, templates: Mapping[str,
     broadcast."""
     known = template_table(spark, templates, words)
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"),
-                        tokens(F.col(text_column)).alias("toks")).where(F.size("toks") >= words)
+                        tokens(F.col(text_column)).alias("toks"))
     # places of template shingles, and the windows of that template's class around them
     seeds = known.select("length", F.explode("wanted").alias("shingle")).distinct()
-    hits = (texts.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("toks") - words)))
+    places = F.when(F.size("toks") >= words, F.sequence(F.lit(0), F.size("toks") - words))
+    hits = (texts.withColumn("place", F.explode(places))
             .withColumn("shingle", _shingle("toks", F.col("place"), words)).join(F.broadcast(seeds), "shingle"))
     around = F.floor(F.col("place") / F.col("length")).cast("int")
     windows = (hits.withColumn("number", F.explode(F.array(around, F.greatest(around - 1, F.lit(0)))))
