@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import lower_ascii, text_chunks
+from .textbytes import CHUNK_BYTES, lower_ascii, text_chunks
 
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 17
 DIMENSIONS = 8
 #: Most labelled rows that a model is fitted on, in the order of a hash.
-SAMPLE = 8_000
+SAMPLE = 6_000
 EPOCHS, BATCH, RATE = 15, 128, 0.05
 SHRINK, TOXIC_WEIGHT = 1.0, 1.5
 #: The mean of a text's vectors is scaled by this before the softmax: a few
@@ -37,9 +37,9 @@ _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def subwords(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def subwords(column, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, buckets, text of each bucket) per chunk of a string column."""
-    for first, buf, off in text_chunks(column):
+    for first, buf, off in text_chunks(column, chunk_bytes):
         n = len(off) - 1
         # one edge mark before, between and after the texts
         data = np.full(len(buf) + n + 1, 32, np.uint8)
@@ -80,7 +80,7 @@ class SubwordModel:
 def _bags(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct buckets of each text with their shares, and row bounds."""
     idx, share, size = [], [], np.zeros(len(texts), np.int64)
-    for first, buckets, rows in subwords(pa.array(texts, pa.string())):
+    for first, buckets, rows in subwords(pa.array(texts, pa.string()), CHUNK_BYTES // 8):  # on the driver: small steps
         key, count = np.unique(rows.astype(np.int64) << BUCKET_BITS | buckets, return_counts=True)
         row = key >> BUCKET_BITS
         total = np.bincount(rows, minlength=int(row[-1]) + 1 if len(row) else 0)
