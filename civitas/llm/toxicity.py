@@ -25,7 +25,7 @@ SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 17
 DIMENSIONS = 8
 #: Most labelled rows that a model is fitted on, in the order of a hash.
-SAMPLE = 6_000
+SAMPLE = 5_000
 EPOCHS, BATCH, RATE = 15, 128, 0.05
 SHRINK, TOXIC_WEIGHT = 1.0, 1.5
 #: The mean of a text's vectors is scaled by this before the softmax: a few
@@ -88,7 +88,9 @@ def _bags(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         share.append((count / total[row]).astype(np.float32) if len(row) else np.zeros(0, np.float32))
         distinct = np.bincount(row, minlength=0)
         size[first:first + len(distinct)] = distinct
-    return np.concatenate(idx), np.concatenate(share), np.append(0, np.cumsum(size))
+    all_idx = np.concatenate(idx)
+    del idx  # the driver holds one copy at a time
+    return all_idx, np.concatenate(share), np.append(0, np.cumsum(size))
 
 
 def fit(texts: list, labels: list, seed: int = 11) -> SubwordModel:
