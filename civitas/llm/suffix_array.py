@@ -5,8 +5,9 @@ first eight bytes, then every group that is still tied is sorted by the rank
 of the suffix ``h`` bytes on, with ``h`` doubling; groups of one are never
 touched again. ``common_prefixes`` is Kasai's algorithm in whole arrays: a
 suffix whose neighbour is the successor of its predecessor's neighbour has a
-common prefix one byte shorter, so only the starts of such chains are
-compared byte for byte.
+common prefix one byte shorter, as long as there is one, so only the starts
+of such chains are compared byte for byte. A chain ends behind a suffix whose
+first byte differs from its neighbour's (at most 255 in a block).
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     chain = np.zeros(n, bool)
-    chain[1:] = (before[1:] == before[:-1] + 1) & (before[:-1] >= 0)
+    chain[1:] = (before[1:] == before[:-1] + 1) & (before[:-1] >= 0) & (text[:-1] == text[before[:-1]])
     chain[::depth] = False  # a chain restarts before its start's limit is used up
     heads = np.flatnonzero(~chain & (before >= 0))
     length = np.zeros(len(heads), np.int64)
@@ -89,5 +90,5 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     found = np.zeros(n, np.int64)
     found[heads] = np.minimum(length, limit)
     start = np.maximum.accumulate(np.where(chain, 0, np.arange(n)))
-    found = np.maximum(found[start] - (np.arange(n) - start), 0)
+    found = found[start] - (np.arange(n) - start)
     return found[order]

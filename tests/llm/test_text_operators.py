@@ -22,7 +22,7 @@ from civitas.llm.decontaminate import flag_leaks  # noqa: E402
 from civitas.llm.encoder import PieceEncoder, tokenizer_path  # noqa: E402
 from civitas.llm.licenses import scan_licenses  # noqa: E402
 from civitas.llm.packing import deal, pack_tokens  # noqa: E402
-from civitas.llm.repeated_spans import remove_repeats  # noqa: E402
+from civitas.llm.repeated_spans import remove_repeats, shared_strings  # noqa: E402
 from civitas.llm.suffix_array import common_prefixes, suffix_array  # noqa: E402
 from civitas.llm.toxicity import fit, fit_on_labels, score_toxicity  # noqa: E402
 
@@ -160,6 +160,24 @@ def test_suffix_array_and_common_prefixes():
         assert shared[k] == exact if exact < 40 else shared[k] >= 40
 
 
+def test_common_prefixes_behind_a_pair_without_one():
+    """A rare sign before a passage: its suffix and the one before it share
+    nothing, the passage behind them all the same."""
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(450))
+    raw = f"some words ^{passage} aaa other things _{passage}zzz".encode()
+    text = np.frombuffer(raw, np.uint8)
+    order = suffix_array(text, 400)
+    shared = common_prefixes(text, order, 400)
+    for k in range(1, len(raw)):
+        exact = len(os.path.commonprefix([raw[order[k]:], raw[order[k - 1]:]]))
+        assert shared[k] == exact if exact < 400 else shared[k] >= 400
+    first, second = raw.index(passage.encode()), raw.rindex(passage.encode())
+    windows = [raw[first - 12:first + 450], raw[second - 18:second + 450]]
+    _, lo, hi = shared_strings(np.zeros(2, np.int64), np.array([12, 18]), windows, 400)
+    assert lo.tolist() == [12, 18] and hi.tolist() == [462, 468]
+
+
 def test_repeats_of_documents(spark, sf_dir, documents):
     rows = queries.QUERIES["op8_repeated_spans"](spark, sf_dir).toPandas().set_index("doc_id")
     assert [tuple(rows.loc[k]) for k in documents.doc_id] == brute.repeats(documents.text, 400)
