@@ -4,7 +4,8 @@ Both public vocabularies split a text at white space before any merge, so a
 text's ids are the ids of its white-space pieces one after the other. Every
 distinct piece is encoded once by the library and kept in a bounded table;
 numpy then cuts texts into pieces, looks them up and lays the ids out. Texts
-with white space beyond ASCII go through the library whole.
+with white space beyond ASCII or with an added token of the file (such as
+``<|endoftext|>``) go through the library whole.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.whole = re.compile(b"|".join([OTHER_SPACE.pattern, *(re.escape(t.encode("utf-8")) for t in added)]))
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.keeps_space, self.max_pieces = keeps_space, max_pieces
         self._clear()
@@ -155,11 +157,11 @@ class PieceEncoder:
         ``ids[bounds[k]:bounds[k + 1]]``. Null texts are empty."""
         for first, buf, off in text_chunks(column):
             ids, bounds = self._chunk(buf, off)
-            if OTHER_SPACE.search(buf):  # at least one text must go whole
+            if self.whole.search(buf):  # at least one text must go whole
                 texts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
                 raw = buf.tobytes()
                 for k, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
-                    if OTHER_SPACE.search(raw, a, b):
+                    if self.whole.search(raw, a, b):
                         texts[k] = self._whole(raw[a:b])
                 bounds = np.append(0, np.cumsum([len(x) for x in texts]))
                 ids = np.concatenate(texts)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
@@ -53,6 +54,18 @@ def test_encoder_gives_the_librarys_ids(documents):
         assert got == want
 
 
+def test_encoder_knows_the_files_added_tokens(documents):
+    """Against the library as it comes, without the encoder's settings."""
+    texts = ["a b<|endoftext|>c d", "<|startoftext|> one<|endoftext|><|endoftext|>\n two", "<|endoftext|>", "<|endoftext|", "|>", None,
+             "plain text", "<|ENDOFTEXT|> x", "a\u00a0b<|startoftext|>", "tail <|endoftext|>"] + documents.text.tolist()[:40]
+    for name, keeps in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        codec = PieceEncoder(tokenizer_path(name), keeps)
+        got = [ids[a:b].tolist() for _, ids, e in codec.encode(pa.array(texts, pa.string()), 7) for a, b in zip(e, e[1:])]
+        library = Tokenizer.from_file(tokenizer_path(name))
+        assert got == [library.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+        assert library.token_to_id("<|endoftext|>") in got[0]
+
+
 def test_packing_covers_every_id_once(spark, sf_dir, documents):
     rows = queries.QUERIES["op5_packing"](spark, sf_dir).toPandas()
     codec = PieceEncoder(tokenizer_path("byte_bpe_50k.json"), True)
