@@ -18,6 +18,9 @@ in one *cell*, and a cell lies in one shard:
    task's burden, whatever its size.
 4. Covered intervals go back to every place of their window, are united per
    text and cut out.
+
+Passages counted in words are found the same way: every word is laid out as a
+code of ``CODE`` bytes of its hash, and strings of that many codes are sought.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .components import stored
 from .suffix_array import common_prefixes, suffix_array
-from .textbytes import mix, span_hashes, text_chunks
+from .textbytes import mix, span_hashes, text_buffer, text_chunks, word_spans
 
 SPAN, GRAM = 400, 100
 #: Different windows of a cell that are sorted together; a larger cell is split.
@@ -44,6 +47,9 @@ RANGES = 18
 BLOCK_BYTES = 1 << 20
 #: Longest stretch of a text that is hashed at once.
 STRETCH = 1 << 22
+#: Bytes of a word's code; a passage takes another for itself where they
+#: differ in one word of equal codes, 4e-15 a place.
+CODE = 6
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOWBITS = np.uint64(0xFFFFFFFF)
@@ -79,13 +85,24 @@ def _stretches(buf: np.ndarray, off: np.ndarray, span: int):
         yield buf[lo:hi], np.array([0, hi - lo]), lo, a - lo, min(len(buf), a + STRETCH) - lo
 
 
-def _mark(span: int, gram: int):
+def word_codes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of texts with every word as its code."""
+    starts, ends, before = word_spans(buf, off)
+    codes = span_hashes(buf, starts, ends).view(np.uint8).reshape(-1, 8)[:, :CODE]
+    return codes.reshape(-1), before * CODE
+
+
+def _as_is(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return buf, off
+
+
+def _mark(span: int, gram: int, lay=_as_is):
     """Runs of equal anchors: key, window hash, window start, reach of the
     run, window size, anchor's place in the window, anchors in the run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             for first, whole, offs in text_chunks(rb.column(2)):
-                for buf, off, base, keep_from, keep_to in _stretches(whole, offs, span):
+                for buf, off, base, keep_from, keep_to in _stretches(*lay(whole, offs), span):
                     pos, key = anchors(buf, off, span, gram)
                     inside = (pos >= keep_from) & (pos < keep_to)
                     pos, key = pos[inside], key[inside]
@@ -111,7 +128,7 @@ _MARKS = "doc bigint, th bigint, cell bigint, win bigint, at bigint, reach bigin
 _CUTS = "cell bigint, win bigint, n bigint, lead int, bytes binary, up_cell bigint, up_win bigint, up_at int"
 
 
-def _cut(span: int, gram: int, ranges: int):
+def _cut(span: int, gram: int, ranges: int, lay=_as_is):
     """Cut windows out of their texts; a crowded cell's into its ranges."""
     width = span - gram + 1
     step = -(-width // ranges)
@@ -121,7 +138,7 @@ def _cut(span: int, gram: int, ranges: int):
             rows: list[tuple] = []
             held = 0
             for text, wanted in zip(rb.column(0), rb.column(1).to_pylist()):
-                raw = text.as_py().encode("utf-8")
+                raw = lay(*text_buffer(pa.array([text.as_py()], pa.string())))[0].tobytes()
                 for w in wanted:
                     a, size, lead = w["at"], w["size"], w["lead"]
                     data = raw[a:a + size]
@@ -227,6 +244,15 @@ def _single_strings(span: int):
     return run
 
 
+def _word_cuts(raw: bytes, runs: list[tuple[int, int]]) -> list[dict]:
+    """Bytes of a text from the first to the last whole word of each run of codes."""
+    if not runs:
+        return []
+    starts, ends, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    words = [(-(-a // CODE), b // CODE) for a, b in runs]
+    return [{"lo": starts[a], "hi": ends[b - 1]} for a, b in words if a < b]
+
+
 def _keep(as_text: bool):
     def run(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": [], "kept_text": []}
@@ -235,7 +261,7 @@ def _keep(as_text: bool):
             kept, removed, count = raw, 0, 0
             if s is not None and len(s):
                 parts, at = [], 0
-                for a, b in united(s):
+                for a, b in united([x for x in s if not x["coded"]] + _word_cuts(raw, united(x for x in s if x["coded"]))):
                     parts.append(raw[at:a])
                     removed, count, at = removed + b - a, count + 1, b
                 kept = b"".join([*parts, raw[at:]])
@@ -261,23 +287,42 @@ def united(spans) -> list[tuple[int, int]]:
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, crowd: int = CROWD,
                    ranges: int = RANGES, as_text: bool = False, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
+                   text_column: str = "text", words: int | None = None) -> DataFrame:
     """``docs`` with a struct column ``dedup``: n_bytes, n_removed, n_spans
     (maximal removed runs) and the bytes that stay (``kept``; with ``as_text``
     ``kept_text``, where characters cut in two are dropped).
 
     A byte goes if a string of ``span`` bytes that covers it also starts
     anywhere else, in the same text or another; all of it is judged on the
-    input. Null and empty texts, and texts under ``span`` bytes, keep all
-    they have (null: no bytes). Repeated rows repeat each other's strings. An
-    empty table gives no rows; further columns pass through, one named
-    ``dedup`` is replaced."""
+    input. With ``words``, so does a word (signs between ASCII white space) in
+    a passage of that many words that also starts anywhere else, however short
+    its words and whatever white space is between them; white space between
+    two words that go is taken with them. Null and empty texts, and texts
+    under both lengths, keep all they have (null: no bytes). Repeated rows
+    repeat each other's strings. An empty table gives no rows; further columns
+    pass through, one named ``dedup`` is replaced."""
     from pyspark.sql.functions import pandas_udf
 
-    folder = scratch_dir(spark, "repeats")
     keyed = docs.select(F.col(id_column).cast("bigint").alias("doc"), F.xxhash64(text_column).alias("th"),
                         F.col(text_column).alias("body"))
-    marks = stored(keyed.mapInArrow(_mark(span, gram), _MARKS), f"{folder}/marks")
+    spans = _repeated(spark, keyed, span, gram, crowd, ranges, _as_is).withColumn("coded", F.lit(False))
+    if words:
+        coded = _repeated(spark, keyed, words * CODE, max(1, words // 4) * CODE, crowd, ranges, word_codes)
+        spans = spans.unionByName(coded.withColumn("coded", F.lit(True)))
+    spans = spans.groupBy("doc", "th").agg(F.collect_set(F.struct("coded", "lo", "hi")).alias("spans"))
+    spans = spans.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
+    keep = pandas_udf(_keep(as_text), "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string")
+    rows = docs.withColumn("__key", F.xxhash64(text_column))
+    joined = rows.join(spans, rows["__key"].eqNullSafe(spans["__th"])
+                       & rows[id_column].cast("bigint").eqNullSafe(spans["__doc"]), "left")
+    return joined.withColumn("dedup", keep(F.col(text_column), F.col("__spans"))).drop("__key", "__doc", "__th", "__spans")
+
+
+def _repeated(spark: SparkSession, keyed: DataFrame, span: int, gram: int, crowd: int, ranges: int, lay) -> DataFrame:
+    """doc, th, lo, hi: repeated strings of ``span`` bytes of the texts
+    ``body`` as ``lay`` lays them out, united where they share a window."""
+    folder = scratch_dir(spark, "repeats")
+    marks = stored(keyed.mapInArrow(_mark(span, gram, lay), _MARKS), f"{folder}/marks")
     cells = stored(marks.groupBy("cell").agg(F.sum("reps").alias("total")).where("total > 1").select("cell"), f"{folder}/cells")
     windows = stored(marks.join(cells, "cell").groupBy("cell", "win").agg(
         F.sum("reps").alias("n"), F.min(F.struct("doc", "th", "at")).alias("place"), F.first("size").alias("size"),
@@ -292,7 +337,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram:
               .groupBy("doc", "th").agg(F.collect_list("w").alias("wanted")))
     cuts = stored(keyed.alias("k").join(wanted.alias("w"), F.col("k.th").eqNullSafe(F.col("w.th"))
                                         & F.col("k.doc").eqNullSafe(F.col("w.doc")))
-                  .select("body", "wanted").mapInArrow(_cut(span, gram, ranges), _CUTS), f"{folder}/cuts")
+                  .select("body", "wanted").mapInArrow(_cut(span, gram, ranges, lay), _CUTS), f"{folder}/cuts")
 
     plain = cuts.where("up_cell is null").select("cell", "win", "lead", "bytes")
     parts = stored(cuts.where("up_cell is not null").dropDuplicates(["cell", "win", "up_cell", "up_win"])
@@ -320,12 +365,5 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram:
             F.col("up_cell").alias("cell"), F.col("up_win").alias("win"), (F.col("lo") + F.col("up_at")).alias("lo"),
             (F.col("hi") + F.col("up_at")).alias("hi")))
     covers = stored(covers.groupBy("cell", "win").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"{folder}/covers")
-    spans = (marks.join(covers, ["cell", "win"])
-             .groupBy("doc", "th").agg(F.collect_set(F.struct(
-                 (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("reach") + F.col("hi")).alias("hi"))).alias("spans")))
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    keep = pandas_udf(_keep(as_text), "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string")
-    rows = docs.withColumn("__key", F.xxhash64(text_column))
-    joined = rows.join(spans, rows["__key"].eqNullSafe(spans["__th"])
-                       & rows[id_column].cast("bigint").eqNullSafe(spans["__doc"]), "left")
-    return joined.withColumn("dedup", keep(F.col(text_column), F.col("__spans"))).drop("__key", "__doc", "__th", "__spans")
+    return marks.join(covers, ["cell", "win"]).select(
+        "doc", "th", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("reach") + F.col("hi")).alias("hi"))

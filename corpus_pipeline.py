@@ -16,8 +16,9 @@ from civitas.llm.repeated_spans import remove_repeats
 from civitas.llm.toxicity import fit_on_labels, score_toxicity
 from civitas.session import scratch_dir
 
-#: Bytes of a passage that may not repeat: what some fifty words take.
-PASSAGE = 280
+#: Words of a passage that may not repeat, and bytes of a string that may not,
+#: for texts of long words or without white space.
+PASSAGE_WORDS, PASSAGE = 51, 280
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of ``PASSAGE`` bytes that occur more than
-    once; a text may end up empty, its document stays. A null text stays
-    null."""
-    cut = remove_repeats(spark, docs, span=PASSAGE, gram=PASSAGE // 4, as_text=True)
+    """Texts without the passages of ``PASSAGE_WORDS`` words and the strings of
+    ``PASSAGE`` bytes that occur more than once; a text may end up empty, its
+    document stays. A null text stays null."""
+    cut = remove_repeats(spark, docs, span=PASSAGE, gram=PASSAGE // 4, as_text=True, words=PASSAGE_WORDS)
     text = F.when(F.col("text").isNotNull(), F.col("dedup.kept_text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 

@@ -1,11 +1,15 @@
 """Vectors, urls, archives and the pipeline."""
 
 import base64
+import collections
 import hashlib
 import os
+import random
+import re
 import sys
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -13,7 +17,7 @@ import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from civitas.llm import near_vectors as nv  # noqa: E402
-from civitas.llm import queries  # noqa: E402
+from civitas.llm import queries, repeated_spans  # noqa: E402
 from civitas.llm.url_filter import judge_urls  # noqa: E402
 from civitas.llm.warc import _ranges, archive_pages, parse, record  # noqa: E402
 
@@ -146,6 +150,62 @@ def test_pipeline_stages(spark, sf_dir):
             assert set(after.doc_id) == set(before.doc_id) and after.groupby("sequence_id").length.sum().max() <= 1024
 
 
+def without_passages(texts, n, span):
+    """Every text without its words in passages of ``n`` words and its bytes
+    in strings of ``span`` bytes that occur more than once."""
+    raw = [t.encode() for t in texts]
+    at = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in raw]
+    words = [[b[i:j] for i, j in s] for b, s in zip(raw, at)]
+    passages = collections.Counter(tuple(w[k:k + n]) for w in words for k in range(len(w) - n + 1))
+    strings = collections.Counter(b[i:i + span] for b in raw for i in range(len(b) - span + 1))
+    out = []
+    for b, s, w in zip(raw, at, words):
+        gone = np.zeros(len(b), bool)
+        twice = {j for k in range(len(w) - n + 1) if passages[tuple(w[k:k + n])] > 1 for j in range(k, k + n)}
+        for j in twice:
+            gone[s[j][0]:s[j + 1][0] if j + 1 in twice else s[j][1]] = True
+        for i in range(len(b) - span + 1):
+            if strings[b[i:i + span]] > 1:
+                gone[i:i + span] = True
+        out.append(bytes(np.frombuffer(b, np.uint8)[~gone]).decode(errors="ignore"))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [1000, 2])
+def test_passages_are_counted_in_words(spark, crowd):
+    """Passages of 50 to 60 short words under 280 bytes, other white space
+    between the words, one passage next to another, signs of several bytes."""
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 4)))
+    some = lambda n: [word() for _ in range(n)]
+    short, under, other = ["a" if k % 3 else word()[:2] for k in range(51)], [word()[:2] for _ in range(50)], some(60)
+    rows = [" ".join(some(20) + short + some(30)), " ".join(some(5)) + " \n" + "\t ".join(short) + "\n" + " ".join(some(9)),
+            " ".join(some(7) + under + some(9)), " ".join(under + some(12)), " ".join(other + short + some(4)),
+            " ".join(some(8) + other), " ".join(["x"] * 52), " ".join(["y"] * 51), "", " \n ", " ".join(some(400)), None]
+    rows += [" ".join(some(r.randint(0, 9)) + other[r.randint(0, 5):r.randint(54, 60)] + some(r.randint(0, 9))) for _ in range(20)]
+    assert len(" ".join(short).encode()) < 280 and len(" ".join(under).encode()) < 280
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = repeated_spans.remove_repeats(spark, docs, span=280, gram=70, crowd=crowd, ranges=4, as_text=True, words=51)
+    got = {x.doc_id: x.dedup.kept_text for x in found.collect()}
+    want = without_passages([t or "" for t in rows], 51, 280)
+    assert [got[k] for k in range(len(rows))] == want
+    assert " ".join(short) not in want[0] and want[2] == rows[2] and want[6] == "" and want[7] == rows[7]
+
+
+def test_pipeline_drops_passages_of_short_words(spark, sf_dir):
+    """Among the table's documents, two that share 51 words of 2 letters."""
+    r = random.Random(6)
+    passage = " ".join(r.choice("abcdefgh") + r.choice("stuvw") for _ in range(51))
+    planted = [(-1, f"one before {passage} one behind", "en", "s", 0), (-2, f"other start {passage} other end", "en", "s", 0)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    before = docs.toPandas()
+    got = {x.doc_id: x.text for x in corpus_pipeline.drop_repeats(spark, docs, sf_dir).collect()}
+    want = without_passages(before.text.fillna("").tolist(), 51, 280)
+    assert got[-1] == "one before  one behind" and got[-2] == "other start  other end"
+    assert [got[k] or "" for k in before.doc_id] == want
+
+
 def test_pipeline_takes_odd_rows(spark, sf_dir):
     rows = [(1, None, "en", "s", 0), (2, "", None, None, None), (None, "a b c d e f", "en", "s", 11), (3, "a b c d e f g", "en", "s", 13), (3, "a b c d e f g", "en", "s", 13)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
