@@ -143,3 +143,10 @@ def test_moments_of_large_values_and_missing_classes(spark):
     split = prep.stratified_split(df, "c", 0.2, 42, "id")
     assert split.count() == 1000 and split.filter("is_test and c is null").count() == 20
     assert prep.folds(df, 5, 42, "id", label="c").count() == 1000
+
+
+def test_registered_forests_have_full_size():
+    from civitas.plans import bind_ml
+    for registered in (bind_ml.CLS_CFG, bind_ml.REG_CFG):
+        cfg = C.Config(**registered)
+        assert (cfg.n_trees, cfg.max_depth) == (Mo.N_TREES, Mo.MAX_DEPTH) == (300, 16)
