@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from . import oracles
 from .arrow_store import token_files
+from .components import stored
 from .decontaminate import flag_leaks
 from .encoder import tokenizer_path
 from .licenses import scan_licenses
+from .merkle import folded, leaf_digest, merkle_manifest, proof_digest
 from .near_duplicates import near_duplicates
 from .near_vectors import near_vectors
 from .packing import pack_tokens
@@ -20,7 +24,7 @@ from .warc import archive_pages
 from .toxicity import fit_on_labels, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE}
 
 
 def register(fn: Callable[[SparkSession, str], DataFrame]):
@@ -86,3 +90,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    row = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [F.try_add(F.col("n_chars"), F.lit(1)) if k == 3 else c for k, c in enumerate(row)]
+    leaves = stored(docs.select("doc_id", "lang", leaf_digest(*row).alias("leaf"),
+                                F.when(tampered, leaf_digest(*changed)).alias("tampered")), scratch_dir(spark, "leaves"))
+    rows = merkle_manifest(spark, leaves).withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return rows.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
