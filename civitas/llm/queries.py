@@ -11,6 +11,7 @@ from ..session import scratch_dir
 from . import oracles
 from .arrow_store import token_files
 from .components import stored
+from .conversations import repair_plans, repaired_digests, repaired_turns
 from .decontaminate import flag_leaks
 from .encoder import tokenizer_path
 from .licenses import scan_licenses
@@ -24,7 +25,7 @@ from .warc import archive_pages
 from .toxicity import fit_on_labels, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE}
+ORACLES: dict[str, str] = {"op11_merkle": oracles.MERKLE, "op12_conversations": oracles.CONVERSATIONS}
 
 
 def register(fn: Callable[[SparkSession, str], DataFrame]):
@@ -103,3 +104,30 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle_manifest(spark, leaves).withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
     return rows.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in, by a checksum of conversation and turn."""
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c else F.lit(":") for c in ("conv_id", "", "turn")])
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key) % 20).alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.where("fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy"))
+
+
+@register
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    turns = damaged(rows)
+    plans = stored(repair_plans(spark, turns), scratch_dir(spark, "plans"))
+    digests = repaired_digests(repaired_turns(turns, plans))
+    found = rows.select("conv_id").distinct().alias("r").join(
+        plans.alias("p"), F.col("r.conv_id").eqNullSafe(F.col("p.conv_id")), "left").join(
+        digests, F.col("r.conv_id").eqNullSafe(F.col("conv")), "left")
+    # gaps beyond a long stay null; other nulls are conversations without rows
+    zero = [F.when(F.col("turns").isNull(), F.lit(0)).otherwise(F.col(c)).alias(c)
+            for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("r.conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
