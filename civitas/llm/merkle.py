@@ -31,6 +31,8 @@ from .ordering import in_order
 
 #: Hex digits of a digest.
 WIDE = 64
+#: Levels that proofs come down between two writes.
+CUT = 3
 
 
 def digest(*parts: Column) -> Column:
@@ -95,15 +97,18 @@ def _tree(nodes: DataFrame, fan_out: int, folder: str) -> tuple[list[DataFrame],
     return levels, nodes
 
 
-def _proofs(levels: list[DataFrame], tops: DataFrame, fan_out: int, keep: Sequence[str]) -> DataFrame:
+def _proofs(levels: list[DataFrame], tops: DataFrame, fan_out: int, keep: Sequence[str], folder: str) -> DataFrame:
     """Nodes of the lowest level with ``proof``; columns ``keep`` of ``tops``
-    (tree, index, proof, ...) go down to every node."""
+    (tree, index, proof, ...) go down to every node. Every ``CUT`` levels the
+    proofs so far are written, so no job holds a longer chain of joins."""
     down = tops.select("tree", F.col("index").alias("up"), "proof", *keep)
     for depth, level in reversed(list(enumerate(levels))):
         own = F.when(F.col("slot").isNotNull(), F.array(F.struct("slot", "others"))).otherwise(F.array().cast("array<struct<slot:int,others:string>>"))
         below = (level.withColumn("up", F.floor(F.col("index") / fan_out)).join(down, ["tree", "up"])
                  .withColumn("proof", F.concat(own, F.col("proof"))))
         down = below.drop("up") if depth == 0 else below.select("tree", F.col("index").alias("up"), "proof", *keep)
+        if depth and depth % CUT == 0:
+            down = stored(down, f"{folder}/proofs-{depth}")
     return down if levels else down.withColumnRenamed("up", "index")
 
 
@@ -141,13 +146,13 @@ def merkle_manifest(spark: SparkSession, leaves: DataFrame, group_column: str =
     none = F.array().cast("array<struct<slot:int,others:string>>")
     if upper:
         root = root.select("tree", "index", none.alias("proof"), F.col("digest").alias("root"))
-        found = _proofs(upper, root, fan_out, ["root"])
+        found = _proofs(upper, root, fan_out, ["root"], f"{folder}/top")
     else:
         found = tops.select("digest", "group", none.alias("proof"), F.col("digest").alias("root"))
     found = stored(found.select(F.col("group").alias("tree"), F.lit(0).cast("bigint").alias("index"),
                                 F.col("digest").alias("subroot"), "root", "proof"), f"{folder}/subroot-proofs")
     if levels:
-        proved = _proofs(levels, found, fan_out, ["subroot", "root"])
+        proved = _proofs(levels, found, fan_out, ["subroot", "root"], f"{folder}/groups")
     else:
         proved = nodes.join(found.drop("index"), "tree")
     kept = [F.col("carried")[c].alias(c) for c in leaves.columns if c not in ("subroot", "root", "proof")]
