@@ -19,6 +19,7 @@ from .merkle import folded, leaf_digest, merkle_manifest, proof_digest
 from .near_duplicates import near_duplicates
 from .near_vectors import near_vectors
 from .packing import pack_tokens
+from .quality import quality_verdicts
 from .repeated_spans import remove_repeats
 from .url_filter import judge_urls
 from .warc import archive_pages
@@ -131,3 +132,8 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
             for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return found.select("r.conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
                         F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@register
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(spark, table(spark, sf_dir, "documents"))
