@@ -11,10 +11,10 @@ document whose Mahalanobis distance from the final, reweighted estimate
 exceeds ``CUT`` is rejected.
 
 All of it is DataFrame functions. Texts are read once, into a table of counts.
-A step is one pass over that table: moments are summed per group and class of
-distance (1/32 octave), so a group that holds a third of all documents is
-combined before the shuffle, and a subset ends with the class in which
-``COVER`` is reached. Vectors are rounded to ``GRID``, so sums don't depend on
+A step is two passes over that table: one counts the documents per group and
+class of distance (1/32 octave), the other sums the moments up to the class in
+which ``COVER`` is reached; a group that holds a third of all documents is
+combined before the shuffle. Vectors are rounded to ``GRID``, so sums don't depend on
 their order. As every covariance is floored by ``LEAST`` (the regularised
 estimate of Boudt et al. 2020 with a diagonal target), groups that agree in
 some count have a distance as well.
@@ -47,6 +47,7 @@ LEAST = (0.3, 0.1, 0.5, 0.5, 0.6, 1.0)
 #: heavier tails than a normal law, so it lies far out (a distance of 8).
 TAIL = 1e-11
 STEPS = 30
+FALL = 1e-3
 P = len(LEAST)
 
 
@@ -172,7 +173,6 @@ def _distances(x: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
-SUMS = [f"s{i}" for i in range(P)] + [f"p{i}{j}" for i, j in PAIRS]
 
 
 def _moments() -> list[Column]:
@@ -194,25 +194,32 @@ def _estimate(moments: DataFrame, share: float) -> DataFrame:
 
 
 def _concentrated(x: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Moments of the nearest ``COVER`` of every pool."""
-    classes = _distances(x, estimate).groupBy("pool", F.floor(32 * F.log2(F.col("d2") + 1e-6)).alias("bin")).agg(*_moments())
+    """Moments of the nearest ``COVER`` of every pool: counts per class of
+    distance give the last class, then one more pass sums what lies within."""
+    placed = _distances(x, estimate).withColumn("bin", F.floor(32 * F.log2(F.col("d2") + 1e-6)))
+    classes = placed.groupBy("pool", "bin").agg(F.count("*").alias("n"))
     near = classes.selectExpr("*", "sum(n) OVER (PARTITION BY pool ORDER BY bin) AS upto", "sum(n) OVER (PARTITION BY pool) AS total")
-    return near.where(F.col("upto") - F.col("n") < F.ceil(COVER * F.col("total"))).groupBy("pool").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
+    last = near.where(F.col("upto") - F.col("n") < F.ceil(COVER * F.col("total"))).groupBy("pool").agg(F.max("bin").alias("last"))
+    return placed.join(last, "pool").where("bin <= last").groupBy("pool").agg(*_moments())
 
 
 def covariance_estimates(x: DataFrame, folder: str) -> DataFrame:
     """Estimates of all pools of ``x`` (pool, x0, x1, ...): concentration
-    steps until no pool's determinant changes, then one reweighting."""
-    estimate = stored(_start(x), f"{folder}/start")
+    steps until no pool's determinant falls by ``FALL`` (of its root's
+    logarithm; a pool that doesn't fall keeps its estimate and is left out of
+    further steps), then one reweighting."""
     size = sum(F.log(F.col(f"l{i}{i}")) for i in range(P))
-    before = None
+    estimate = stored(_start(x).withColumn("size", F.lit(1e300)).withColumn("open", F.lit(True)), f"{folder}/start")
     for step in range(STEPS):
-        estimate = stored(_estimate(_concentrated(x, estimate), COVER), f"{folder}/step-{step}")
-        now = estimate.agg(F.sum(F.rint(size * 1e6)), F.count("*")).first()
-        if now == before:
+        found = _estimate(_concentrated(x, estimate.where("open").drop("size", "open")), COVER).withColumn("size", size)
+        fell = F.coalesce(F.col("n.size") < F.col("o.size") - FALL, F.lit(False))
+        names = [c for c in estimate.columns if c not in ("pool", "open")]
+        estimate = stored(estimate.alias("o").join(found.alias("n"), "pool", "left").select(
+            "pool", *[F.when(fell, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in names], fell.alias("open")),
+            f"{folder}/step-{step}")
+        if not estimate.where("open").limit(1).count():
             break
-        before = now
+    estimate = estimate.drop("size", "open")
     inner = _distances(x, estimate).where(F.col("d2") <= _quantile(0.975, P)).groupBy("pool").agg(*_moments())
     return stored(_estimate(inner, 0.975), f"{folder}/reweighted")
 

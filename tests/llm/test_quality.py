@@ -42,15 +42,15 @@ def distances(x):
     center = np.array([lower_median(x[:, j]) for j in range(p)])
     away = np.array([lower_median(abs(x[:, j] - center[j])) for j in range(p)])
     scatter = np.diag(np.maximum(1.4826 * away, least) ** 2)
-    size = None
+    size = math.inf
     for _ in range(q.STEPS):
         bins = np.floor(32 * np.log2(d2(center, scatter) + 1e-6))
         near = bins <= np.sort(bins)[math.ceil(q.COVER * n) - 1]
-        center, scatter = estimate(x[near], q.COVER)
-        now = round(np.linalg.slogdet(scatter)[1] / 2 * 1e6)
-        if now == size:
+        found = estimate(x[near], q.COVER)
+        now = np.linalg.slogdet(found[1])[1] / 2
+        if now >= size - q.FALL:
             break
-        size = now
+        center, scatter, size = *found, now
     center, scatter = estimate(x[d2(center, scatter) <= q._quantile(0.975, p)], 0.975)
     return d2(center, scatter)
 
