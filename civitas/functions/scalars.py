@@ -73,19 +73,16 @@ def round_even(col, digits: int = 2) -> Column:
 
 
 def _accent_map() -> tuple[str, str]:
-    """Letters whose canonical decomposition is one base letter plus marks.
+    """Signs whose canonical decomposition without marks is one other sign.
 
-    Built by rule from the Unicode database over the Latin, Greek and Latin
-    Extended Additional blocks: the translation equals
-    NFD + drop category Mn for every listed letter.
-    """
+    Built by rule from the Unicode database: the translation equals NFD + drop
+    category Mn for every listed sign (Hangul syllables decompose into letters,
+    not marks, and stay)."""
     src, dst = [], []
-    ranges = [(0x00C0, 0x0250), (0x0370, 0x0400), (0x0400, 0x0500), (0x1E00, 0x1F00)]
-    for lo, hi in ranges:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            base = "".join(x for x in unicodedata.normalize("NFD", ch)
-                           if unicodedata.category(x) != "Mn")
+    for cp in (*range(0x00C0, 0xAC00), *range(0xF900, 0x30000)):
+        ch = chr(cp)
+        if unicodedata.decomposition(ch):
+            base = "".join(x for x in unicodedata.normalize("NFD", ch) if unicodedata.category(x) != "Mn")
             if base != ch and len(base) == 1:
                 src.append(ch)
                 dst.append(base)
@@ -95,21 +92,21 @@ def _accent_map() -> tuple[str, str]:
 _ACCENT_FROM, _ACCENT_TO = _accent_map()
 
 
-def remove_accents(col) -> Column:
-    """Strip, then NFD and drop combining marks (Mn).
+def _without_marks(c: Column) -> Column:
+    """NFD without marks (Mn): ``translate`` for composed signs, ``\\p{Mn}``
+    for marks that stand alone; a text of ASCII signs is left as it is."""
+    bare = F.regexp_replace(F.translate(c, _ACCENT_FROM, _ACCENT_TO), r"\p{Mn}", "")
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(bare)
 
-    ``translate`` over the closed letter map handles precomposed letters,
-    the ``\\p{Mn}`` replace drops marks already stored decomposed.
-    """
-    c = strip(col)
-    return F.regexp_replace(F.translate(c, _ACCENT_FROM, _ACCENT_TO), r"\p{Mn}", "")
+
+def remove_accents(col) -> Column:
+    """Strip, then NFD and drop combining marks (Mn)."""
+    return _without_marks(strip(col))
 
 
 def normalize_place_name(col) -> Column:
     """Upper, no accents, ``-`` and ``'`` become blanks, trimmed."""
-    up = F.upper(_c(col))
-    no_marks = F.regexp_replace(F.translate(up, _ACCENT_FROM, _ACCENT_TO), r"\p{Mn}", "")
-    return strip(F.translate(no_marks, "-'", "  "))
+    return strip(F.translate(_without_marks(F.upper(_c(col))), "-'", "  "))
 
 
 def if_else(cond: Column, a, b) -> Column:

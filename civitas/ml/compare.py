@@ -11,24 +11,33 @@ executor does not replay the split.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.columns import require_columns, split_feature_types
 from ..operators.reshape import melt
 from ..session import cut_lineage
+from ..sources.readers import read_optional
+from ..sources.sinks import write_json_summary
+from . import forests as Fo
+from . import margins as Ma
 from . import metrics as Me
 from . import models as Mo
 from . import prep
 
 CLASS_METRICS = ["accuracy", "f1_weighted", "precision_weighted", "recall_weighted"]
 REG_METRICS = ["r2", "mae", "rmse"]
+CLASSIFIERS = ("logistic_regression", "random_forest", "extra_trees", "rbf_svm")
+REGRESSORS = ("ridge", "random_forest", "extra_trees", "rbf_svr")
 
 
 @dataclass(frozen=True)
@@ -42,8 +51,8 @@ class Config:
     test_size: float = 0.2
     seed: int = prep.SEED
     k_folds: int = 5
-    n_trees: int = Mo.N_TREES
-    max_depth: int = Mo.MAX_DEPTH
+    n_trees: int = Fo.N_TREES
+    max_rows: int = Fo.MAX_ROWS
     parallelism: int = 4
     models: tuple = field(default=())
 
@@ -60,52 +69,49 @@ def _vector_size(df: DataFrame) -> int:
     return df.schema["features"].metadata["ml_attr"]["num_attrs"]
 
 
-def fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical)
-    weighted = prep.balanced_weights(train, "label_idx")
-    staged = pre.transform(weighted)
-    total_w = float(train.count())  # balanced weights add up to the rows
+def _lifted(staged: DataFrame, cfg: Config):
+    """(Fourier feature stage, the same map for numpy, its width)."""
+    dim = _vector_size(staged)
+    gamma = Mo.gamma_scale(staged, dim=dim)
+    stage = Mo.RandomFourierFeatures(inputCol="features", outputCol="rff", gamma=gamma, inputDim=dim, seed=cfg.seed)
+    return stage, Mo.fourier_features(gamma, Mo.RFF_COMPONENTS, cfg.seed, dim), Mo.RFF_COMPONENTS
+
+
+def fit_classifier(name: str, train: DataFrame, numeric, categorical, cfg: Config, classes: int,
+                   pre: PipelineModel | None = None) -> PipelineModel:
+    """Preprocessing (``pre`` where it is fitted already) and one model."""
+    pre = pre or prep.fit_preprocessor(train, numeric, categorical)
+    staged = pre.transform(prep.balanced_weights(train, "label_idx"))
     stages = list(pre.stages)
     if name == "logistic_regression":
-        model = Mo.logistic_regression(total_w)
-    elif name == "random_forest":
-        model = Mo.random_forest_classifier(cfg.n_trees, cfg.max_depth)
-    elif name == "extra_trees":
-        model = Mo.extra_trees_classifier(cfg.n_trees, cfg.max_depth)
+        total_w = float(train.count())  # balanced weights add up to the rows
+        stages.append(Mo.logistic_regression(total_w).fit(staged))
+    elif name in ("random_forest", "extra_trees"):
+        forest = Mo.forest_classifier(classes, cfg.id_col, cfg.n_trees, cfg.max_rows, name == "extra_trees", cfg.seed)
+        stages.append(forest.fit(staged))
     elif name == "rbf_svm":
-        rff = Mo.RandomFourierFeatures(inputCol="features", outputCol="rff",
-                                       gamma=Mo.gamma_scale(staged, dim=_vector_size(staged)),
-                                       inputDim=_vector_size(staged), seed=cfg.seed)
-        staged = rff.transform(staged)
-        stages.append(rff)
-        model = Mo.rbf_classifier(total_w)
+        rff, lift, width = _lifted(staged, cfg)
+        stages += [rff, Ma.fit_margin_classifier(staged, "label_idx", "weight", cfg.id_col, classes, lift, width)]
     else:
         raise ValueError(name)
-    stages.append(model.fit(staged))
     return PipelineModel(stages)
 
 
-def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config) -> PipelineModel:
-    pre = prep.fit_preprocessor(train, numeric, categorical)
+def fit_regressor(name: str, train: DataFrame, numeric, categorical, cfg: Config,
+                  pre: PipelineModel | None = None) -> PipelineModel:
+    pre = pre or prep.fit_preprocessor(train, numeric, categorical)
     staged = pre.transform(train)
     stages = list(pre.stages)
     if name == "ridge":
         row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("s")).first()
-        model = Mo.ridge(1.0, row["n"], row["s"])
-    elif name == "random_forest":
-        model = Mo.random_forest_regressor(cfg.n_trees, cfg.max_depth)
-    elif name == "extra_trees":
-        model = Mo.extra_trees_regressor(cfg.n_trees, cfg.max_depth)
+        stages.append(Mo.ridge(1.0, row["n"], row["s"]).fit(staged))
+    elif name in ("random_forest", "extra_trees"):
+        stages.append(Mo.forest_regressor(cfg.id_col, cfg.n_trees, cfg.max_rows, name == "extra_trees", cfg.seed).fit(staged))
     elif name == "rbf_svr":
-        dim = _vector_size(staged)
-        rff = Mo.RandomFourierFeatures(inputCol="features", outputCol="rff",
-                                       gamma=Mo.gamma_scale(staged, dim=dim), inputDim=dim, seed=cfg.seed)
-        staged = rff.transform(staged)
-        stages.append(rff)
-        model = Mo.rbf_regressor()
+        rff, lift, width = _lifted(staged, cfg)
+        stages += [rff, Ma.fit_epsilon_regression(staged, "y", cfg.id_col, lift, width)]
     else:
         raise ValueError(name)
-    stages.append(model.fit(staged))
     return PipelineModel(stages)
 
 
@@ -129,9 +135,8 @@ def prepare_classification(df: DataFrame, cfg: Config) -> dict:
     base = df.withColumn("__target", F.col(cfg.target).cast("string"))
     indexer = StringIndexer(inputCol="__target", outputCol="label_idx",
                             stringOrderType="alphabetAsc").fit(base)
-    data = prep.stratified_split(indexer.transform(base), "label_idx", cfg.test_size, cfg.seed,
-                                 cfg.id_col)
-    data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col, label="label_idx")
+    data = prep.split_and_folds(indexer.transform(base), lambda n: F.rint(n * F.lit(cfg.test_size)), cfg.k_folds, cfg.seed,
+                                cfg.id_col, label="label_idx")
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     return {"train": train, "test": test, "labels": list(indexer.labels), "numeric": numeric,
@@ -142,40 +147,56 @@ def prepare_regression(df: DataFrame, cfg: Config) -> dict:
     """Numeric target ``y``, seeded random split, plain folds, checkpointed."""
     numeric, categorical = _features(df, cfg)
     data = df.withColumn("y", F.col(cfg.target).cast("double"))
-    data = prep.random_split(data, cfg.test_size, cfg.seed, cfg.id_col)
-    data = prep.folds(data, cfg.k_folds, cfg.seed, cfg.id_col)
+    data = prep.split_and_folds(data, lambda n: F.ceil(n * F.lit(cfg.test_size)), cfg.k_folds, cfg.seed, cfg.id_col)
     data = cut_lineage(data)
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     return {"train": train, "test": test, "numeric": numeric, "categorical": categorical,
             "cfg": cfg}
 
 
-def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
-    """J-18: the four classifiers, CV + test metrics, leaderboard sorted by
-    test F1 (desc), predictions of every model, best model."""
-    names = list(cfg.models or ("logistic_regression", "random_forest", "extra_trees", "rbf_svm"))
-    prep_ = prepare_classification(df, cfg)
-    train, test, labels = prep_["train"], prep_["test"], prep_["labels"]
-    numeric, categorical, cfg = prep_["numeric"], prep_["categorical"], prep_["cfg"]
+def cross_validate(prepared: dict, names, pres: list[PipelineModel] | None = None) -> DataFrame:
+    """Out-of-fold predictions (model, fold, label_idx or y, prediction)
+    of ``names`` on a prepared training part. The preprocessing of every fold
+    comes from one pass over the rows (``prep.fold_preprocessors``); the
+    driver only walks over (model, fold)."""
+    train, cfg, labels = prepared["train"], prepared["cfg"], prepared.get("labels")
+    numeric, categorical = prepared["numeric"], prepared["categorical"]
+    pres = pres or prep.fold_preprocessors(train, numeric, categorical, cfg.k_folds)
+    truth = "y" if labels is None else "label_idx"
 
-    def cv_task(name, k):
+    def task(name, k):
         def run():
-            m = fit_classifier(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
-            return m.transform(train.filter(F.col("fold") == k)).select(
-                F.lit(name).alias("model"), F.lit(k).alias("fold"), "label_idx", "prediction")
+            rows = train.filter(F.col("fold") != k)
+            model = (fit_regressor(name, rows, numeric, categorical, cfg, pres[k]) if labels is None else
+                     fit_classifier(name, rows, numeric, categorical, cfg, len(labels), pres[k]))
+            return model.transform(train.filter(F.col("fold") == k)).select(
+                F.lit(name).alias("model"), F.lit(k).alias("fold"), cfg.id_col, truth, "prediction")
         return run
 
-    def final_task(name):
-        return lambda: (name, fit_classifier(name, train, numeric, categorical, cfg))
+    return _union(_run_parallel([task(n, k) for n in names for k in range(cfg.k_folds)], cfg.parallelism))
 
-    oof = _run_parallel([cv_task(n, k) for n in names for k in range(cfg.k_folds)], cfg.parallelism)
-    fitted = dict(_run_parallel([final_task(n) for n in names], cfg.parallelism))
-    scores = Me.classification_metrics(_union(oof), "label_idx", "prediction", ["model", "fold"])
-    cv = _cv_table(scores, CLASS_METRICS)
+
+def cv_scores(oof: DataFrame) -> DataFrame:
+    """Metrics per model and fold of out-of-fold predictions."""
+    if "y" in oof.columns:
+        return Me.regression_metrics(oof, "y", "prediction", ["model", "fold"])
+    return Me.classification_metrics(oof, "label_idx", "prediction", ["model", "fold"])
+
+
+def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
+    """J-18: the four classifiers, CV + test metrics, leaderboard sorted by
+    test F1 (desc), predictions of every model, best model."""
+    names = list(cfg.models or CLASSIFIERS)
+    prepared = prepare_classification(df, cfg)
+    train, test, labels = prepared["train"], prepared["test"], prepared["labels"]
+    pres = prep.fold_preprocessors(train, prepared["numeric"], prepared["categorical"], cfg.k_folds)
+    scores = cv_scores(cross_validate(prepared, names, pres))
+    fitted = dict(_run_parallel([lambda n=n: (n, fit_classifier(n, train, prepared["numeric"], prepared["categorical"], cfg, len(labels), pres[-1]))
+                                 for n in names], cfg.parallelism))
     preds = _union([prediction_table(fitted[n].transform(test), cfg, labels, n) for n in names])
     test_m = Me.classification_metrics(preds, "y_true", "y_pred", "model")
     test_m = test_m.select("model", *[F.col(m).alias(f"{m}_test") for m in CLASS_METRICS])
-    board = leaderboard(cv.join(test_m, "model"), "f1_weighted_test", descending=True)
+    board = leaderboard(_cv_table(scores, CLASS_METRICS).join(test_m, "model"), "f1_weighted_test", descending=True)
     report = Me.classification_report(preds, "y_true", "y_pred", "model")
     return {"leaderboard": board, "predictions": preds, "report": report, "models": fitted,
             "labels": labels, "cv_scores": scores}
@@ -183,29 +204,19 @@ def compare_classifiers(df: DataFrame, cfg: Config) -> dict:
 
 def compare_regressors(df: DataFrame, cfg: Config) -> dict:
     """J-19: the four regressors, leaderboard sorted by test RMSE (asc)."""
-    names = list(cfg.models or ("ridge", "random_forest", "extra_trees", "rbf_svr"))
-    prep_ = prepare_regression(df, cfg)
-    train, test = prep_["train"], prep_["test"]
-    numeric, categorical, cfg = prep_["numeric"], prep_["categorical"], prep_["cfg"]
-
-    def cv_task(name, k):
-        def run():
-            m = fit_regressor(name, train.filter(F.col("fold") != k), numeric, categorical, cfg)
-            return m.transform(train.filter(F.col("fold") == k)).select(
-                F.lit(name).alias("model"), F.lit(k).alias("fold"), "y", "prediction")
-        return run
-
-    oof = _run_parallel([cv_task(n, k) for n in names for k in range(cfg.k_folds)], cfg.parallelism)
-    fitted = dict(_run_parallel([lambda n=n: (n, fit_regressor(n, train, numeric, categorical, cfg))
+    names = list(cfg.models or REGRESSORS)
+    prepared = prepare_regression(df, cfg)
+    train, test = prepared["train"], prepared["test"]
+    pres = prep.fold_preprocessors(train, prepared["numeric"], prepared["categorical"], cfg.k_folds)
+    scores = cv_scores(cross_validate(prepared, names, pres))
+    fitted = dict(_run_parallel([lambda n=n: (n, fit_regressor(n, train, prepared["numeric"], prepared["categorical"], cfg, pres[-1]))
                                  for n in names], cfg.parallelism))
-    scores = Me.regression_metrics(_union(oof), "y", "prediction", ["model", "fold"])
-    cv = _cv_table(scores, REG_METRICS)
     preds = _union([fitted[n].transform(test).select(
         F.lit(n).alias("model"), *[F.col(c) for c in (cfg.id_col, *cfg.id_cols)],
         F.col("y").alias("y_true"), F.col("prediction").alias("y_pred")) for n in names])
     test_m = Me.regression_metrics(preds, "y_true", "y_pred", "model") \
         .select("model", *[F.col(m).alias(f"{m}_test") for m in REG_METRICS])
-    board = leaderboard(cv.join(test_m, "model"), "rmse_test", descending=False)
+    board = leaderboard(_cv_table(scores, REG_METRICS).join(test_m, "model"), "rmse_test", descending=False)
     return {"leaderboard": board, "predictions": preds, "models": fitted, "cv_scores": scores}
 
 
@@ -249,6 +260,46 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def publish_run(result: dict, by: str, folder: str) -> str:
+    """Write a comparison's outputs - leaderboard, predictions, scores of the
+    folds, summary (the best row as JSON, with its report) and the winning
+    model - into a fresh run folder under ``folder``, and last its manifest.
+    Readers go by manifests, so a run that stops in between is never seen and
+    the runs before it stay readable."""
+    board = result["leaderboard"]
+    spark = board.sparkSession
+    run = uuid.uuid4().hex
+    base = f"{folder.rstrip('/')}/runs/{run}"
+    tables = {"leaderboard": board, "predictions": result["predictions"], "cv_scores": result["cv_scores"]}
+    if "report" in result:
+        tables["report"] = result["report"]
+    for name, table in tables.items():
+        table.write.parquet(f"{base}/{name}")
+    best = best_model(leaderboard(spark.read.parquet(f"{base}/leaderboard"), by, descending=by != "rmse_test"))
+    winner = best.first()["model"]
+    write_json_summary(best, f"{base}/summary")
+    save_model(result["models"][winner], f"{base}/model")
+    row = [(run, winner, by, sorted(tables), datetime.now(timezone.utc))]
+    spark.createDataFrame(row, MANIFEST).coalesce(1).write.json(f"{folder.rstrip('/')}/manifests/{run}")
+    return run
+
+
+MANIFEST = "run string, winner string, by string, tables array<string>, published timestamp"
+
+
+def published_run(spark: SparkSession, folder: str) -> dict | None:
+    """The latest published run of ``folder``: its manifest's fields, its
+    tables, its summary and a function that loads the model."""
+    base = folder.rstrip("/")
+    found = read_optional(spark, f"{base}/manifests/*", StructType.fromDDL(MANIFEST), fmt="json")
+    last = found.orderBy(F.desc("published"), F.desc("run")).first()
+    if last is None:
+        return None
+    run = f"{base}/runs/{last['run']}"
+    return {**last.asDict(), "summary": spark.read.json(f"{run}/summary"), "load_model": lambda: load_model(f"{run}/model"),
+            **{name: spark.read.parquet(f"{run}/{name}") for name in last["tables"]}}
+
+
 def residual_table(pred: DataFrame, y: str, y_hat: str, year_col: str | None = None, year=None) -> DataFrame:
     """Predicted vs residual, optionally for one year."""
     p = pred if year is None or year_col is None else pred.filter(F.col(year_col) == F.lit(year))

@@ -1,7 +1,7 @@
 """Model factories (M10-M16) on Spark ML, with the reference's settings.
 
-Where Spark ML has no twin (extremely randomised trees, kernel SVM) the
-model is re-aimed and the difference is stated in the docstring.
+Forests and kernel machines, which Spark ML does not have in this form, are in
+``forests`` and ``margins``.
 """
 
 from __future__ import annotations
@@ -12,23 +12,32 @@ import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .forests import Forest
+
 SEED = 42
-N_TREES = 300
-# sklearn grows trees without a depth limit; Spark caps depth at 30 and its
-# per-node statistics grow with depth, so the distributed default is bounded.
-MAX_DEPTH = 16
 RFF_COMPONENTS = 200
 
 
+def fourier_features(gamma: float, n: int, seed: int, dim: int):
+    """The feature map as a function of a matrix; its directions come from the
+    seed, wherever it runs."""
+    def lift(x: np.ndarray) -> np.ndarray:
+        rng = np.random.default_rng(seed)
+        w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dim, n))
+        b = rng.uniform(0.0, 2.0 * math.pi, size=n)
+        return math.sqrt(2.0 / n) * np.cos(x @ w + b)
+    return lift
+
+
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol,
                             DefaultParamsReadable, DefaultParamsWritable):
     """RBF-kernel feature map (Rahimi & Recht 2007):
@@ -56,14 +65,11 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol,
         g, d, s, p = (self.getOrDefault(self.gamma), self.getOrDefault(self.nComponents),
                       self.getOrDefault(self.seed), self.getOrDefault(self.inputDim))
 
+        lift = fourier_features(g, d, s, p)
+
         @pandas_udf("array<double>")
         def project(xs: pd.Series) -> pd.Series:
-            rng = np.random.default_rng(s)
-            w = rng.normal(0.0, math.sqrt(2.0 * g), size=(p, d))
-            b = rng.uniform(0.0, 2.0 * math.pi, size=d)
-            x = np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, p))
-            z = math.sqrt(2.0 / d) * np.cos(x @ w + b)
-            return pd.Series(list(z))
+            return pd.Series(list(lift(np.stack(xs.to_numpy()) if len(xs) else np.zeros((0, p)))))
 
         arr = vector_to_array(F.col(self.getInputCol()))
         return dataset.withColumn(self.getOutputCol(), array_to_vector(project(arr)))
@@ -88,27 +94,17 @@ def logistic_regression(total_weight: float, **kw):
                               elasticNetParam=0.0, standardization=False, tol=1e-6, **kw)
 
 
-def random_forest_classifier(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, **kw):
-    """Bootstrap forest, sqrt(p) features per split, balanced weights."""
-    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                                  numTrees=n_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                                  seed=SEED, **kw)
-
-
-def extra_trees_classifier(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, **kw):
-    """M12 (re-aimed): no bootstrap, coarse random-like thresholds via few
-    bins; Spark ML has no random-threshold trees (documented difference)."""
-    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                                  numTrees=n_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                                  bootstrap=False, maxBins=8, seed=SEED + 1, **kw)
+def forest_classifier(n_classes: int, key: str, n_trees: int, max_rows: int, random_cuts: bool, seed: int) -> Forest:
+    """sqrt(p) features per split, balanced weights, no limit of
+    depth; random cuts without bootstrap for extremely randomised trees."""
+    return Forest(featuresCol="features", labelCol="label_idx", weightCol="weight", keyCol=key, nClasses=n_classes,
+                  nTrees=n_trees, maxRows=max_rows, randomCuts=random_cuts, seed=seed + random_cuts)
 
 
-def rbf_classifier(total_weight: float, **kw):
-    """M13 (re-aimed SVC): random Fourier features + weighted multinomial
-    logistic regression (gives probabilities like SVC(probability=True))."""
-    return LogisticRegression(featuresCol="rff", labelCol="label_idx", weightCol="weight",
-                              family="multinomial", maxIter=500, regParam=1.0 / total_weight,
-                              standardization=False, **kw)
+def forest_regressor(key: str, n_trees: int, max_rows: int, random_cuts: bool, seed: int) -> Forest:
+    """All features at every split, no limit of depth."""
+    return Forest(featuresCol="features", labelCol="y", keyCol=key, nTrees=n_trees, maxRows=max_rows,
+                  randomCuts=random_cuts, seed=seed + random_cuts)
 
 
 def ridge(alpha: float, n: int, y_std: float):
@@ -118,23 +114,3 @@ def ridge(alpha: float, n: int, y_std: float):
     return LinearRegression(featuresCol="features", labelCol="y", solver="normal",
                             standardization=False, elasticNetParam=0.0,
                             regParam=alpha * (y_std or 1.0) / max(n, 1))
-
-
-def random_forest_regressor(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, **kw):
-    """All features considered at every split."""
-    return RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=n_trees,
-                                 maxDepth=max_depth, featureSubsetStrategy="all", seed=SEED, **kw)
-
-
-def extra_trees_regressor(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, **kw):
-    """M12 regressor (re-aimed like the classifier)."""
-    return RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=n_trees,
-                                 maxDepth=max_depth, featureSubsetStrategy="all", bootstrap=False,
-                                 maxBins=8, seed=SEED + 1, **kw)
-
-
-def rbf_regressor(**kw):
-    """M16 (re-aimed SVR): random Fourier features + Huber regression;
-    the epsilon-insensitive loss does not exist in Spark ML."""
-    return LinearRegression(featuresCol="rff", labelCol="y", loss="huber", regParam=1e-3,
-                            maxIter=200, **kw)

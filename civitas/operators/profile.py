@@ -32,7 +32,11 @@ def quantiles(df: DataFrame, cols, probs) -> DataFrame:
     those are ranked inside. The written table is the one action. A column
     without values has no rows."""
     long = df.select(*[_number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "v").where("v is not null")
-    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    return count_quantiles(long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), probs)
+
+
+def count_quantiles(counts: DataFrame, probs) -> DataFrame:
+    """``quantiles`` of values that are counted already: (column, v, n)."""
     counts = written(counts.repartitionByRange("column", "v").withColumn("part", F.spark_partition_id()), "quantiles")
     per = counts.groupBy("column", "part").agg(F.sum("n").alias("n"))  # a row per column and partition
     running = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -114,48 +118,61 @@ def crosstab(df: DataFrame, rows: str, cols: str, labels=None) -> DataFrame:
     return out.select("label", *[F.col(f"`{x}`").cast("long").alias(str(x)) for x in labels])
 
 
+def _long(df: DataFrame, cols) -> DataFrame:
+    """(column, x) of all values; NaN is missing."""
+    return df.select(*[_number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "x").where("x is not null")
+
+
+def histograms(df: DataFrame, cols, n_bins: int) -> DataFrame:
+    """Per column equal-width bins between its least and greatest
+    finite value, last bin closed, empty bins 0: (column, bin, lo, hi, count).
+    Infinite values are in no bin. One pass finds all ranges, one counts; a
+    column without finite values has bins without edges."""
+    long = _long(df, cols).where(F.abs("x") < float("inf"))
+    ranges = long.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    place = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("x") - F.col("lo")) * n_bins / (F.col("hi") - F.col("lo"))) + 1, F.lit(n_bins)))
+    counts = long.join(ranges, "column").groupBy("column", F.coalesce(place, F.lit(1)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string").withColumn(
+        "bin", F.explode(F.sequence(F.lit(1), F.lit(n_bins))))
+    width = (F.col("hi") - F.col("lo")) / n_bins
+    return every.join(ranges, "column", "left").join(counts, ["column", "bin"], "left").select(
+        "column", "bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("lo"), (F.col("lo") + F.col("bin") * width).alias("hi"),
+        F.coalesce("count", F.lit(0)).alias("count"))
+
+
 def histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
-    """Equal-width bins between min and max, last bin closed,
-    empty bins filled with 0. Output (bin, lo, hi, count)."""
-    x = _number(col)
-    rng = df.agg(F.array(F.min(x), F.max(x)).alias("r")).scalar()  # one subquery
-    lo, hi = rng[0], rng[1]
-    width = (hi - lo) / F.lit(n_bins)
-    idx = F.when(hi > lo, F.least(F.floor((x - lo) * F.lit(n_bins) / (hi - lo)) + 1,
-                                  F.lit(n_bins))).otherwise(F.lit(1))
-    counts = df.filter(x.isNotNull()).groupBy(idx.cast("int").alias("bin")) \
-        .agg(F.count(F.lit(1)).alias("count"))
-    bins = df.sparkSession.range(1, n_bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return bins.join(counts, "bin", "left") \
-        .select("bin", (lo + (F.col("bin") - 1) * width).alias("lo"),
-                (lo + F.col("bin") * width).alias("hi"),
-                F.coalesce("count", F.lit(0)).alias("count"))
+    """``histograms`` of one column: (bin, lo, hi, count)."""
+    return histograms(df, [col], n_bins).drop("column")
 
 
-def _fences(df: DataFrame, col: str, whisker: float) -> DataFrame:
-    """One row: quartiles, interquartile range, lower and upper fence."""
+def fences(df: DataFrame, cols, whisker: float = 1.5) -> DataFrame:
+    """A row per column: quartiles, interquartile range, lower and upper
+    fence; written, so that what uses them twice finds them once."""
     q = [F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in zip(QUARTILES, ("q1", "median", "q3"))]
-    row = quantiles(df, [col], QUARTILES).agg(*q).withColumn("iqr", F.col("q3") - F.col("q1"))
-    return row.withColumn("__lo", F.col("q1") - whisker * F.col("iqr")).withColumn("__hi", F.col("q3") + whisker * F.col("iqr"))
+    rows = quantiles(df, cols, QUARTILES).groupBy("column").agg(*q).withColumn("iqr", F.col("q3") - F.col("q1"))
+    return written(rows.withColumn("__lo", F.col("q1") - whisker * F.col("iqr")).withColumn("__hi", F.col("q3") + whisker * F.col("iqr")), "fences")
 
 
-def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
-    """Quartiles, IQR fences, whiskers at the furthest points inside
+def box_table(df: DataFrame, cols, whisker: float = 1.5) -> DataFrame:
+    """G16 for several columns, one quantile run and one further pass for all
+    of them: column, quartiles, range, whiskers at the furthest points inside
     the fences, and the outlier count; NaN is missing."""
-    x = F.col("__x")
-    fences = _fences(df, col, whisker)
-    rows = df.select(_number(col).alias("__x")).join(F.broadcast(fences), how="cross")  # one row
-    found = rows.agg(F.min(F.when(x >= F.col("__lo"), x)).alias("lower_whisker"),
-                     F.max(F.when(x <= F.col("__hi"), x)).alias("upper_whisker"),
-                     F.count_if((x < F.col("__lo")) | (x > F.col("__hi"))).alias("n_outliers"))
-    return fences.drop("__lo", "__hi").join(F.broadcast(found), how="cross")  # one row each
+    x, found = F.col("x"), fences(df, cols, whisker)
+    ends = _long(df, cols).join(found.select("column", "__lo", "__hi"), "column").groupBy("column").agg(
+        F.min(F.when(x >= F.col("__lo"), x)).alias("lower_whisker"), F.max(F.when(x <= F.col("__hi"), x)).alias("upper_whisker"),
+        F.count_if((x < F.col("__lo")) | (x > F.col("__hi"))).alias("n_outliers"))
+    return found.drop("__lo", "__hi").join(ends, "column")
+
+
+def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
+    """``box_table`` of one column."""
+    return box_table(df, [col], whisker).drop("column")
 
 
 def outliers(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     """The outlier rows themselves."""
-    x = _number(col)
-    fences = _fences(df, col, whisker).select("__lo", "__hi")
-    return df.join(F.broadcast(fences), (x < F.col("__lo")) | (x > F.col("__hi"))).drop("__lo", "__hi")  # one row
+    x, ends = _number(col), fences(df, [col], whisker).select("__lo", "__hi")
+    return df.join(F.broadcast(ends), (x < F.col("__lo")) | (x > F.col("__hi"))).drop("__lo", "__hi")  # one row
 
 
 def missing_patterns(df: DataFrame, cols=None) -> DataFrame:

@@ -203,6 +203,14 @@ def j5_bridge_by_name(spark, d):
     return J.null_safe_join(old, new, ["name", "kind"])
 
 
+@register("j5_fan_out", f"""
+WITH {BRIDGE_SIDES_SQL}, l AS (SELECT name, kind, count(*) AS n_left FROM old GROUP BY ALL), r AS (SELECT name, kind, count(*) AS n_right FROM new GROUP BY ALL)
+SELECT l.name, l.kind, n_left, n_right, n_left * n_right AS n_pairs
+FROM l JOIN r ON l.name IS NOT DISTINCT FROM r.name AND l.kind IS NOT DISTINCT FROM r.kind""")
+def j5_fan_out(spark, d):
+    return J.fan_out(*bridge_sides(spark, d), ["name", "kind"])
+
+
 @register("j6_added_removed", """
 SELECT doc_id, lang, CAST(NULL AS INTEGER) AS quality, 'removed' AS change FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels)
@@ -215,15 +223,17 @@ def j6_added_removed(spark, d):
     return J.added_removed(old, new, "doc_id")
 
 
-@register("j7_assemble_features", """
+J7_SQL = """
 WITH o AS (SELECT o_custkey AS c_custkey, count(*) AS n_orders,
                   CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price
            FROM orders GROUP BY o_custkey),
 u AS (SELECT o_custkey AS c_custkey, count(*) AS n_urgent
       FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
 SELECT c.c_custkey, c.c_acctbal, o.n_orders, o.total_price, u.n_urgent
-FROM customer c LEFT JOIN o USING (c_custkey) LEFT JOIN u USING (c_custkey)""")
-def j7_assemble_features(spark, d):
+FROM customer c LEFT JOIN o USING (c_custkey) LEFT JOIN u USING (c_custkey)"""
+
+
+def _indicators(spark, d):
     c = T(spark, d, "customer").select("c_custkey", "c_acctbal")
     orders = T(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     o = orders.groupBy("c_custkey").agg(
@@ -231,7 +241,19 @@ def j7_assemble_features(spark, d):
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_price"))
     u = orders.filter(F.col("o_orderpriority") == "1-URGENT").groupBy("c_custkey") \
         .agg(F.count(F.lit(1)).alias("n_urgent"))
-    return J.assemble_features([c, o, u], "c_custkey")
+    return [c, o, u]
+
+
+@register("j7_assemble_features", J7_SQL)
+def j7_assemble_features(spark, d):
+    return J.assemble_features(_indicators(spark, d), "c_custkey")
+
+
+@register("j7_bucketed_features", J7_SQL)
+def j7_bucketed_features(spark, d):
+    """The same from indicator tables that are written in buckets of the key."""
+    names = [J.write_bucketed(t, f"indicator_{k}", "c_custkey", 8) for k, t in enumerate(_indicators(spark, d))]
+    return J.assemble_bucketed(spark, names, "c_custkey")
 
 
 @register("j8_join_audit", """

@@ -8,10 +8,11 @@ from ..functions.scalars import round_even, zfill
 from ..operators import filters as Fl
 from ..operators import joins as J
 from ..operators.aggregates import wide_counts
+from ..session import scratch_dir
 from . import jobs
 from . import sqlfrag as Q
 from .bind_scalars import DIRTY_SQL, dirty_prices
-from .explore import (explore_election, explore_indicator, explore_register, profile_table,
+from .explore import (explore_election, explore_indicator, explore_register,
                       profile_tables, share_consistency, share_report)
 from .fixtures import T, nation_register, returnflag_counts
 from .registry import register
@@ -109,6 +110,20 @@ def job01_income(spark, d):
     return jobs.median_income(raw, customer_register(spark, d), 2021, order_col="o_orderkey")
 
 
+@register("job01_audit", f"""
+WITH raw AS (SELECT ' ' || CAST(o_custkey AS VARCHAR) AS CODGEO FROM {DIRTY_SQL}),
+p AS (SELECT {Q.zfill(Q.strip("CODGEO"), 5)} AS code_insee FROM raw)
+SELECT count(*) AS rows_before, count(*) AS rows_after, count(*) FILTER (WHERE r.code_insee IS NULL) AS unmatched
+FROM p LEFT JOIN {CUSTOMER_REGISTER_SQL} r USING (code_insee)""")
+def job01_audit(spark, d):
+    """What the job's own run, while its table is written, counted of its join."""
+    raw = dirty_prices(spark, d).select("o_orderkey", F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("CODGEO"),
+                                        F.col("raw").alias("Q221"))
+    audit = J.ObservedJoin()
+    jobs.median_income(raw, customer_register(spark, d), 2021, order_col="o_orderkey", audit=audit).write.parquet(scratch_dir(spark, "income"))
+    return spark.createDataFrame([audit.counts()], "rows_before long, rows_after long, unmatched long")
+
+
 def supplier_register(spark, d):
     return T(spark, d, "supplier").select(
         zfill(F.col("s_suppkey").cast("string"), 5).alias("code_insee"),
@@ -389,23 +404,49 @@ def job12_projected_income(spark, d):
 
 
 # --- J-13 ... J-17 exploration ----------------------------------------------------
+#: All columns of orders, and those that are numbers.
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDER_NUMBERS = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
 def _profile_sql():
     parts = []
-    for c in ["o_totalprice", "o_custkey"]:
-        exprs = {"count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})",
-                 "25%": f"quantile_cont({c}, 0.25)", "50%": f"quantile_cont({c}, 0.5)",
-                 "75%": f"quantile_cont({c}, 0.75)", "max": f"max({c})",
-                 "missing": f"count(*) FILTER (WHERE {c} IS NULL)",
+    for c in ORDER_COLS:
+        exprs = {"missing": f"count(*) FILTER (WHERE {c} IS NULL)",
                  "missing_pct": Q.round_even(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100", 2)}
+        if c in ORDER_NUMBERS:
+            exprs |= {"count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})",
+                      "25%": f"quantile_cont({c}, 0.25)", "50%": f"quantile_cont({c}, 0.5)",
+                      "75%": f"quantile_cont({c}, 0.75)", "max": f"max({c})"}
         parts += [f"SELECT '{c}' AS column, '{s}' AS statistic, round(CAST({e} AS DOUBLE), 4) AS value FROM orders"
                   for s, e in exprs.items()]
     return " UNION ALL ".join(parts)
 
 
+def _order_profile(spark, d, name):
+    return profile_tables(T(spark, d, "orders").select(*ORDER_COLS), ORDER_NUMBERS)[name]()
+
+
 @register("job13_profile", _profile_sql())
 def job13_profile(spark, d):
-    t = profile_table(T(spark, d, "orders"), ["o_totalprice", "o_custkey"])
-    return t.withColumn("value", F.round("value", 4))
+    return _order_profile(spark, d, "statistics").withColumn("value", F.round("value", 4))
+
+
+@register("job13_rows", "SELECT count(*) AS n FROM orders")
+def job13_rows(spark, d):
+    rows = _order_profile(spark, d, "rows")
+    return rows.select(F.col(rows.columns[0]).alias("n"))
+
+
+@register("job13_histograms", " UNION ALL ".join(f"""
+SELECT * FROM (
+WITH v AS (SELECT CAST({c} AS DOUBLE) AS x FROM orders), r AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+c AS (SELECT CAST(least(floor((x - lo) * 50 / (hi - lo)) + 1, 50) AS INTEGER) AS bin, count(*) AS count FROM v, r GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 51))
+SELECT '{c}' AS column, b.bin, lo + (b.bin - 1) * ((hi - lo) / 50) AS lo, lo + b.bin * ((hi - lo) / 50) AS hi,
+       coalesce(c.count, 0) AS count FROM b CROSS JOIN r LEFT JOIN c USING (bin))""" for c in ORDER_NUMBERS))
+def job13_histograms(spark, d):
+    return _order_profile(spark, d, "histograms")
 
 
 @register("job14_share_check", f"""
@@ -517,7 +558,7 @@ def job14_incomplete_rows(spark, d):
 @register("job13_patterns", """
 SELECT doc_id IS NULL AS doc_id, quality IS NULL AS quality, toxic IS NULL AS toxic, count(*) AS count FROM labels GROUP BY ALL""")
 def job13_patterns(spark, d):
-    return profile_tables(T(spark, d, "labels"), ["quality", "toxic"])["patterns"]
+    return profile_tables(T(spark, d, "labels"), ["quality", "toxic"])["patterns"]()
 
 
 def _boxes_sql(cols):
@@ -531,6 +572,6 @@ FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM orders), (SELECT quantile_cont(CAST
 GROUP BY q1, med, q3""" for c in cols)
 
 
-@register("job13_boxes", _boxes_sql(["o_totalprice", "o_custkey"]))
+@register("job13_boxes", _boxes_sql(ORDER_NUMBERS))
 def job13_boxes(spark, d):
-    return profile_tables(T(spark, d, "orders"), ["o_totalprice", "o_custkey"])["boxes"]
+    return _order_profile(spark, d, "boxes")

@@ -97,11 +97,10 @@ def x06_remove_accents(spark, d):
 
 
 @register("x07_normalize_place_name", f"""
-SELECT doc_id, {Q.normalize_place_name("split_part(text, chr(10), 1)")} AS name FROM documents""")
+SELECT doc_id, {Q.normalize_place_name("text")} AS name FROM documents""")
 def x07_normalize_place_name(spark, d):
     docs = T(spark, d, "documents")
-    first = F.substring_index(F.col("text"), "\n", 1)
-    return docs.select("doc_id", X.normalize_place_name(first).alias("name"))
+    return docs.select("doc_id", X.normalize_place_name("text").alias("name"))
 
 
 @register("x08_if_else", """

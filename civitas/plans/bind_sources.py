@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, MapType, StringType, StructField, StructType,
                                ArrayType)
 
-from ..session import scratch_dir
+from ..session import scratch_dir, written
 from ..sources import readers as S
 from ..sources import sinks as W
 from .fixtures import DL_SQL, T, documents_labels
@@ -57,15 +57,15 @@ def _sheets(spark, d, base):
     """Customers as sheets (blocks of customer keys) of plain lines: a title
     of one cell, a quoted one, a blank line, a header row with the CODGEO
     marker, then the data. Odd sheets have their columns in another order,
-    names hold the separator and quotes."""
-    name = F.concat(F.lit('"'), F.col("c_name"), F.lit(', ""')  , F.col("c_mktsegment"), F.lit('"""'))
+    names hold the separator, quotes and a line break, as a title does."""
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit(',\n""'), F.col("c_mktsegment"), F.lit('"""'))
     code, seg = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
     c = T(spark, d, "customer").select(F.floor(F.col("c_custkey") / SHEET_ROWS).alias("sheet"), (F.col("c_custkey") + 10).alias("ord"),
                                        F.when(F.floor(F.col("c_custkey") / SHEET_ROWS) % 2 == 0, F.concat_ws(",", code, name, seg, F.lit("x")))
                                        .otherwise(F.concat_ws(",", seg, code, name)).alias("line"))
     sheets = c.select("sheet").distinct()
     header = F.when(F.col("sheet") % 2 == 0, "CODGEO,NOM,SEG,SOLDE").otherwise("SEG,CODGEO,NOM")
-    for i, line in enumerate([F.lit("Title"), F.lit('"Source, ""register"""'), F.lit("# notes"), header]):
+    for i, line in enumerate([F.lit("Title"), F.lit('"Source,\n""register"""'), F.lit("# notes"), header]):
         c = c.unionByName(sheets.select("sheet", F.lit(i).cast("long").alias("ord"), line.alias("line")))
     # rows of a sheet stay together and in order; each sheet is one file
     c.repartition("sheet").sortWithinPartitions("sheet", "ord").drop("ord").write.partitionBy("sheet").text(base)
@@ -73,7 +73,7 @@ def _sheets(spark, d, base):
 
 
 SHEET_SQL = """
-SELECT CAST(c_custkey AS VARCHAR) AS CODGEO, c_name || ', "' || c_mktsegment || '"' AS NOM, c_mktsegment AS SEG FROM customer"""
+SELECT CAST(c_custkey AS VARCHAR) AS CODGEO, c_name || ',' || chr(10) || '"' || c_mktsegment || '"' AS NOM, c_mktsegment AS SEG FROM customer"""
 
 
 @register("s4_promote_header", SHEET_SQL)
@@ -84,7 +84,7 @@ def s4_promote_header(spark, d):
 
 @register("s5_skip_and_name", """
 SELECT CASE WHEN c_custkey // 1000 % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE c_mktsegment END AS a,
-       CASE WHEN c_custkey // 1000 % 2 = 0 THEN c_name || ', "' || c_mktsegment || '"' ELSE CAST(c_custkey AS VARCHAR) END AS b,
+       CASE WHEN c_custkey // 1000 % 2 = 0 THEN c_name || ',' || chr(10) || '"' || c_mktsegment || '"' ELSE CAST(c_custkey AS VARCHAR) END AS b,
        CASE WHEN c_custkey // 1000 % 2 = 0 THEN 'x' END AS d
 FROM customer""")
 def s5_skip_and_name(spark, d):
@@ -178,4 +178,9 @@ def s12_export_filtered(spark, d):
 
 @register("s13_cached_scan", f"SELECT * FROM {DL_SQL}")
 def s13_cached_scan(spark, d):
-    return S.cached_scan(documents_labels(spark, d))
+    """What a kept table's rows were, written from memory; then released."""
+    kept = S.cached_scan(documents_labels(spark, d))
+    try:
+        return written(kept, "kept")
+    finally:
+        S.release(kept)

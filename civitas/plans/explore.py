@@ -3,7 +3,7 @@ dashboard pages, as parameterised DataFrame functions (no UI)."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,26 +15,24 @@ from ..operators import profile as Pr
 from ..operators import ranking as K
 
 
-def profile_table(df: DataFrame, cols) -> DataFrame:
-    """J-13: describe + missing count + missing percentage, tidy
+def profile_table(df: DataFrame, cols, every=None) -> DataFrame:
+    """J-13: describe of the number columns ``cols``, missing count and
+    percentage of ``every`` column (all of ``df`` unless given), tidy
     (column, statistic, value)."""
-    desc = Pr.describe(df, cols)
-    miss = G.missing_counts(df, cols).select(
+    every = list(every or df.columns)
+    miss = G.missing_counts(df, every).select(
         "column", F.lit("missing").alias("statistic"), F.col("n_missing").cast("double").alias("value"))
-    pct = G.missing_ratio(df, cols).select("column", F.lit("missing_pct").alias("statistic"),
-                                           F.col("pct_missing").alias("value"))
-    return desc.unionByName(miss).unionByName(pct)
-
-
-def profile_tables(df: DataFrame, cols, bins: int = 50) -> dict:
-    """J-13: all tables of a profile: row count, statistics, histogram and box
-    statistics per column, and which columns are missing together."""
-    def each(table):
-        parts = [table(c).select(F.lit(c).alias("column"), "*") for c in cols]
-        return reduce(lambda a, b: a.unionByName(b), parts)
-    return {"rows": G.row_count(df), "statistics": profile_table(df, cols),
-            "histograms": each(lambda c: Pr.histogram(df, c, bins)), "boxes": each(lambda c: Pr.box_stats(df, c)),
-            "patterns": Pr.missing_patterns(df)}
+    pct = G.missing_ratio(df, every).select("column", F.lit("missing_pct").alias("statistic"), F.col("pct_missing").alias("value"))
+    return Pr.describe(df, cols).unionByName(miss).unionByName(pct)
+
+
+def profile_tables(df: DataFrame, cols, bins: int = 50) -> dict[str, Callable[[], DataFrame]]:
+    """J-13: the tables of a profile by name, each planned only when asked
+    for: row count, statistics, histogram and box statistics of all number
+    columns ``cols`` at once, and which columns are missing together."""
+    return {"rows": lambda: G.row_count(df), "statistics": lambda: profile_table(df, cols),
+            "histograms": lambda: Pr.histograms(df, cols, bins), "boxes": lambda: Pr.box_table(df, cols),
+            "patterns": lambda: Pr.missing_patterns(df)}
 
 
 def share_report(df: DataFrame, share_cols, key: str, n: int = 20) -> dict:

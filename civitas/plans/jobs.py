@@ -90,15 +90,17 @@ def commune_register(raw: DataFrame, order_col: str | None = None) -> DataFrame:
 
 def median_income(raw: DataFrame, register: DataFrame, year: int,
                   code_col: str = "CODGEO", value_col: str = "Q221",
-                  order_col: str | None = None) -> DataFrame:
+                  order_col: str | None = None, audit: J.ObservedJoin | None = None) -> DataFrame:
     """J-01: median income per commune (secret values ``s`` become NULL);
-    the first row of a duplicated code (file order) is kept."""
+    the first row of a duplicated code (file order) is kept. ``audit`` counts
+    the join to the register while the job runs."""
     df = P.normalize_column_names(raw, "\"'")
     P.require_columns(df, [code_col, value_col])
     order = F.col(order_col) if order_col else file_order()
     df = df.select(zfill(strip(F.col(code_col)), CODE_WIDTH).alias("code_insee"),
                    parse_number(value_col).alias("revenu_median"), order.alias("__order"))
-    joined = J.enrich_strict(df, _register_names(register), "code_insee", "localisation")
+    enrich = audit.enrich_strict if audit else J.enrich_strict
+    joined = enrich(df, _register_names(register), "code_insee", "localisation")
     first = G.first_per_key(joined, "code_insee", ["__order"])
     return first.select("code_insee", "localisation",
                         round_even("revenu_median", 2).alias("revenu_median"),
@@ -296,15 +298,15 @@ def code_bridge(reg_old: DataFrame, reg_new: DataFrame) -> DataFrame:
     (pandas ``merge``); duplicated names fan out.
     """
     new = reg_new.withColumn("COMPARENT", fill_missing("COMPARENT", ""))
-    new = new.withColumn("Vrai_Code", F.when(F.col("COMPARENT") != "", F.col("COMPARENT"))
+    new = new.withColumn("code_actuel", F.when(F.col("COMPARENT") != "", F.col("COMPARENT"))
                          .otherwise(F.col("COM")))
-    o = reg_old.select(F.col("COM"), normalize_place_name("NCC").alias("nom_clean"), "DEP")
-    n = new.select(F.col("COM"), normalize_place_name("NCC").alias("nom_clean"), "DEP",
-                   "Vrai_Code", "TYPECOM")
-    pairs = J.null_safe_join(o, n, ["nom_clean", "DEP"], suffixes=("_2022", "_2024"))
+    o = reg_old.select(F.col("COM"), normalize_place_name("NCC").alias("nom_norme"), "DEP")
+    n = new.select(F.col("COM"), normalize_place_name("NCC").alias("nom_norme"), "DEP",
+                   "code_actuel", "TYPECOM")
+    pairs = J.null_safe_join(o, n, ["nom_norme", "DEP"], suffixes=("_2022", "_2024"))
     return pairs.select(F.col("COM_2022").alias("Code_INSEE_2022"),
-                        F.col("Vrai_Code").alias("Code_INSEE_2024"),
-                        F.col("nom_clean").alias("Nom_Commune"),
+                        F.col("code_actuel").alias("Code_INSEE_2024"),
+                        F.col("nom_norme").alias("Nom_Commune"),
                         F.col("TYPECOM").alias("Statut_2024"))
 
 

@@ -92,7 +92,7 @@ def test_compare_and_persist(spark, sf_dir, tmp_path):
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     df = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)],
                   (F.col("label") % 2).cast("string").alias("target"))
-    cfg = C.Config(target="target", id_col="vec_id", k_folds=2, n_trees=5, max_depth=3, parallelism=2,
+    cfg = C.Config(target="target", id_col="vec_id", k_folds=2, n_trees=5, parallelism=2,
                    models=("logistic_regression", "random_forest"))
     res = C.compare_classifiers(df, cfg)
     board = res["leaderboard"].collect()
@@ -102,8 +102,10 @@ def test_compare_and_persist(spark, sf_dir, tmp_path):
     assert {"proba_0", "proba_1", "y_true", "y_pred"} <= set(preds.columns)
     path = str(tmp_path / "model")
     C.save_model(res["models"]["random_forest"], path)
+    before = res["models"]["random_forest"].transform(df.withColumn("__target", F.col("target")))
     again = C.load_model(path).transform(df.withColumn("__target", F.col("target")))
     assert again.count() == df.count()
+    assert dict(again.select("vec_id", "prediction").collect()) == dict(before.select("vec_id", "prediction").collect())
 
 
 def test_rff_transformer_roundtrip(spark, tmp_path):
@@ -149,4 +151,4 @@ def test_registered_forests_have_full_size():
     from civitas.plans import bind_ml
     for registered in (bind_ml.CLS_CFG, bind_ml.REG_CFG):
         cfg = C.Config(**registered)
-        assert (cfg.n_trees, cfg.max_depth) == (Mo.N_TREES, Mo.MAX_DEPTH) == (300, 16)
+        assert (cfg.n_trees, cfg.max_rows) == (300, 16_384)
