@@ -15,6 +15,14 @@ def stored(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def dropped(spark: SparkSession, *folders: str) -> None:
+    """Delete tables that nothing lazy reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def connected_components(spark: SparkSession, edges: DataFrame, folder: str | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node
     reachable. Alternates large-star and small-star steps until the edges

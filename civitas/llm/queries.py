@@ -56,8 +56,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark, table(spark, sf_dir, "documents"))
+    # the text as it stays: characters cut in two are replaced
+    kept = F.make_valid_utf8(F.col("dedup.kept").cast("string"))
     return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans",
-                        F.sha2("dedup.kept", 256).alias("kept_sha256"))
+                        F.sha2("dedup.kept", 256).alias("kept_sha256"), kept.alias("text"))
 
 
 @register

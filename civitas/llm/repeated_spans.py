@@ -8,8 +8,10 @@ in one *cell*, and a cell lies in one shard:
 1. One pass over the texts marks anchors with the hash of their window (all
    strings that can hold the anchor). Windows of an anchor that occurs once
    are done with; equal windows are counted, not carried.
-2. The distinct windows of the other anchors are cut out of one text each.
-   Shards of whole cells, about a megabyte at a time, are sorted by
+2. A string has at least half of the bytes beside its anchor on one side, so
+   windows that share neither the bytes before nor those behind their anchor
+   (two hashes of ``half`` bytes) with another window of their cell are done
+   with, too. The other distinct windows are cut out of one text each. Shards of whole cells, about a megabyte at a time, are sorted by
    Larsson-Sadakane refinement; Kasai's common prefixes of at least ``SPAN``
    bytes give the strings that two windows of a cell share.
 3. A cell with very many different windows is split by the bytes that the
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .components import stored
+from .components import dropped, stored
 from .suffix_array import common_prefixes, suffix_array
 from .textbytes import mix, span_hashes, text_buffer, text_chunks, word_spans
 
@@ -98,7 +100,10 @@ def _as_is(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _mark(span: int, gram: int, lay=_as_is):
     """Runs of equal anchors: key, window hash, window start, reach of the
-    run, window size, anchor's place in the window, anchors in the run."""
+    run, window size, anchor's place in the window, anchors in the run, hashes
+    of the ``half`` bytes before and behind the anchor (null at a text's end)."""
+    half = -(-(span - gram) // 2)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
             for first, whole, offs in text_chunks(rb.column(2)):
@@ -114,17 +119,22 @@ def _mark(span: int, gram: int, lay=_as_is):
                     window = mix(span_hashes(buf, a, b) ^ (pos - a).astype(np.uint64))
                     head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (window[1:] != window[:-1])))
                     tail = np.append(head[1:], len(pos)) - 1
-                    rows = pa.array(row[head] + first)
+                    rows, p = pa.array(row[head] + first), pos[head]
+                    before, behind = p - a[head] >= half, b[head] - p - gram >= half
+                    sides = [np.zeros(len(p), np.int32), np.zeros(len(p), np.int32)]
+                    sides[0][before] = span_hashes(buf, p[before] - half, p[before]).astype(np.uint32).view(np.int32)
+                    sides[1][behind] = span_hashes(buf, p[behind] + gram, p[behind] + gram + half).astype(np.uint32).view(np.int32)
                     yield pa.record_batch(
                         [rb.column(0).take(rows), rb.column(1).take(rows), pa.array(key[head].view(np.int64)),
                          pa.array(window[head].view(np.int64)), pa.array(a[head] - off[row[head]] + base),
                          pa.array(pos[tail] - pos[head]), pa.array((b - a)[head].astype(np.int32)),
-                         pa.array((pos - a)[head].astype(np.int32)), pa.array(tail - head + 1)],
-                        names=["doc", "th", "cell", "win", "at", "reach", "size", "lead", "reps"])
+                         pa.array((pos - a)[head].astype(np.int32)), pa.array(tail - head + 1),
+                         pa.array(sides[0], mask=~before), pa.array(sides[1], mask=~behind)],
+                        names=["doc", "th", "cell", "win", "at", "reach", "size", "lead", "reps", "before", "behind"])
     return run
 
 
-_MARKS = "doc bigint, th bigint, cell bigint, win bigint, at bigint, reach bigint, size int, lead int, reps bigint"
+_MARKS = "doc bigint, th bigint, cell bigint, win bigint, at bigint, reach bigint, size int, lead int, reps bigint, before int, behind int"
 _CUTS = "cell bigint, win bigint, n bigint, lead int, bytes binary, up_cell bigint, up_win bigint, up_at int"
 
 
@@ -326,12 +336,21 @@ def _repeated(spark: SparkSession, keyed: DataFrame, span: int, gram: int, crowd
     cells = stored(marks.groupBy("cell").agg(F.sum("reps").alias("total")).where("total > 1").select("cell"), f"{folder}/cells")
     windows = stored(marks.join(cells, "cell").groupBy("cell", "win").agg(
         F.sum("reps").alias("n"), F.min(F.struct("doc", "th", "at")).alias("place"), F.first("size").alias("size"),
-        F.first("lead").alias("lead")), f"{folder}/windows")
-    crowds = stored(windows.groupBy("cell").agg(F.count("*").alias("m"), F.min("n").alias("least")), f"{folder}/crowds")
+        F.first("lead").alias("lead"), F.first("before").alias("before"), F.first("behind").alias("behind")), f"{folder}/windows")
+    # sides that a window without a twin shares with another one
+    sides = windows.select("cell", "n", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("side"), F.col(c).alias("hash")) for k, c in enumerate(("before", "behind"))])).alias("s"))
+    sides = stored(sides.where("s.hash is not null").groupBy("cell", "s.side", "s.hash").agg(F.count("*").alias("m"), F.min("n").alias("least"))
+                   .where("m > 1 and least = 1").select("cell", "side", "hash"), f"{folder}/sides")
+    near = windows
+    for k, c in enumerate(("before", "behind")):
+        near = near.join(sides.where(F.col("side") == k).select("cell", F.col("hash").alias(c), F.lit(True).alias(f"by_{c}")), ["cell", c], "left")
+    near = stored(near.where("by_before or by_behind").select("cell", "win", "n", "place", "size", "lead"), f"{folder}/near")
+    crowds = stored(near.groupBy("cell").agg(F.count("*").alias("m"), F.min("n").alias("least")), f"{folder}/crowds")
 
     # every window with a twin is covered; cells whose windows all have one need no sorting
     covers = windows.where("n > 1").select("cell", "win", F.lit(0).alias("lo"), F.col("size").alias("hi"))
-    wanted = (windows.join(crowds.where("m > 1 and least = 1"), "cell")
+    wanted = (near.join(crowds.where("m > 1 and least = 1"), "cell")
               .select("place.doc", "place.th", F.struct("cell", "win", "n", F.col("place.at").alias("at"), "size", "lead",
                                                         (F.col("m") > crowd).alias("crowded")).alias("w"))
               .groupBy("doc", "th").agg(F.collect_list("w").alias("wanted")))
@@ -365,5 +384,6 @@ def _repeated(spark: SparkSession, keyed: DataFrame, span: int, gram: int, crowd
             F.col("up_cell").alias("cell"), F.col("up_win").alias("win"), (F.col("lo") + F.col("up_at")).alias("lo"),
             (F.col("hi") + F.col("up_at")).alias("hi")))
     covers = stored(covers.groupBy("cell", "win").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"{folder}/covers")
+    dropped(spark, *[f"{folder}/{t}" for t in ("cells", "windows", "sides", "near", "crowds", "cuts", "parts", "open-parts", "found")])
     return marks.join(covers, ["cell", "win"]).select(
         "doc", "th", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("reach") + F.col("hi")).alias("hi"))
