@@ -19,7 +19,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +31,8 @@ BUCKET = 200
 MISS = 0.002
 #: Vectors of one side of a block.
 BLOCK = 2048
+#: Rows that a task compares, about.
+TASK_ROWS = 50_000
 
 
 def cell_chance(distance: float, width: float) -> float:
@@ -48,7 +49,7 @@ def table_shape(n: int, cosine: float, width: float = WIDTH) -> tuple[int, int]:
 
 
 def _unit(rows) -> np.ndarray:
-    x = np.stack([np.asarray(r, np.float64) for r in rows])
+    x = rows if isinstance(rows, np.ndarray) else np.stack([np.asarray(r, np.float64) for r in rows])
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of squares
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -83,36 +84,78 @@ def _keys(k: int, tables: int):
     return run
 
 
-def _block(k: int, tables: int, cosine: float):
-    """Sums of links per vector, and one edge to its tree's root, of a block."""
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        table, low, high = (int(block[c].iloc[0]) for c in ("table", "low", "high"))
-        unit = _unit(block["vector"])
-        keys = table_keys(unit, k, tables)[:, :table]
-        rep, copies, chunk = (block[c].to_numpy() for c in ("rep", "copies", "chunk"))
-        total = np.zeros(len(block), np.int64)
-        root = np.arange(len(block))
-        for a in range(0, len(block), 256):
-            near = unit[a:a + 256] @ unit.T >= cosine
-            i, j = np.nonzero(near)
-            i += a
-            pair = (i < j) if low == high else (i < j) & (chunk[i] != chunk[j])
-            i, j = i[pair], j[pair]
-            new = np.ones(len(i), bool)
-            for t in range(table):  # a pair of an earlier table was counted there
-                new &= keys[i, t] != keys[j, t]
+def block_links(unit: np.ndarray, keys: np.ndarray, copies: np.ndarray, chunk: np.ndarray, within: bool,
+                cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links per vector, root of each one's tree) among the vectors of a
+    block; pairs that share a key of an earlier table (``keys``) were counted
+    there. Of two chunks only pairs across count, unless ``within``."""
+    n = len(unit)
+    total, root = np.zeros(n, np.int64), np.arange(n)
+    for a in range(0, n, 256):
+        i, j = np.nonzero(unit[a:a + 256] @ unit[a:].T >= cosine)
+        i, j = i + a, j + a
+        pair = (i < j) & (within | (chunk[i] != chunk[j]))
+        i, j = i[pair], j[pair]
+        for t in range(keys.shape[1]):
+            if not len(i):
+                break
+            new = keys[i, t] != keys[j, t]
             i, j = i[new], j[new]
-            total += np.bincount(i, copies[j], len(block)).astype(np.int64) + np.bincount(j, copies[i], len(block)).astype(np.int64)
-            while len(i):
-                least = np.minimum(root[i], root[j])
-                before = root.copy()
-                np.minimum.at(root, root[i], least)
-                np.minimum.at(root, root[j], least)
-                root = root[root]
-                if (root == before).all():
-                    break
-        some = np.flatnonzero((total > 0) | (root != np.arange(len(block))))
-        return pd.DataFrame({"rep": rep[some], "links": total[some], "root": rep[root[some]]})
+        if not len(i):
+            continue
+        total += np.bincount(i, copies[j], n).astype(np.int64) + np.bincount(j, copies[i], n).astype(np.int64)
+        while True:
+            least = np.minimum(root[i], root[j])
+            before = root.copy()
+            np.minimum.at(root, root[i], least)
+            np.minimum.at(root, root[j], least)
+            root = root[root]
+            if (root == before).all():
+                break
+    return total, root
+
+
+BLOCK_KEY = ["table", "dim", "key", "low", "high"]
+_PLACED = [*BLOCK_KEY, "rep", "copies", "chunk", "vector", "earlier"]
+
+
+def _blocks(cosine: float):
+    """Sums of links per vector, and its tree's root, of all blocks of a
+    partition; rows come sorted by block."""
+    def judged(rows: pa.Table, bounds: list[int]) -> pa.RecordBatch:
+        column = {c: rows.column(c).combine_chunks() for c in _PLACED}
+        plain = {c: column[c].to_numpy() for c in (*BLOCK_KEY, "rep", "copies", "chunk")}
+        vectors, earlier = (column[c].flatten().to_numpy() for c in ("vector", "earlier"))
+        v_at, e_at = (column[c].offsets.to_numpy() - column[c].offsets[0].as_py() for c in ("vector", "earlier"))
+        out: list[tuple] = []
+        for a, b in zip(bounds, bounds[1:]):
+            unit = _unit(vectors[v_at[a]:v_at[b]].reshape(b - a, -1))
+            keys = earlier[e_at[a]:e_at[b]].reshape(b - a, -1)
+            total, root = block_links(unit, keys, plain["copies"][a:b], plain["chunk"][a:b], plain["low"][a] == plain["high"][a], cosine)
+            some = np.flatnonzero((total > 0) | (root != np.arange(b - a)))
+            if len(some):
+                rep = plain["rep"][a:b]
+                out.append((rep[some], total[some], rep[root[some]]))
+        columns = [np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ((), (), ()))]
+        return pa.record_batch([pa.array(c) for c in columns], names=["rep", "links", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            rows = pa.Table.from_batches([rb]) if held is None else pa.concat_tables([held, pa.Table.from_batches([rb])])
+            change = np.zeros(rows.num_rows - 1, bool)
+            for c in BLOCK_KEY:
+                value = rows.column(c).to_numpy()
+                change |= value[1:] != value[:-1]
+            cuts = (np.flatnonzero(change) + 1).tolist()
+            if cuts:
+                yield judged(rows.slice(0, cuts[-1]), [0, *cuts])
+                rows = rows.slice(cuts[-1])
+            held = rows
+        if held is not None:
+            yield judged(held, [0, held.num_rows])
     return run
 
 
@@ -141,17 +184,19 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9, i
     reps = classes.where("rep is not null")
     k, tables = table_shape(reps.count(), cosine)
 
-    entries = (reps.select("rep", "vector").mapInArrow(_keys(k, tables), "rep bigint, dim int, keys array<bigint>")
-               .select("rep", "dim", F.posexplode("keys").alias("table", "key")))
+    keyed = stored(reps.select("rep", "vector").mapInArrow(_keys(k, tables), "rep bigint, dim int, keys array<bigint>"), f"{folder}/keys")
+    entries = keyed.select("rep", "dim", F.posexplode("keys").alias("table", "key"))
     crowds = stored(entries.groupBy("table", "dim", "key").agg(F.count("*").alias("n")).where("n > 1"), f"{folder}/crowds")
     placed = (entries.join(crowds, ["table", "dim", "key"])
               .withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int"))
               .withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other")))
-    found = stored(placed.join(reps.select("rep", "copies", "vector"), "rep")
-                   .groupBy("table", "dim", "key", "low", "high").applyInPandas(
-                       _block(k, tables, cosine), "rep bigint, links bigint, root bigint"), f"{folder}/found")
+    size = crowds.agg(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK))).first()[0] or 0
+    blocks = (placed.join(keyed.select("rep", "keys"), "rep").join(reps.select("rep", "copies", "vector"), "rep")
+              .withColumn("earlier", F.slice("keys", F.lit(1), F.col("table"))).select(*_PLACED)
+              .repartition(-(-size // TASK_ROWS) or 1, *BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY))
+    found = stored(blocks.mapInArrow(_blocks(cosine), "rep bigint, links bigint, root bigint"), f"{folder}/found")
     sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
     component = connected_components(spark, found.select(F.col("rep").alias("a"), F.col("root").alias("b")), f"{folder}/components")
     known = stored(classes.select("h1", "h2", "rep", "copies").join(sums, "rep", "left")
