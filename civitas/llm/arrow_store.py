@@ -37,7 +37,19 @@ BATCH_ROWS = 1024
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+    """The file system and path of a folder that Spark names. Spark's s3a and
+    s3n are Arrow's s3, dbfs is mounted on every machine; file, s3, gs, hdfs,
+    viewfs and abfs(s) go to Arrow as they are."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return pafs.LocalFileSystem(), uri
+    if scheme == "dbfs":
+        return pafs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    if scheme in ("s3a", "s3n"):
+        uri = "s3:" + rest
+    elif scheme not in ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss", "mock"):
+        raise ValueError(f"Arrow can't write to {scheme}: folders; set spark.checkpoint.dir to file, s3a, gs, hdfs, abfss or dbfs")
+    return pafs.FileSystem.from_uri(uri)
 
 
 class TokenWriter:
@@ -147,8 +159,8 @@ def read_token_files(spark: SparkSession, parts: DataFrame, folder: str, with_id
                         cols.append(pa.array(texts, pa.list_(pa.int64())))
                     yield pa.record_batch(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(cols)])
 
-    # one small task per file
-    spread = base_rows.repartition("name")
+    # about one file a task: a number that is given is not merged again
+    spread = base_rows.repartition(max(parts.count(), 1), "name")
     return spread.mapInArrow(read, schema)
 
 

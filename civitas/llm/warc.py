@@ -139,7 +139,8 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = False) -> D
                                       names=[c.split(" ")[0] for c in RECORDS.split(", ")])
 
     rows = index.select("archive", "offset", "length", F.floor(F.col("offset") / STRIPE).alias("stripe"))
-    return (rows.repartition("archive", "stripe").sortWithinPartitions("archive", "offset")
+    stripes = rows.agg(F.count_distinct("archive", "stripe")).first()[0]  # a number that is given is not merged again
+    return (rows.repartition(max(stripes, 1), "archive", "stripe").sortWithinPartitions("archive", "offset")
             .select("archive", "offset", "length").mapInArrow(run, RECORDS))
 
 
