@@ -33,12 +33,33 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
-    """One row per place and mask that fits: all columns, place, seed."""
-    last = min(m[-1] for m in masks)
+def short_runs(n: int, agree: int) -> list[tuple[int, int]]:
+    """(start, length) of the runs that an item of ``n`` tokens, fewer than a
+    window, is cut into: one more than places may differ, so that one run
+    agrees whole in every overlap that counts."""
+    parts = n - -(-n * agree // 100) + 1
+    cuts = [n * k // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def _short_seeds(items: DataFrame, lengths: list[int], agree: int) -> DataFrame:
+    """Rows of short items (all columns, place, seed), one per run."""
+    def seed(start: int, run: int) -> Column:
+        return F.xxhash64(F.lit(100 + run), *[F.get("toks", F.lit(start + k)) for k in range(run)])
+    seeds = [F.when(F.size("toks") == n, F.array(*[F.struct(F.lit(a).alias("place"), seed(a, r).alias("seed")) for a, r in short_runs(n, agree)]))
+             for n in lengths]
+    rows = items.withColumn("run", F.explode(F.coalesce(*seeds)))
+    return rows.select(*items.columns, "run.place", "run.seed")
+
+
+def _seeds(rows: DataFrame, masks=MASKS, runs=()) -> DataFrame:
+    """One row per place and mask or run that fits: all columns, place, seed."""
+    last = min([m[-1] for m in masks] + [r - 1 for r in runs])
     places = F.when(F.size("toks") > last, F.sequence(F.lit(0), F.size("toks") - 1 - last))
     keys = [F.when(F.col("place") + m[-1] < F.size("toks"),
                    F.xxhash64(F.lit(k), *[F.get("toks", F.col("place") + o) for o in m])) for k, m in enumerate(masks)]
+    keys += [F.when(F.col("place") + r <= F.size("toks"), F.xxhash64(F.lit(100 + r), *[F.get("toks", F.col("place") + k) for k in range(r)]))
+             for r in runs]
     placed = rows.withColumn("place", F.explode(places))
     return placed.withColumn("seed", F.explode(F.array(*keys))).where("seed is not null")
 
@@ -68,13 +89,20 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
     """One row per text and item that leaks into it: doc_id, text_hash,
     item_id, agreeing (most agreeing places), of (places compared).
 
-    Null and empty texts and items never match, nor do items of fewer tokens
-    than a mask is long. Repeated texts give one row, items of equal text a
+    Null and empty texts and items never match. Items of fewer than ``window``
+    tokens are compared whole; they are looked up by runs, one of which must
+    agree (a single token's item leaks into every text that has the token).
+    Repeated texts give one row, items of equal text a
     row each; empty tables give no rows; further columns are not read."""
     folder = scratch_dir(spark, "leaks")
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(F.col("text")).alias("toks"))
     base = F.greatest(F.lit(0), F.col("place") - window + 1)
-    seeds = stored(_seeds(items).select(
+    short = sorted(r[0] for r in items.where(F.size("toks").between(1, window - 1)).select(F.size("toks")).distinct().collect())
+    runs = sorted({r for n in short for _, r in short_runs(n, agree)})
+    placed = _seeds(items.where(F.size("toks") >= window))
+    if short:
+        placed = placed.unionByName(_short_seeds(items.where(F.size("toks").between(1, window - 1)), short, agree))
+    seeds = stored(placed.select(
         "seed", "item_id", F.col("place").alias("at"), base.alias("base"), F.size("toks").alias("long"),
         F.least(F.lit(window), F.size("toks")).alias("wide"), F.slice("toks", base + 1, 2 * window - 1).alias("part")).distinct(),
         f"{folder}/seeds")
@@ -84,7 +112,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, windo
     found = None
     for k in range(max(blocks, 1)):
         block = seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == k) if blocks > 1 else seeds
-        hits = _seeds(_stretches(texts, window)).join(F.broadcast(block), "seed").withColumn("shift", F.col("place") - F.col("at"))
+        hits = _seeds(_stretches(texts, window), runs=runs).join(F.broadcast(block), "seed").withColumn("shift", F.col("place") - F.col("at"))
         same, best = _overlap(window)
         hits = hits.withColumn("same", same).withColumn("agreeing", best).select("doc_id", "text_hash", "item_id", "agreeing", "wide")
         found = hits if found is None else found.unionByName(hits)
