@@ -1,6 +1,7 @@
 """Licence notices found by MinHash, in DataFrame functions alone.
 
-Texts are cut into overlapping windows of 5-word shingles, in a few lengths.
+Texts are cut into overlapping windows of 5-word shingles, in as many lengths
+as the templates need.
 A template of over L / 2 and up to L shingles is looked for in windows of
 2 L at steps of L, so it lies whole in one of them. Each window gives
 ``BANDS`` minima under different hash functions, each minimum a band of its
@@ -26,9 +27,6 @@ from .decontaminate import tokens
 WORDS = 5
 BANDS = 64
 CONTAINED = 0.8
-#: Length classes of templates, in shingles.
-LENGTHS = tuple(1 << k for k in range(11))
-
 #: The wording of public licence notices.
 TEMPLATES: Mapping[str, str] = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
@@ -88,14 +86,18 @@ def _minima(shingles: str, bands: int) -> Column:
     return F.array(*[band(b) for b in range(bands)])
 
 
+def _power(run: Column) -> Column:
+    """The least power of two that is at least ``run``: a template's class."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(30)), F.lit(1), lambda n, _: F.when(n < run, n * 2).otherwise(n))
+
+
 def template_table(spark: SparkSession, templates: Mapping[str, str], words: int) -> DataFrame:
     """license, length class, shingles per template; one of fewer than
     ``words`` tokens can't be found and is left out."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, body string")
     rows = rows.select("license", tokens(F.col("body")).alias("toks")).where(F.size("toks") >= words)
     run = F.size("toks") - words + 1
-    fits = [F.when(run <= n, F.lit(n)) for n in LENGTHS[:-1]]
-    return rows.select("license", F.coalesce(*fits, F.lit(LENGTHS[-1])).alias("length"), _shingles(F.col("toks"), words).alias("wanted"))
+    return rows.select("license", _power(run).alias("length"), _shingles(F.col("toks"), words).alias("wanted"))
 
 
 def scan_licenses(spark: SparkSession, docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, words: int = WORDS,
