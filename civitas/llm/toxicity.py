@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from .sampling import hash_sample
 from .textbytes import CHUNK_BYTES, lower_ascii, text_chunks
 
 SIZES = (3, 4, 5, 6)
@@ -151,7 +153,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic", samp
     the order of a hash of the id. Null labels and null texts teach nothing."""
     known = labels.where(F.col(label).isNotNull() & ~held_out(id_column)).select(
         F.col(id_column).alias("i"), F.col(label).cast("int").alias("y")).distinct()
-    chosen = known.orderBy(F.xxhash64("i"), "i", "y").limit(sample)
+    chosen = hash_sample(known, "i", sample, scratch_dir(docs.sparkSession, "toxicity"))
     texts = docs.select(F.col(id_column).alias("i"), F.col(text_column).alias("t")).where("t is not null")
     rows = texts.join(F.broadcast(chosen), "i").toPandas().sort_values(["i", "y", "t"])  # at most ``sample`` ids
     return fit(rows["t"].tolist(), (rows["y"] > 0).astype(int).tolist())

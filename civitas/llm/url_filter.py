@@ -14,6 +14,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from .components import stored
+from .sampling import hash_sample
+
 #: (action, host, path); the queries' rules.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -91,9 +95,10 @@ def judge_urls(pages: DataFrame, rules=RULES, sample: int = SAMPLE, url_column:
     features = lexical_features(F.col("__url"), F.col("__host"), F.col("__path"))
     suffix = F.substring_index("__host", ".", -1)
 
-    known = (named.where("__found is not null").select("__url", "__host", "__path", (F.col("__found.action") == "block").cast("double").alias("label"))
-             .orderBy(F.xxhash64("__url"), "__url", "label").limit(sample))
-    known = known.withColumns(features).withColumn("__suffix", suffix).drop("__url", "__path", "__host").cache()
+    known = (named.where("__found is not null").select("__url", "__host", "__path", (F.col("__found.action") == "block").cast("double").alias("label")))
+    folder = scratch_dir(pages.sparkSession, "urls")
+    known = hash_sample(known, "__url", sample, folder)
+    known = stored(known.withColumns(features).withColumn("__suffix", suffix).drop("__url", "__path", "__host"), f"{folder}/known")
     mean, n = known.agg(F.avg("label"), F.count("*")).first()
     if not n or mean in (0.0, 1.0):
         verdict = F.lit("block" if n and mean == 1.0 else "allow")
@@ -107,7 +112,6 @@ def judge_urls(pages: DataFrame, rules=RULES, sample: int = SAMPLE, url_column:
         rest = named.withColumns(features).withColumn("__suffix", suffix).join(F.broadcast(shares), "__suffix", "left")
         judged = model.transform(assembler.transform(rest.fillna(mean, ["suffix_share"])))
         judged = judged.withColumn("__guess", F.when(F.col("__prediction") == 1.0, "block").otherwise("allow"))
-    known.unpersist()
     own = {"host": F.col("__host"), "path": F.col("__path"), "rule": F.col("__found.rule"),
            "verdict": F.coalesce(F.col("__found.action"), F.col("__guess"))}
     return judged.select(*[F.col("__row")[c].alias(c) for c in pages.columns if c not in own],
