@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 32
-DELTAS = (1.0, 0.1, 0.01, 0.001)
+#: Widths of the smoothing; each starts from the solution of the one before.
+DELTAS = (1.0, 0.3, 0.1, 0.03, 0.01, 0.003, 0.001)
 STEPS = 60
 
 
@@ -97,7 +98,7 @@ def _summed(rows: DataFrame, problems: dict[int, tuple], lift, delta: float, wid
     return out
 
 
-def solve(rows: DataFrame, problems: Sequence[Problem], lift, n_features: int, deltas=DELTAS, tolerance: float = 1e-6) -> list[np.ndarray]:
+def solve(rows: DataFrame, problems: Sequence[Problem], lift, n_features: int, deltas=DELTAS, tolerance: float = 1e-9) -> list[np.ndarray]:
     """Weights, intercept last, of every problem. ``rows`` (x array<double>, y,
     fold, weight) are read once per step: give a written table. ``lift`` maps a
     matrix of x to features, ``n_features`` of them."""

@@ -51,13 +51,13 @@ def fit_epsilon_regression(staged: DataFrame, y: str, key: str, lift, n_features
                            epsilon: float = 0.1) -> MarginRegression:
     """|w|^2 / 2 + cost * sum of max(0, |y - w.z - b| - epsilon), as
     ``SVR(C=cost, epsilon=epsilon)`` has it. The smoothing falls from the
-    target's deviation to a ten-thousandth of it. ``gap`` of the model is the
+    target's deviation to 0.0003 of it. ``gap`` of the model is the
     duality gap as a share of the objective."""
     rows = _rows(staged, y, None, key)
     center, spread = rows.agg(F.avg("y"), F.stddev_pop("y")).first()
     spread = max(spread or 0.0, 1e-9)
     problem = convex.Problem(partial(_insensitive, epsilon=epsilon, cost=cost), start=center or 0.0)
-    deltas = [spread * s for s in (1.0, 0.1, 0.01, 0.001, 0.0001)]
+    deltas = [spread * s for s in (*convex.DELTAS, 0.0003)]
     weights, = convex.solve(rows, [problem], lift, n_features, deltas)
     model = MarginRegression(featuresCol="rff", weights=weights.tolist())
     model.gap = convex.duality_gap(rows, [problem], lift, n_features, deltas[-1])[0]
