@@ -42,7 +42,9 @@ TREE = "tree int, feature array<int>, threshold array<double>, left array<int>,
 
 
 def _starts(node: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    change = np.ones(len(node), bool)
+    np.not_equal(node[1:], node[:-1], out=change[1:])
+    return np.flatnonzero(change)
 
 
 def _score(left: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -56,24 +58,33 @@ def _score(left: np.ndarray, total: np.ndarray) -> np.ndarray:
 def _best_cuts(code: np.ndarray, values: np.ndarray, stats: np.ndarray, node: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(score, threshold) of the best cut between two values, per node;
     ``code`` is the place of a row's value among the sorted ``values``."""
-    order = np.argsort(node * len(values) + code)
-    value, node = values[code[order]], node[order]
-    start = _starts(node)
-    before = np.cumsum(stats[order], axis=0)
-    base = np.zeros((len(start), stats.shape[1]))
-    base[1:] = before[start[1:] - 1]
-    which = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(node))))
-    cut = np.flatnonzero((which[1:] == which[:-1]) & (value[1:] > value[:-1]))
+    key = node * len(values) + code
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    first = node[1:] != node[:-1]
     score, threshold = np.full(len(total), -np.inf), np.zeros(len(total))
-    if len(cut):
-        found = _score(before[cut] - base[which[cut]], total[node[cut]])
-        begin = _starts(node[cut])
-        best = np.maximum.reduceat(found, begin)
-        first = np.flatnonzero(found == np.repeat(best, np.diff(np.append(begin, len(cut)))))
-        first = first[_starts(node[cut[first]])]
-        at = cut[first]
-        middle = (value[at] + value[at + 1]) / 2
-        score[node[at]], threshold[node[at]] = best, np.where(middle < value[at + 1], middle, value[at])
+    cut = np.flatnonzero((key[1:] != key[:-1]) & ~first)
+    if not len(cut):
+        return score, threshold
+    start = np.concatenate([[0], np.flatnonzero(first) + 1])  # of every node
+    which = np.cumsum(first)[cut] if len(start) > 1 else np.zeros(len(cut), np.int64)
+    at = node[cut]
+    sums = []  # left and right sums of weight and targets
+    for column in range(stats.shape[1]):
+        upto = np.cumsum(stats[order, column])
+        before = np.concatenate([[0.0], upto[start[1:] - 1]])
+        left = upto[cut] - before[which]
+        sums.append((left, total[at, column] - left))
+    (left, right), targets = sums[0], sums[1:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        found = sum(a * a for a, _ in targets) / left + sum(b * b for _, b in targets) / right
+    begin = _starts(at)
+    best = np.maximum.reduceat(found, begin)
+    hit = np.flatnonzero(found == np.repeat(best, np.diff(np.append(begin, len(cut)))))
+    hit = cut[hit[_starts(at[hit])]]  # the first of equal cuts
+    low, high = values[key[hit] % len(values)], values[key[hit + 1] % len(values)]
+    middle = (low + high) / 2
+    score[node[hit]], threshold[node[hit]] = best, np.where(middle < high, middle, low)
     return score, threshold
 
 
