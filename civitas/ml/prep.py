@@ -211,16 +211,16 @@ def _pipeline(train: DataFrame, numeric, categorical, med: dict, scale: dict, mo
     vec_inputs = [f"__n_{c}" for c in numeric]
     if categorical:
         staged = sql.transform(train)
-        names = dict(inputCols=[f"__c_{c}" for c in categorical], outputCols=[f"__i_{c}" for c in categorical],
-                     handleInvalid="keep")
+        names = [(f"__c_{c}", f"__i_{c}") for c in categorical]
         if labels is None:
-            idx = StringIndexer(**names, stringOrderType="alphabetAsc").fit(staged)
-        else:
-            idx = StringIndexerModel.from_arrays_of_labels([labels[c] for c in categorical], **names)
+            indexers = [StringIndexer(inputCols=[a for a, _ in names], outputCols=[b for _, b in names], handleInvalid="keep",
+                                      stringOrderType="alphabetAsc").fit(staged)]
+        else:  # one model a column: several lists of labels in one must have one length
+            indexers = [StringIndexerModel.from_labels(labels[c], a, b, handleInvalid="keep") for c, (a, b) in zip(categorical, names)]
         ohe = OneHotEncoder(inputCols=[f"__i_{c}" for c in categorical],
                             outputCols=[f"__o_{c}" for c in categorical],
-                            dropLast=True).fit(idx.transform(staged))
-        stages += [idx, ohe]
+                            dropLast=True).fit(PipelineModel(indexers).transform(staged))
+        stages += [*indexers, ohe]
         vec_inputs += [f"__o_{c}" for c in categorical]
     stages.append(VectorAssembler(inputCols=vec_inputs, outputCol=features_col, handleInvalid="keep"))
     return PipelineModel(stages)

@@ -141,12 +141,12 @@ def test_calibrated_classifier(spark, tmp_path):
 
 def test_fold_statistics_equal_refitting(spark):
     r = np.random.default_rng(6)
-    rows = [(k, float(r.normal()) if k % 7 else None, float(r.integers(0, 5)) + 1e6, "abc"[int(r.integers(0, 3))] if k % 11 else None, int(k % 3))
-            for k in range(200)] + [(200, float("nan"), 3.0, "rare", 1)]
-    df = spark.createDataFrame(rows, "id long, a double, b double, c string, fold int").repartition(4)
-    for k, pre in enumerate(prep.fold_preprocessors(df, ["a", "b"], ["c"], 3)):
+    rows = [(k, float(r.normal()) if k % 7 else None, float(r.integers(0, 5)) + 1e6, "abc"[int(r.integers(0, 3))] if k % 11 else None, "de"[k % 2], int(k % 3))
+            for k in range(200)] + [(200, float("nan"), 3.0, "rare", "d", 1)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c string, d string, fold int").repartition(4)
+    for k, pre in enumerate(prep.fold_preprocessors(df, ["a", "b"], ["c", "d"], 3)):
         part = df.where(F.col("fold") != k)
-        want = prep.fit_preprocessor(part, ["a", "b"], ["c"])
+        want = prep.fit_preprocessor(part, ["a", "b"], ["c", "d"])
         got = [np.array([v.a for v in p.transform(df.orderBy("id")).select(vector_to_array("features").alias("a")).collect()]) for p in (pre, want)]
         assert np.allclose(*got, atol=1e-6)
 
