@@ -27,6 +27,8 @@ from . import convex
 
 FOLDS = 5
 ALL = -1
+#: Fewer rows than these are not worth a task.
+ROWS_A_TASK = 1000
 
 
 def _insensitive(y, fold, weight, epsilon: float, cost: float):
@@ -41,10 +43,13 @@ def _pair(y, fold, weight, first: int, second: int, left_out: int, cost: float):
 
 
 def _rows(staged: DataFrame, y: str, weight: str | None, key: str) -> DataFrame:
-    return written(staged.where(F.col(y).isNotNull()).select(
+    rows = written(staged.where(F.col(y).isNotNull()).select(
         vector_to_array("features").alias("x"), F.col(y).cast("double").alias("y"),
         F.pmod(F.xxhash64(F.col(key)), F.lit(FOLDS)).cast("double").alias("fold"),
         (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight")), "margins")
+    # few bytes come back in few tasks, but a pass computes much per row
+    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_A_TASK)
+    return written(rows.repartition(wanted), "margins") if wanted > rows.rdd.getNumPartitions() else rows
 
 
 def fit_epsilon_regression(staged: DataFrame, y: str, key: str, lift, n_features: int, cost: float = 1.0,

@@ -174,3 +174,36 @@ def test_cross_validation_covers_every_row(spark, sf_dir):
     assert oof.groupBy("model").count().select("count").distinct().first()[0] == prepared["train"].count()
     scores = C.cv_scores(oof).toPandas()
     assert len(scores) == 8 and scores.accuracy.between(0, 1).all() and not math.isnan(scores.accuracy.sum())
+
+
+def test_solver_takes_few_passes_and_collects_vectors_only(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(400, 6))
+    label = r.integers(0, 3, 400).astype(float)  # no pair can be told apart
+    lift = models.fourier_features(0.2, 60, 42, 6)
+    staged = made(spark, x, label)
+    passes, rows, plain = [], [], convex._summed
+
+    def counted(*args):
+        passes.append(args)
+        return plain(*args)
+    monkeypatch.setattr(convex, "_summed", counted)
+    arrow = type(staged).toArrow
+    monkeypatch.setattr(type(staged), "toArrow", lambda df: rows.append(arrow(df)) or rows[-1])
+    margins.fit_margin_classifier(staged.withColumn("w", F.lit(1.0)), "y", "w", "id", 3, lift, 60)
+    assert len(passes) <= 60 and max(t.nbytes for t in rows) < 18 * 8 * 4 * 61
+
+
+def test_many_rows_start_from_a_sample_and_end_with_all(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(900, 3))
+    y = x[:, 0] - 2 * x[:, 1] + 0.5 * r.normal(size=900)
+    rows = made(spark, x, y).repartition(3).select(vector_to_array("features").alias("x"), "y", F.lit(0.0).alias("fold"), F.lit(1.0).alias("weight"))
+
+    def solved():
+        problem = convex.Problem(lambda y, f, w: margins._insensitive(y, f, w, 0.1, 1.0))
+        return convex.solve(rows, [problem], lambda v: v, 3)[0]
+    whole = solved()
+    monkeypatch.setattr(convex, "START_ROWS", 100)
+    monkeypatch.setattr(convex, "BUCKETS", 2)
+    assert np.allclose(solved(), whole, atol=1e-4)
