@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from civitas.ml import compare as C
-from civitas.ml import convex, margins, models, prep
+from civitas.ml import convex, forests, margins, models, prep
 from civitas.ml.forests import Forest, grow_tree
 
 
@@ -207,3 +207,42 @@ def test_many_rows_start_from_a_sample_and_end_with_all(spark, monkeypatch):
     monkeypatch.setattr(convex, "START_ROWS", 100)
     monkeypatch.setattr(convex, "BUCKETS", 2)
     assert np.allclose(solved(), whole, atol=1e-4)
+
+
+def test_random_cuts_of_all_features_at_once_are_those_one_by_one(monkeypatch):
+    r = np.random.default_rng(9)
+    x = np.round(r.normal(size=(300, 7)), 1)
+    y = r.integers(0, 3, 300).astype(float)
+    w = r.random(300)[:, None]
+    stats = np.concatenate([w, w * (y[:, None] == np.arange(3))], axis=1)
+    whole = grow_tree(x, stats, y, 3, True, np.random.default_rng(1))
+    monkeypatch.setattr(forests, "PAIR_ROWS", 1)
+    alone = grow_tree(x, stats, y, 3, True, np.random.default_rng(1))
+    assert all(np.array_equal(whole[k], alone[k]) for k in whole)
+
+
+@pytest.mark.parametrize("cuts", [False, True])
+def test_many_rows_give_the_same_trees_dealt_to_each_alone(spark, monkeypatch, cuts):
+    r = np.random.default_rng(10)
+    x = r.normal(size=(1000, 3))
+    df = made(spark, x, (x[:, 0] > 0).astype(float) + (x[:, 1] > 0))
+    kinds, found = [], []
+    for shared in (1000, 1):
+        monkeypatch.setattr(forests, "SHARED", shared)
+        forest = Forest(labelCol="y", keyCol="id", nClasses=3, nTrees=10, randomCuts=cuts, maxRows=100)
+        kinds.append(forest._drawn(df)[0])
+        found.append([r.asDict() for r in forest.fit(df).trees.orderBy("tree").collect()])
+    assert found[0] == found[1] and len(found[0]) == 10
+    assert kinds[1].count() < 10 * 200  # a row is copied for the trees that take it only
+
+
+def test_compact_trees_hold_values_of_leaves_only():
+    r = np.random.default_rng(11)
+    x = r.normal(size=(200, 3))
+    y = r.integers(0, 2, 200).astype(float)
+    stats = np.stack([np.ones(200), y == 0, y == 1], axis=1).astype(float)
+    tree = grow_tree(x, stats, y, 2, False, np.random.default_rng(1))
+    small = forests.compact(*(tree[k] for k in ("feature", "threshold", "left")), tree["value"].reshape(-1), 2)
+    assert len(small[3]) == (tree["feature"] < 0).sum()
+    assert np.array_equal(forests.leaf_values([small], x, 2).argmax(1), y)
+    assert sum(a.nbytes for a in small) < 0.8 * sum(tree[k].nbytes for k in tree)
