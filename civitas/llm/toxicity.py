@@ -82,7 +82,7 @@ class SubwordModel:
 def _bags(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct buckets of each text with their shares, and row bounds."""
     idx, share, size = [], [], np.zeros(len(texts), np.int64)
-    for first, buckets, rows in subwords(pa.array(texts, pa.string()), CHUNK_BYTES // 8):  # on the driver: small steps
+    for first, buckets, rows in subwords(pa.array(texts, pa.string()), CHUNK_BYTES // 2):  # on the driver: small steps
         key, count = np.unique(rows.astype(np.int64) << BUCKET_BITS | buckets, return_counts=True)
         row = key >> BUCKET_BITS
         total = np.bincount(rows, minlength=int(row[-1]) + 1 if len(row) else 0)

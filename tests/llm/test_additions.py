@@ -4,13 +4,16 @@ passages."""
 import os
 import random
 import sys
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
-from civitas.llm import arrow_store, warc  # noqa: E402
+from civitas.llm import arrow_store, repeated_spans, warc  # noqa: E402
 from civitas.llm.decontaminate import find_leaks, short_runs  # noqa: E402
 from civitas.llm.encoder import tokenizer_path  # noqa: E402
 from civitas.llm.licenses import scan_licenses  # noqa: E402
@@ -111,3 +114,30 @@ def test_planted_passages(spark):
         assert by_words[k] >= len(long if k % 3 == 0 else short) if k % 3 < 2 else by_words[k] == 0
     want = {k: v[1] for (k, _), v in zip(docs, brute.repeats([t for _, t in docs], 400))}
     assert by_bytes == want
+
+
+def test_windows_hold_only_strings_of_their_anchor():
+    """A window reaches over the strings that have this anchor, not over all
+    that hold its gram; every string lies in exactly one window."""
+    text = bytes(random.Random(5).choices(b"abcdefgh ", k=9000))
+    table = pa.record_batch([pa.array([1]), pa.array([2]), pa.array([text.decode()])], names=["doc", "th", "body"])
+    marks = pa.Table.from_batches(repeated_spans._mark(400, 100)(iter([table]))).to_pandas()
+    starts = [s for m in marks.itertuples() for s in range(m.at, m.at + m.reach + m.size - 400 + 1)]
+    assert sorted(starts) == list(range(9000 - 400 + 1))
+    assert marks["size"].sum() < 0.85 * 700 * len(marks)
+
+
+def test_sorting_and_marking_take_bounded_memory():
+    """Arrays of a block of windows and of a chunk of texts stay small beside
+    a worker's own memory, whatever the batch."""
+    r = np.random.default_rng(2)
+    texts = [bytes(r.integers(97, 123, 550).astype(np.uint8)) for _ in range(4000)]
+    windows = pa.record_batch([pa.array(np.arange(8000) // 2), pa.array(np.arange(8000)), pa.array(np.full(8000, 100, np.int32)),
+                               pa.array([t for t in texts for _ in range(2)], pa.binary())], names=["cell", "win", "lead", "bytes"])
+    bodies = pa.record_batch([pa.array(np.arange(4000)), pa.array(np.arange(4000)), pa.array([t.decode() for t in texts])], names=["doc", "th", "body"])
+    for step, batch in ((repeated_spans._sort_shards(400), windows), (repeated_spans._mark(400, 100), bodies)):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= 4000 and peak < 64e6, peak
