@@ -17,6 +17,8 @@ import numpy as np
 
 from .textbytes import span_hashes, text_chunks
 
+#: Bytes of texts that are encoded at once; sequences are numbered by chunk.
+ENCODE_BYTES = 1 << 20
 #: UTF-8 forms of Unicode white space beyond ASCII.
 OTHER_SPACE = re.compile(
     rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -155,7 +157,7 @@ class PieceEncoder:
         """Yield (first row, ids, bounds) per chunk of a string column:
         the ids of text ``first + k``, ``end_id`` last, are
         ``ids[bounds[k]:bounds[k + 1]]``. Null texts are empty."""
-        for first, buf, off in text_chunks(column):
+        for first, buf, off in text_chunks(column, ENCODE_BYTES):
             ids, bounds = self._chunk(buf, off)
             if self.whole.search(buf):  # at least one text must go whole
                 texts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
