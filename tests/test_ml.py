@@ -108,6 +108,19 @@ def test_compare_and_persist(spark, sf_dir, tmp_path):
     assert dict(again.select("vec_id", "prediction").collect()) == dict(before.select("vec_id", "prediction").collect())
 
 
+def test_two_class_models_go_to_tasks_after_observed_metrics(spark):
+    """A session that has observed metrics can't be sent to tasks, so a model
+    must not hold it."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    df = spark.createDataFrame([(i, float(i), i // 2 % 2 + 0.0) for i in range(20)], "id long, x double, label_idx double")
+    model = C.fit_classifier("logistic_regression", df, ["x"], [], C.Config(target="label_idx", id_col="id"), 2)
+    assert not model.stages[-1].hasSummary
+    assert model.transform(df).repartition(2).select("prediction").distinct().count() <= 2
+
+
 def test_rff_transformer_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([(i, float(i), float(-i)) for i in range(20)], "id long, a double, b double")
     from pyspark.ml.feature import VectorAssembler
