@@ -246,3 +246,46 @@ def test_compact_trees_hold_values_of_leaves_only():
     assert len(small[3]) == (tree["feature"] < 0).sum()
     assert np.array_equal(forests.leaf_values([small], x, 2).argmax(1), y)
     assert sum(a.nbytes for a in small) < 0.8 * sum(tree[k].nbytes for k in tree)
+
+
+def leaves(tree):
+    return (np.array(tree["left"]) < 0).sum()
+
+
+@pytest.mark.parametrize("name", ["random_forest", "extra_trees"])
+def test_regression_trees_are_grown_from_all_rows(spark, name):
+    n = 40_000
+    df = spark.range(n).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), F.col("id").cast("double").alias("y")).repartition(4)
+    model = C.fit_regressor(name, df, ["a", "b"], [], C.Config(target="y", id_col="id", n_trees=2))
+    for tree in model.stages[-1].trees.collect():  # no two rows agree, so every row a tree has taken is a leaf
+        assert leaves(tree) == n if name == "extra_trees" else abs(leaves(tree) / n - (1 - math.exp(-1))) < 0.01
+
+
+@pytest.mark.parametrize("cuts", [False, True])
+def test_lots_of_nodes_make_a_whole_tree(cuts):
+    r = np.random.default_rng(12)
+    x = r.normal(size=(500, 1))
+    y = r.normal(size=500)
+    stats = np.stack([np.ones(500), y], axis=1)
+    whole, lots = (grow_tree(x, stats, y, 1, cuts, np.random.default_rng(1), k) for k in (0, 40))
+    assert len(whole["left"]) == len(lots["left"]) == 999
+    if not cuts:  # of one feature the best cuts are the same wherever they are looked for
+        assert np.allclose(np.sort(whole["threshold"]), np.sort(lots["threshold"]))
+    small = forests.compact(lots["feature"], lots["threshold"], lots["left"], lots["value"].reshape(-1), 1)
+    assert np.allclose(forests.leaf_values([small], x, 1)[:, 0], y)
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_stored_trees_predict_what_trees_grown_beside_the_rows_do(spark, classes, monkeypatch):
+    r = np.random.default_rng(13)
+    x = r.normal(size=(300, 3))
+    df = made(spark, x, r.integers(0, 3, 300)).repartition(3)
+    twice = df.unionAll(df.where("id < 20"))  # rows to predict may repeat
+    model = Forest(labelCol="y", keyCol="id", nTrees=20, nClasses=classes, atOnce=64).fit(df)
+
+    def told():
+        return sorted((r.id, r.prediction) for r in model.transform(twice).select("id", "prediction").collect())
+    fresh = told()
+    monkeypatch.setattr(forests, "NODES_AT_ONCE", 1000)
+    assert model.trees.count() == 20
+    assert len(fresh) == 320 and np.allclose(fresh, told())
