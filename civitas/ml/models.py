@@ -106,10 +106,11 @@ def without_summary(spark: SparkSession, model):
 
 
 def forest_classifier(n_classes: int, key: str, n_trees: int, max_rows: int, random_cuts: bool, seed: int) -> Forest:
-    """sqrt(p) features per split, balanced weights, no limit of
-    depth; random cuts without bootstrap for extremely randomised trees."""
+    """All rows, sqrt(p) features per split, balanced weights, no
+    limit of depth; random cuts without bootstrap for extremely randomised
+    trees. ``max_rows`` of a tree are grown at once."""
     return Forest(featuresCol="features", labelCol="label_idx", weightCol="weight", keyCol=key, nClasses=n_classes,
-                  nTrees=n_trees, maxRows=max_rows, randomCuts=random_cuts, seed=seed + random_cuts)
+                  nTrees=n_trees, atOnce=max_rows, randomCuts=random_cuts, seed=seed + random_cuts)
 
 
 def forest_regressor(key: str, n_trees: int, max_rows: int, random_cuts: bool, seed: int) -> Forest:

@@ -289,3 +289,10 @@ def test_stored_trees_predict_what_trees_grown_beside_the_rows_do(spark, classes
     monkeypatch.setattr(forests, "NODES_AT_ONCE", 1000)
     assert model.trees.count() == 20
     assert len(fresh) == 320 and np.allclose(fresh, told())
+
+
+def test_trees_of_a_classifier_learn_every_row(spark):
+    n = 40_000
+    df = spark.range(n).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) > 0.5).cast("double").alias("label_idx")).repartition(4)
+    model = C.fit_classifier("extra_trees", df, ["a", "b"], [], C.Config(target="label_idx", id_col="id", n_trees=2), 2)
+    assert model.transform(df).where("prediction <> label_idx").count() == 0
