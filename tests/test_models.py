@@ -296,3 +296,38 @@ def test_trees_of_a_classifier_learn_every_row(spark):
     df = spark.range(n).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) > 0.5).cast("double").alias("label_idx")).repartition(4)
     model = C.fit_classifier("extra_trees", df, ["a", "b"], [], C.Config(target="label_idx", id_col="id", n_trees=2), 2)
     assert model.transform(df).where("prediction <> label_idx").count() == 0
+
+
+@pytest.fixture
+def rows_of_trees(monkeypatch):
+    """(rows to learn from, least and most rows of a tree) of every forest."""
+    seen, dealt = [], Forest._dealt
+
+    def watched(self, rows):
+        table, together = dealt(self, rows)
+        per = table.select(F.col("group"), F.posexplode("times").alias("j", "k")).where("k > 0").groupBy((F.col("group") * together + F.col("j")).alias("tree")).count()
+        low, high = per.where(F.col("tree") < self.getOrDefault("nTrees")).agg(F.min("count"), F.max("count")).first()
+        seen.append((rows.count(), low, high))
+        return table, together
+    monkeypatch.setattr(Forest, "_dealt", watched)
+    return seen
+
+
+def whole(seen, train, folds):
+    """Every forest had all rows of its part, every tree without bootstrap all of them."""
+    assert {n for n, _, _ in seen} == {train, *folds}
+    assert all(low == high == n for n, low, high in seen)
+
+
+def odd_rows(spark, classes):
+    y = F.col("id") % 2 if classes else F.sqrt("id")
+    return spark.range(1000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), y.cast("string" if classes else "double").alias("target"))
+
+
+SMALL_LOTS = dict(target="target", id_col="id", k_folds=2, n_trees=3, max_rows=50, models=("extra_trees",))
+
+
+def test_cross_validation_learns_all_rows_of_the_other_folds(spark, rows_of_trees):
+    prepared = C.prepare_classification(odd_rows(spark, True), C.Config(**SMALL_LOTS))
+    assert C.cv_scores(C.cross_validate(prepared, ("extra_trees",))).count() == 2
+    whole(rows_of_trees, 400, {400})
