@@ -331,3 +331,9 @@ def test_cross_validation_learns_all_rows_of_the_other_folds(spark, rows_of_tree
     prepared = C.prepare_classification(odd_rows(spark, True), C.Config(**SMALL_LOTS))
     assert C.cv_scores(C.cross_validate(prepared, ("extra_trees",))).count() == 2
     whole(rows_of_trees, 400, {400})
+
+
+def test_a_comparison_of_classifiers_learns_all_rows(spark, rows_of_trees):
+    result = C.compare_classifiers(odd_rows(spark, True), C.Config(**SMALL_LOTS))
+    assert result["leaderboard"].count() == 1 and result["predictions"].count() == 200
+    whole(rows_of_trees, 800, {400})
