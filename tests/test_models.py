@@ -337,3 +337,9 @@ def test_a_comparison_of_classifiers_learns_all_rows(spark, rows_of_trees):
     result = C.compare_classifiers(odd_rows(spark, True), C.Config(**SMALL_LOTS))
     assert result["leaderboard"].count() == 1 and result["predictions"].count() == 200
     whole(rows_of_trees, 800, {400})
+
+
+def test_a_comparison_of_regressors_learns_all_rows(spark, rows_of_trees):
+    result = C.compare_regressors(odd_rows(spark, False), C.Config(**SMALL_LOTS))
+    assert result["leaderboard"].count() == 1 and result["predictions"].count() == 200
+    whole(rows_of_trees, 800, {400})
